@@ -1,0 +1,55 @@
+"""The "take all archives that are new" half of the intake, as a bounded stream.
+
+The file source remembers in its checkpoint which archives it has seen and takes
+a bounded number of them per batch; each batch lands like one of the batch job's.
+An archive is seen once, so one with a defect is left to the batch job, which goes
+by the manifest.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions.text import file_name
+from ..operators.exports import land, read_landings
+from ..operators.keys import missing
+from ..schemas import BROKER_DESTINATION, BROKER_MARKER
+
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def stream_intake(
+    spark: SparkSession,
+    path: str,
+    dst: str,
+    checkpoint: str,
+    as_of: dt.datetime,
+    marker: str = BROKER_MARKER,
+    destination: str = BROKER_DESTINATION,
+    archives_per_batch: int = 1000,
+) -> StreamingQuery:
+    """Land the archives with ``marker`` in their title that came since the last call."""
+
+    def land_batch(files: DataFrame, batch_id: int) -> None:
+        units = files.select(
+            F.lit(destination).alias("destination"), file_name(F.col("path")).alias("title"), "path"
+        )
+        units = missing(units, read_landings(spark, dst), ["destination", "title"])
+        land(files, units, dst, as_of)
+
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(_FILES)
+        .option("pathGlobFilter", f"*{marker}*")
+        .option("maxFilesPerTrigger", archives_per_batch)
+        .load(path)
+        .select("path", "content")
+        .writeStream.foreachBatch(land_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
