@@ -83,3 +83,13 @@ def decode_entities(col: Column) -> Column:
     for entity, char in _ENTITIES:
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
     return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
+
+
+def csv_line(cols: list[Column]) -> Column:
+    """One CSV record without its line end: quoted only where needed, quotes doubled, NULL empty."""
+
+    def field(col: Column) -> Column:
+        quoted = F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(col.rlike('[,"\\r\\n]'), quoted).otherwise(F.coalesce(col, F.lit("")))
+
+    return F.concat_ws(",", *[field(as_string(c)) for c in cols])

@@ -6,20 +6,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.text import csv_line
 from ..schemas import BROKERAGE_AVG_PRICE, LISTING_FIELDS, REPORT_SUFFIX, TDCC
 from .columns import require
 
 
 def write_master(df: DataFrame, path: str, fields: list[str] = LISTING_FIELDS) -> None:
-    """Master as CSV: header, minimal quoting, doubled quotes, CRLF, NULL as empty."""
+    """Master as CSV: header, minimal quoting, doubled quotes, CRLF, NULL as empty.
+
+    The records are built as text, because the CSV writer with CRLF turns a line
+    feed inside a field into CRLF as well. The first row of a task, and so of a
+    file, brings the header along.
+    """
+    require(df, *fields)
+    row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    line = csv_line([F.col(f) for f in fields])
+    header = F.concat(csv_line([F.lit(f) for f in fields]), F.lit("\r\n"))
     (
-        df.select(*fields)
+        df.select(F.when(row_of_task == 0, F.concat(header, line)).otherwise(line).alias("value"))
         .write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("emptyValue", "")
         .option("lineSep", "\r\n")
-        .csv(path)
+        .option("maxRecordsPerFile", 0)
+        .text(path)
     )
 
 
@@ -41,6 +49,8 @@ def write_report(df: DataFrame, path: str) -> str:
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .partitionBy("date")
         .csv(target)
     )

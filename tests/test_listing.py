@@ -1,0 +1,75 @@
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+
+from quotemill.operators.rejects import accepted, rejected
+from quotemill.sources.listing import listing_rows
+
+PAGE = """<html><table class="h4"><TR align=center><td>有價證券代號及名稱</td><td>ISIN</td></TR>
+<tr><td bgcolor=#FAFAD2 colspan=7 ><B> 股票 <B> </td></tr>
+<tr><td bgcolor=#FAFAD2>1101 　台 泥</td><td>TW0001101004</td><td>1962/02/09</td><td>上市</td><td>水泥&amp;工業</td><td>ESVUFR</td><td></td></tr>
+<tr><td>9999台</td><td>X</td><td>1</td><td>m</td><td>g</td><td>c</td><td></td></tr>
+<tr><td>only</td></tr>
+<tr><td ><B> ETF <B> </td></tr>
+<tr><td>0050　元大</td><td>TW0000050004<td>2003/06/30<td>上市<td><td>CEOGEU<td>r</tr>
+</table><center><b>x</b></center></html>
+"""
+
+
+def parse(spark, *pages):
+    df = spark.createDataFrame(list(enumerate(pages)), "page bigint, html string")
+    return listing_rows(df, ["page"])
+
+
+def test_fixture_page(spark):
+    rows = parse(spark, PAGE)
+    good = accepted(rows).drop("page", "cells").orderBy("pos").collect()
+    assert good == [
+        Row(pos=3, type="股票", code="1101", name="台泥", ISIN="TW0001101004", start="1962/02/09",
+            market="上市", group="水泥&工業", CFI="ESVUFR"),
+        Row(pos=7, type="ETF", code="0050", name="元大", ISIN="TW0000050004", start="2003/06/30",
+            market="上市", group="", CFI="CEOGEU"),
+    ]
+    bad = rejected(rows).orderBy("pos").collect()
+    assert [(r.pos, r.type, r.reject_reason) for r in bad] == [
+        (4, "股票", "no single U+3000 in the name cell"),
+        (5, "股票", "cells: 2"),
+    ]
+    assert bad[1].cells == ["", "only"]
+    assert all(r.code is None for r in bad)
+
+
+def test_pages_without_rows(spark):
+    assert parse(spark, "<html></html>", None, "", "<table><tr><td>h</td></tr></table>").count() == 0
+
+
+def test_rows_before_the_first_section_have_no_type(spark):
+    row = "<tr><td>1　a<td>i<td>s<td>m<td>g<td>c<td></tr>"
+    got = parse(spark, f"<tr><td>header</tr>{row}<tr><td><b>X<b></tr>{row}").orderBy("pos").collect()
+    assert [(r.pos, r.type, r.code) for r in got] == [(2, "", "1"), (4, "X", "1")]
+
+
+def test_empty_sections_and_pages_stay_apart(spark):
+    section = "<tr><td><b> {} <b></tr>".format
+    row = "<tr><td>{}　a<td>i<td>s<td>m<td>g<td>c<td></tr>".format
+    one = "<tr>h</tr>" + section("A") + section("B") + row(1) + row(2) + section("C")
+    two = "<tr>h</tr>" + row(3) + section("D") + row(4)
+    got = parse(spark, one, two).orderBy("page", "pos").collect()
+    assert [(r.page, r.type, r.code) for r in got] == [
+        (0, "B", "1"), (0, "B", "2"), (1, "", "3"), (1, "D", "4"),
+    ]
+
+
+def test_one_large_page(spark):
+    row = "<tr><td>{0}　n{0}<td>i<td>s<td>m<td>g<td>c<td></tr>".format
+    page = "<tr>h</tr>" + "".join(
+        f"<tr><td><b>{i}<b></tr>" if i % 100 == 0 else row(i) for i in range(20_000)
+    )
+    rows = parse(spark, page)
+    assert rows.count() == 19_800
+    wrong = rows.where(F.col("type").cast("int") != F.floor(F.col("code").cast("int") / 100) * 100)
+    assert wrong.count() == 0
+
+
+def test_plan_has_no_shuffle_and_no_python(spark):
+    plan = parse(spark, PAGE)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Python" not in plan

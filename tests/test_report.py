@@ -1,0 +1,93 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from quotemill.operators.rejects import accepted, rejected
+from quotemill.operators.tables import write_report
+from quotemill.plans.report import daily_report, report_codes
+from quotemill.sources.report import report_rows
+
+CODE, SIGN = "證券代號", "漲跌(+/-)"
+
+
+def doc(date="20171103", fields=(CODE, SIGN), data=(("1101", "+"), ("1102", "-")), stat="OK"):
+    return json.dumps({"stat": stat, "date": date, "fields5": fields, "data5": data})
+
+
+def raw(spark, *docs):
+    return spark.createDataFrame([(d,) for d in docs], "value string")
+
+
+def test_rows(spark):
+    report, rejects = daily_report(raw(spark, doc()))
+    assert report.columns == ["date", "stat", "pos", CODE]
+    assert [tuple(r) for r in report.orderBy("pos").collect()] == [
+        ("20171103", "OK", 0, "1101"),
+        ("20171103", "OK", 1, "1102"),
+    ]
+    assert [r[0] for r in report_codes(report.orderBy("pos")).collect()] == ["1101", "1102"]
+    assert rejects.count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, reasons",
+    [
+        (doc(stat="no data"), ["stat no data", "stat no data"]),
+        (json.dumps({"stat": "no data"}), ["stat no data"]),
+        (doc(data=[["1101"], ["1", "2", "3"]]), ["row length is not the header's"] * 2),
+        (doc(fields=[CODE, CODE]), ["doubled column name"] * 2),
+        (doc(data=[]), []),
+        (json.dumps({"stat": "OK", "date": "x"}), ["no fields5 or data5"]),
+        ("not json", ["no report"]),
+        (None, ["no report"]),
+    ],
+)
+def test_rejects_do_not_stop_the_others(spark, text, reasons):
+    rows = report_rows(raw(spark, doc(), text), [CODE])
+    assert accepted(rows).count() == 2
+    got = rejected(rows).collect()
+    assert [r.reject_reason for r in got] == reasons
+    assert all(r[CODE] is None for r in got)
+
+
+def test_columns_differ_between_reports(spark):
+    rows = report_rows(raw(spark, doc(), doc("20171106", ["x", CODE], [["7", "2330"]])))
+    assert rows.columns == ["date", "stat", "pos", "x", CODE, SIGN, "reject_reason"]
+    got = {(r.date, r[CODE], r.x, r[SIGN]) for r in accepted(rows).collect()}
+    assert got == {
+        ("20171103", "1101", None, "+"), ("20171103", "1102", None, "-"), ("20171106", "2330", "7", None),
+    }
+
+
+def test_sign_column_has_to_be_there(spark):
+    with pytest.raises(ValueError, match="漲跌"):
+        daily_report(raw(spark, doc(fields=[CODE, "x"])))
+
+
+def test_numbers_keep_their_text(spark):
+    rows = report_rows(raw(spark, doc(fields=["a", "b"], data=[[1.50, None]])), ["a", "b"])
+    assert [(r.a, r.b) for r in rows.collect()] == [("1.5", None)]
+
+
+@pytest.mark.parametrize("day", [dt.date(2017, 11, 3), dt.date(2017, 11, 4), dt.date(2017, 11, 5)])
+def test_report_of_a_weekend_is_fridays(spark, day):
+    docs = raw(spark, doc(), doc("20171106", data=[["9", "+"]]))
+    report, _ = daily_report(docs, F.lit(day), [CODE, SIGN])
+    assert {r.date for r in report.collect()} == {"20171103"}
+
+
+def test_export(spark, tmp_path):
+    rows = [["1101", 'a,"b"'], ["1102", ""], ["1103", None]]
+    report = accepted(report_rows(raw(spark, doc(fields=[CODE, "n"], data=rows)), [CODE, "n"]))
+    target = write_report(report, str(tmp_path))
+    parts = list((tmp_path / "個股收盤.csv" / "date=20171103").glob("*.csv"))
+    assert target.endswith("個股收盤.csv")
+    assert [p.read_text() for p in parts] == [f',{CODE},n\n0,1101,"a,""b"""\n1,1102,\n2,1103,\n']
+
+
+def test_json_is_parsed_once_per_report(spark):
+    rows = report_rows(raw(spark, doc()), [CODE, SIGN])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "Exchange" not in plan and "Python" not in plan
