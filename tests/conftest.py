@@ -42,3 +42,11 @@ def database(spark, tmp_path):
     spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/db'")
     yield name
     spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@pytest.fixture
+def all_partitions(spark):
+    """Keep small shuffle partitions apart, to see how rows would spread."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
