@@ -136,7 +136,7 @@ def test_clustered_append_is_ranged(spark, database, all_partitions):
     per_file = (
         spark.table(name).groupBy(F.input_file_name().alias("f"))
         .agg(F.count("*").alias("n"), F.min("stock").alias("lo"), F.max("stock").alias("hi"))
-        .orderBy("lo").collect()
+        .orderBy("lo", "hi").collect()
     )
     assert max(r.n for r in per_file) < 40_000 / 3  # the hot stock is split
     assert all(a.hi <= b.lo for a, b in zip(per_file, per_file[1:]))
