@@ -11,24 +11,27 @@ from ..schemas import BROKERAGE_AVG_PRICE, LISTING_FIELDS, REPORT_SUFFIX, TDCC
 from .columns import require
 
 
+def write_lines(df: DataFrame, line: Column, header: str, path: str, line_sep: str = "\r\n") -> None:
+    """``line`` of every row as text; every file starts with ``header``."""
+    row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    with_header = F.concat(F.lit(header + line_sep), line)
+    (
+        df.select(F.when(row_of_task == 0, with_header).otherwise(line).alias("value"))
+        .write.mode("overwrite")
+        .option("lineSep", line_sep)
+        .option("maxRecordsPerFile", 0)  # one file per task, so one header
+        .text(path)
+    )
+
+
 def write_master(df: DataFrame, path: str, fields: list[str] = LISTING_FIELDS) -> None:
     """Master as CSV: header, minimal quoting, doubled quotes, CRLF, NULL as empty.
 
     The records are built as text, because the CSV writer with CRLF turns a line
-    feed inside a field into CRLF as well. The first row of a task, and so of a
-    file, brings the header along.
+    feed inside a field into CRLF as well.
     """
     require(df, *fields)
-    row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    line = csv_line([F.col(f) for f in fields])
-    header = F.concat(csv_line([F.lit(f) for f in fields]), F.lit("\r\n"))
-    (
-        df.select(F.when(row_of_task == 0, F.concat(header, line)).otherwise(line).alias("value"))
-        .write.mode("overwrite")
-        .option("lineSep", "\r\n")
-        .option("maxRecordsPerFile", 0)
-        .text(path)
-    )
+    write_lines(df, csv_line([F.col(f) for f in fields]), ",".join(fields), path)
 
 
 def write_report(df: DataFrame, path: str) -> str:

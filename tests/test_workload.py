@@ -1,0 +1,51 @@
+"""Every registered query against its SQL in DuckDB, on the whole driver tables."""
+
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def text(value):
+    if isinstance(value, float) and not math.isnan(value):
+        return repr(value)
+    return str(value)
+
+
+def rows(names, tuples):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(text(t[i]) for i in order) for t in tuples)
+
+
+def test_every_query_has_its_sql():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_query_equals_sql(spark, duck, sf_dir, name):
+    got = driver.queries()[name](spark, sf_dir)
+    result = duck.execute(driver.oracle_sql()[name])
+    names = [d[0] for d in result.description]
+    assert sorted(got.columns) == sorted(names)
+    expect = rows(names, result.fetchall())
+    assert expect, "the SQL gives no rows"
+    assert rows(got.columns, got.collect()) == expect
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() == 3
