@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, VarcharType
+from pyspark.sql.types import DataType, DecimalType, StructType, VarcharType
 
 from ..functions.text import as_string, strip_chars
 from ..schemas import BOOKS, EQUITY_TYPE
@@ -50,23 +52,36 @@ def equities(df: DataFrame) -> DataFrame:
     return df.where(F.col("type") == EQUITY_TYPE)
 
 
+def _fitted(col: Column, dtype: DataType) -> Column:
+    """``col`` as ``dtype``, NULL where it does not fit."""
+    if isinstance(dtype, VarcharType):
+        text = as_string(col)
+        return F.when(F.char_length(text) <= dtype.length, text)
+    if isinstance(dtype, DecimalType):
+        # try_cast throws and catches an exception for every overflow, which costs
+        # more than all the rest; so test the range in a wider type first.
+        wide = col.try_cast(DecimalType(max(dtype.precision, 18), dtype.scale))
+        limit = F.lit(Decimal(10) ** (dtype.precision - dtype.scale))
+        return F.when(F.abs(wide) < limit, wide.try_cast(dtype))
+    return col.try_cast(dtype)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Cast to the types of a table, by column name.
 
     What does not fit becomes NULL, and ``reject_reason`` names the column: a
     value out of range, a text too long, a NULL where none is allowed.
     """
-    require(df, *schema.fieldNames())
-    values, reasons = [], []
-    for field in schema.fields:
-        col = F.col(field.name)
-        if isinstance(field.dataType, VarcharType):
-            text = as_string(col)
-            value = F.when(F.char_length(text) <= field.dataType.length, text)
-        else:
-            value = col.try_cast(field.dataType)
-        values.append(value.alias(field.name))
-        if not field.nullable:
-            reasons.append(F.when(col.isNull(), f"{field.name} is NULL"))
-        reasons.append(F.when(col.isNotNull() & value.isNull(), f"{field.name} does not fit"))
-    return df.select(*values, F.nullif(F.concat_ws("; ", *reasons), F.lit("")).alias(REASON))
+    names = schema.fieldNames()
+    require(df, *names)
+    typed = df.select(
+        *[F.col(f.name).isNotNull().alias(f"given_{f.name}") for f in schema.fields],
+        *[_fitted(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
+    )
+    reasons = []
+    for f in schema.fields:
+        given = F.col(f"given_{f.name}")
+        if not f.nullable:
+            reasons.append(F.when(~given, f"{f.name} is NULL"))
+        reasons.append(F.when(given & F.col(f.name).isNull(), f"{f.name} does not fit"))
+    return typed.select(*names, F.nullif(F.concat_ws("; ", *reasons), F.lit("")).alias(REASON))

@@ -76,11 +76,13 @@ def listing_pages(part: DataFrame, name_cell=None, last_cells: int = 1) -> DataF
     )
 
 
-def report_documents(orders: DataFrame, fields: list[str], values: list, stat=None) -> DataFrame:
-    """``(value)``: one report per order date and block of order keys, entries sorted."""
+def report_documents(
+    orders: DataFrame, fields: list[str], values: list, stat=None, day="o_orderdate"
+) -> DataFrame:
+    """``(value)``: one report per day and block of order keys, entries sorted."""
     entry = F.array(*[v.cast("string") for v in values])
     docs = orders.groupBy(
-        F.to_date("o_orderdate").alias("day"), block("o_orderkey", REPORT_KEYS).alias("chunk")
+        F.to_date(day).alias("day"), block("o_orderkey", REPORT_KEYS).alias("chunk")
     ).agg(F.array_sort(F.collect_list(entry)).alias("data5"))
     report = F.struct(
         (F.lit("OK") if stat is None else stat).alias("stat"),

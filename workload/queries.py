@@ -222,20 +222,19 @@ def master_csv_rejects(spark, sf):
 
 _REPORT = [REPORT_CODE, REPORT_CHANGE_SIGN, "status"]
 _REPORT_SQL = """
-select strftime(o_orderdate, '%Y%m%d') as date, cast(o_orderkey as varchar) as code,
-       o_orderstatus as status,
-       cast(row_number() over (partition by o_orderdate, o_orderkey // 100000
+select strftime(day, '%Y%m%d') as date, cast(o_orderkey as varchar) as code, o_orderstatus as status,
+       cast(row_number() over (partition by day, o_orderkey // 100000
                                order by cast(o_orderkey as varchar)) - 1 as integer) as pos
-from orders
+from (select *, {day} as day from orders)
 """
 
 
-def _reports(spark, sf, stat=None):
+def _reports(spark, sf, stat=None, day="o_orderdate"):
     values = [F.col("o_orderkey"), F.lit("+"), F.col("o_orderstatus")]
-    return encode.report_documents(table(spark, sf, "orders"), _REPORT, values, stat)
+    return encode.report_documents(table(spark, sf, "orders"), _REPORT, values, stat, day)
 
 
-@query(_REPORT_SQL)
+@query(_REPORT_SQL.format(day="o_orderdate"))
 def report_rows(spark, sf):
     rows = accepted(report_source.report_rows(_reports(spark, sf), _REPORT))
     return rows.select("date", F.col(REPORT_CODE).alias("code"), "status", "pos")
@@ -269,14 +268,15 @@ def report_codes(spark, sf):
     return report.report_codes(rows).withColumnRenamed(REPORT_CODE, "code")
 
 
-@query(_REPORT_SQL)
+@query(_REPORT_SQL.format(day="date_trunc('month', o_orderdate)"))
 def report_export(spark, sf):
-    rows, _ = report.daily_report(_reports(spark, sf), columns=_REPORT)
+    """Reports by month, to have fewer folders than days."""
+    month = F.trunc("o_orderdate", "month")
+    rows, _ = report.daily_report(_reports(spark, sf, day=month), columns=_REPORT)
     target = tables.write_report(rows, stage_path(spark, "reports"))
     schema = "pos int, code string, status string, date string"
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(target).select(
-        "date", "code", "status", "pos"
-    )
+    rows = spark.read.schema(schema).option("header", True).csv(target)
+    return rows.select("date", "code", "status", "pos")
 
 
 @query("""
@@ -475,15 +475,17 @@ def archive_rows(spark, sf):
 
 
 def _landing_folder(spark, sf):
-    """All orders as broker archives, and the number of orders of each day as dated ones."""
+    """All orders as broker archives, and the number of orders of each month as dated ones."""
     orders = table(spark, sf, "orders")
-    days = orders.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("n"))
-    label = dates.snap_label(F.col("o_orderdate"))
-    day_texts = days.select(
+    months = orders.groupBy(F.trunc("o_orderdate", "month").alias("month")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    label = dates.snap_label(F.col("month"))
+    month_texts = months.select(
         F.concat(F.lit("3大法人_"), label, F.lit(".zip")).alias("path"),
-        F.concat_ws(",", dates.compact_date(F.col("o_orderdate")), "n").alias("text"),
+        F.concat_ws(",", dates.compact_date(F.col("month")), "n").alias("text"),
     )
-    texts = encode.order_texts(orders, _order_title).unionByName(day_texts)
+    texts = encode.order_texts(orders, _order_title).unionByName(month_texts)
     folder = stage_path(spark, "landing")
     encode.write_files(encode.archives(texts), folder)
     return folder
@@ -492,7 +494,9 @@ def _landing_folder(spark, sf):
 _FOLDER_SQL = """
 select '全台卷商交易資料_' || (o_orderkey // 50000 * 50000) || '.zip' as title, 'Broker' as destination from orders
 union
-select '3大法人_' || strftime(o_orderdate, '%y%m%d') || '.zip' as title, 'Investors' as destination from orders
+select '3大法人_' || strftime(date_trunc('month', o_orderdate), '%y%m%d') || '.zip' as title,
+       'Investors' as destination
+from orders
 """
 
 
@@ -525,8 +529,8 @@ def snapshot_selection(spark, sf):
 @query("""
 select 'Broker' as destination, cast(o_orderkey as varchar) as a, o_orderpriority as b from orders
 union all
-select 'Investors', strftime(o_orderdate, '%Y%m%d'), cast(count(*) as varchar)
-from orders where o_orderdate = (select max(o_orderdate) from orders) group by o_orderdate
+select 'Investors', strftime(max(month), '%Y%m%d'), cast(max_by(n, month) as varchar)
+from (select date_trunc('month', o_orderdate) as month, count(*) as n from orders group by month)
 """)
 def snapshot_intake(spark, sf):
     """Run twice: the second run finds nothing to do."""
