@@ -7,17 +7,20 @@ from pyspark.sql import functions as F
 
 IDEOGRAPHIC_SPACE = "　"
 
-# Entities that occur in listing markup. The ampersand comes last,
-# so that "&amp;lt;" yields "&lt;".
-_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
+# Entities that occur in listing markup.
+_PLAIN_ENTITIES = [
     ("&quot;", '"'),
     ("&#39;", "'"),
     ("&apos;", "'"),
-    ("&nbsp;", " "),
+    ("&nbsp;", " "),
     ("&#12288;", IDEOGRAPHIC_SPACE),
     ("&#x3000;", IDEOGRAPHIC_SPACE),
+]
+# These stand for characters of the markup itself. The ampersand comes last, so
+# that "&amp;lt;" yields "&lt;".
+_MARKUP_ENTITIES = [
+    ("&lt;", "<"),
+    ("&gt;", ">"),
     ("&amp;", "&"),
 ]
 
@@ -78,13 +81,23 @@ def file_name(col: Column) -> Column:
     return F.regexp_extract(col, r"[^/]+$", 0)
 
 
-def decode_entities(col: Column) -> Column:
+def _decoded(col: Column, entities: list[tuple[str, str]]) -> Column:
     decoded = col
-    for entity, char in _ENTITIES:
+    for entity, char in entities:
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
     return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
 
 
+def decode_plain_entities(col: Column) -> Column:
+    """Decode what is no markup: can be done on a whole page before it is parsed."""
+    return _decoded(col, _PLAIN_ENTITIES)
+
+
+def decode_markup_entities(col: Column) -> Column:
+    """Decode ``<``, ``>`` and ``&``: to be done last, on the text of an element."""
+    return _decoded(col, _MARKUP_ENTITIES)
+
+
 def csv_line(cols: list[Column]) -> Column:
     """One CSV record without its line end: quoted only where needed, quotes doubled, NULL empty."""
 

@@ -35,19 +35,33 @@ def key_count(df: DataFrame, key: str | list[str]) -> DataFrame:
     return df.select(*_names(key)).distinct().agg(F.count(F.lit(1)).alias("n"))
 
 
+def distinct_keys(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """The different keys, grouped as a struct.
+
+    Grouped by the bare columns, they would be partitioned as a following join
+    wants them, and the join would read the aggregate without a shuffle of its
+    own. AQE splits hot keys of the other side only where both sides are shuffled.
+    """
+    keys = _names(key)
+    return df.select(F.struct(*keys).alias("key")).distinct().select("key.*")
+
+
 def _by_existence(
     wanted: DataFrame, existing: DataFrame, key: str | list[str], how: str
 ) -> DataFrame:
     keys = _names(key)
-    existing = existing.select(*[F.col(k).alias(f"existing_{k}") for k in keys]).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"existing_{k}")) for k in keys]
+    existing = distinct_keys(
+        existing.select(*[F.col(k).alias(f"existing_{k}") for k in keys]),
+        [f"existing_{k}" for k in keys],
+    )
+    same = [F.col(k) == F.col(f"existing_{k}") for k in keys]
     return wanted.join(existing, reduce(Column.__and__, same), how)
 
 
 def missing(wanted: DataFrame, existing: DataFrame, key: str | list[str]) -> DataFrame:
-    """Rows of ``wanted`` whose key does not occur in ``existing``.
+    """Rows of ``wanted`` whose key does not occur in ``existing``; a NULL key never occurs.
 
-    ``existing`` is reduced to its keys before the shuffle. AQE broadcasts them
+    ``existing`` is reduced to its keys before it is shuffled. AQE broadcasts them
     if they turn out small, and splits hot keys of ``wanted`` if not.
     """
     return _by_existence(wanted, existing, key, "left_anti")
@@ -66,9 +80,10 @@ def title_has(col: Column, marker: str) -> Column:
 def matching(catalog: DataFrame, needles: DataFrame, col: str = "title") -> DataFrame:
     """Rows of ``catalog`` whose ``col`` contains any value of the one-column ``needles``.
 
-    Up to 64 needles become literals of a pushed-down filter. For more, the rows
-    meet the needles by an equi-join: every needle holds its own first ``width``
-    characters, so only titles with that piece are compared in full.
+    Up to 64 needles become literals of a pushed-down filter. For more, the
+    different titles are taken apart into their pieces of the needles' lengths, and
+    a piece that equals a needle is a hit: an equi-join, for titles as short as
+    file names.
     """
     name = needles.columns[0]
     needles = needles.select(F.col(name).alias("needle")).where("needle is not null").distinct()
@@ -78,27 +93,28 @@ def matching(catalog: DataFrame, needles: DataFrame, col: str = "title") -> Data
     if len(head) <= _MAX_LITERAL_NEEDLES:
         return catalog.where(reduce(Column.__or__, [title_has(F.col(col), r.needle) for r in head]))
 
-    width = needles.agg(F.min(F.char_length("needle"))).first()[0]
-    if width == 0:
+    longest = catalog.agg(F.max(F.char_length(col))).first()[0]
+    lengths = needles.select(F.char_length("needle").alias("n")).where(F.col("n") <= longest)
+    lengths = sorted(r.n for r in lengths.distinct().collect())
+    if not lengths:
+        return catalog.where(F.lit(False))
+    if lengths[0] == 0:
         return catalog.where(F.col(col).isNotNull())
-    titles = catalog.select(F.col(col).alias("title")).distinct()
-    places = F.sequence(F.lit(1), F.char_length("title") - (width - 1))
-    pieces = titles.where(F.char_length("title") >= width).select(
-        "title",
-        F.explode(
-            F.array_distinct(
-                F.transform(places, lambda p: F.substr(F.col("title"), p, F.lit(width)))
-            )
-        ).alias("piece"),
-    )
-    needles = needles.withColumn("piece", F.substr("needle", F.lit(1), F.lit(width)))
-    hits = pieces.join(
-        needles,
-        (pieces["piece"] == needles["piece"])
-        & F.contains(pieces["title"], needles["needle"]),
-        "left_semi",
+
+    title = F.col("title")
+
+    def pieces_of(length):
+        starts = F.sequence(F.lit(1), F.char_length(title) - length + 1)
+        pieces = F.transform(starts, lambda start: F.substr(title, start, length))
+        return F.when(F.char_length(title) >= length, pieces).otherwise(F.array().cast("array<string>"))
+
+    pieces = F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), pieces_of))
+    pieces = catalog.select(F.col(col).alias("title")).distinct().select(
+        "title", F.explode(F.array_distinct(pieces)).alias("piece")
     )
-    hits = hits.select(F.col("title").alias("hit")).distinct()
+    needles = distinct_keys(needles, "needle")
+    hits = pieces.join(needles, pieces["piece"] == needles["needle"], "left_semi")
+    hits = distinct_keys(hits.select(F.col("title").alias("hit")), "hit")
     return catalog.join(hits, catalog[col] == hits["hit"], "left_semi")
 
 
@@ -106,7 +122,8 @@ def lookup(df: DataFrame, master: DataFrame, on: str = "code", how: str = "inner
     """Rows of ``df`` with the columns of the one ``master`` row of the same code.
 
     No broadcast hint: AQE decides by the master's real size, and splits hot
-    codes where it has to shuffle.
+    codes where it has to shuffle both sides. So hand over a stored master, not the
+    aggregate that makes it.
     """
     return df.join(master, on, how)
 

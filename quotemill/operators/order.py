@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,30 +19,33 @@ def carry_down(
     """The last non-NULL ``col`` up to each row of its ``part``, ``''`` before the first.
 
     ``pos`` is an integer, unique within a part. The rows of a part are windowed
-    in blocks of ``block`` positions, and the value to start a block with comes
-    from one summary row per block; a part of any size thus spreads over tasks.
+    in blocks of ``block`` positions. What a block starts with comes from one summary
+    row per block, which goes into the window ahead of the block's rows; so a part of
+    any size spreads over tasks, and rows are shuffled once.
     """
     parts = [part] if isinstance(part, str) else list(part)
-    blocked = df.withColumn("block", F.col(pos) - F.pmod(pos, F.lit(block)))
-    ends = blocked.groupBy(*parts, "block").agg(
+    rows = df.withColumn("block", F.col(pos) - F.pmod(pos, F.lit(block))).withColumn(out, F.col(col))
+    ends = rows.groupBy(*parts, "block").agg(
         F.max_by(col, F.when(F.col(col).isNotNull(), F.col(pos))).alias("block_end")
     )
     earlier = Window.partitionBy(*parts).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.select(
-        *[F.col(p).alias(f"start_{p}") for p in parts],
-        F.col("block").alias("start_block"),
-        F.last("block_end", ignorenulls=True).over(earlier).alias("block_start"),
-    )
-    same = reduce(
-        Column.__and__,
-        [F.col(p).eqNullSafe(F.col(f"start_{p}")) for p in parts],
-        F.col("block") == F.col("start_block"),
-    )
+        *parts,
+        "block",
+        F.last("block_end", ignorenulls=True).over(earlier).alias(out),
+        F.lit(True).alias("block_start"),
+    ).where(F.col(out).isNotNull())
     so_far = (
-        Window.partitionBy(*parts, "block").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*parts, "block")
+        .orderBy(F.col(pos).asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        rows.unionByName(starts, allowMissingColumns=True)
+        .withColumn(out, F.coalesce(F.last(out, ignorenulls=True).over(so_far), F.lit("")))
+        .where(F.col("block_start").isNull())
+        .select(*df.columns, out)
     )
-    carried = F.coalesce(F.last(col, ignorenulls=True).over(so_far), "block_start", F.lit(""))
-    return blocked.join(starts, same, "left").select(*df.columns, carried.alias(out))
 
 
 def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index") -> DataFrame:

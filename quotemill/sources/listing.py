@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import code_and_name, decode_entities, strip_spaces
+from ..functions.text import (
+    code_and_name,
+    decode_markup_entities,
+    decode_plain_entities,
+    strip_spaces,
+)
 from ..operators.rejects import REASON
 from ..schemas import LISTING_FIELDS
 
@@ -34,7 +39,7 @@ def listing_rows(pages: DataFrame, key_cols: list[str], html_col: str = "html")
         row = F.concat(F.lit("<tr"), F.regexp_replace(chunk, _ROW_TAIL, ""))
         return F.regexp_extract_all(row, F.lit(_ELEMENT_TEXT), 1)
 
-    chunks = F.split(html_col, _ROW_START)
+    chunks = F.split(decode_plain_entities(F.col(html_col)), _ROW_START)
     rows = pages.select(*key_cols, chunks.alias("chunks")).select(
         *key_cols,
         F.transform(
@@ -51,7 +56,7 @@ def listing_rows(pages: DataFrame, key_cols: list[str], html_col: str = "html")
             F.filter("rows", lambda row: F.size(row.cells) == _SECTION_CELLS),
             lambda row: F.struct(
                 (row.pos + 1).alias("start"),
-                strip_spaces(decode_entities(F.get(row.cells, F.lit(2)))).alias("type"),
+                strip_spaces(decode_markup_entities(F.get(row.cells, F.lit(2)))).alias("type"),
             ),
         ),
     )
@@ -73,18 +78,28 @@ def listing_rows(pages: DataFrame, key_cols: list[str], html_col: str = "html")
         *key_cols, "type", F.inline("section_rows")
     )
 
-    text = [decode_entities(F.get("cells", F.lit(i))) for i in range(1, _DATA_CELLS - 1)]
-    code, name = code_and_name(text[0])
+    texts = {
+        f"text_{i}": decode_markup_entities(F.get("cells", F.lit(i)))
+        for i in range(1, _DATA_CELLS - 1)
+    }
+    code, name = code_and_name(F.col("text_1"))
     reason = F.when(
         F.size("cells") != _DATA_CELLS,
         F.concat(F.lit("cells: "), F.size("cells").cast("string")),
     ).when(code.isNull(), F.lit("no single U+3000 in the name cell"))
-    values = dict(zip(LISTING_FIELDS[1:], [code, name, *text[1:]]))
-    return data.withColumn(REASON, reason).select(
-        *key_cols,
-        "pos",
-        "type",
-        *[F.when(F.col(REASON).isNull(), v).alias(f) for f, v in values.items()],
-        F.when(F.col(REASON).isNotNull(), F.col("cells")).alias("cells"),
-        REASON,
+    values = [code, name, *[F.col(text) for text in list(texts)[1:]]]
+    return (
+        data.withColumns(texts)
+        .withColumn(REASON, reason)
+        .select(
+            *key_cols,
+            "pos",
+            "type",
+            *[
+                F.when(F.col(REASON).isNull(), value).alias(field)
+                for field, value in zip(LISTING_FIELDS[1:], values)
+            ],
+            F.when(F.col(REASON).isNotNull(), F.col("cells")).alias("cells"),
+            REASON,
+        )
     )

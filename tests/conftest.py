@@ -50,3 +50,20 @@ def all_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.fixture
+def skewed_joins(spark):
+    """Joins as of large inputs: no broadcast, and small partitions already count as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")

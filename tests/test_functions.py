@@ -58,8 +58,9 @@ def test_prefix_and_file_name(spark):
 
 
 def test_entities_are_decoded_once(spark):
-    got = values(spark, text.decode_entities, ["a&amp;b", "&amp;lt;", "&lt;", "plain", None])
-    assert got == ["a&b", "&lt;", "<", "plain", None]
+    both = lambda c: text.decode_markup_entities(text.decode_plain_entities(c))
+    got = values(spark, both, ["a&amp;b", "&amp;lt;", "&lt;", "&amp;quot;", "&quot;", "plain", None])
+    assert got == ["a&b", "&lt;", "<", "&quot;", '"', "plain", None]
 
 
 def test_trade_date_rolls_weekends_back(spark):

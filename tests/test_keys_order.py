@@ -20,7 +20,8 @@ def test_missing_and_present(spark):
     rows = lambda df: sorted((r.k for r in df.collect()), key=str)
     assert rows(keys.missing(wanted, existing, "k")) == [None, "a"]
     assert rows(keys.present(wanted, existing, "k")) == ["b", "b"]
-    assert rows(keys.missing(wanted, ids(spark, [None]), "k")) == ["a", "b", "b"]
+    assert rows(keys.missing(wanted, ids(spark, [None]), "k")) == [None, "a", "b", "b"]
+    assert rows(keys.present(wanted, ids(spark, [None]), "k")) == []
     assert rows(keys.missing(wanted, wanted.where("k = 'a'"), "k")) == [None, "b", "b"]
 
 
@@ -119,3 +120,48 @@ def test_plans(spark):
     assert "Window" not in indexed and "Exchange" not in indexed
     carried = plan(order.carry_down(df, "v", "k", "id", "c"))
     assert "SinglePartition" not in carried
+
+
+def final_plan(df):
+    df = df.withColumn("ran", F.lit(1))
+    df.tail(1)
+    return plan(df)
+
+
+@pytest.mark.parametrize("join", [keys.missing, keys.present])
+def test_hot_keys_of_both_sides(spark, tmp_path, skewed_joins, join):
+    """A third of the rows on each side has one key: the left is split, the right reduced first."""
+    hot = lambda n, key: F.when(F.col("id") % 3 == 0, key).otherwise(F.col("id") % n)
+    spark.range(900_000).select(hot(50_000, 70_000).alias("k"), "id").repartition(8).write.parquet(
+        str(tmp_path / "w")
+    )
+    spark.range(300_000).select(hot(25_000, 80_000).alias("k")).repartition(8).write.parquet(
+        str(tmp_path / "e")
+    )
+    wanted, existing = spark.read.parquet(str(tmp_path / "w")), spark.read.parquet(str(tmp_path / "e"))
+    result = join(wanted, existing, "k")
+    text = final_plan(result).split("Initial Plan")[0]
+    assert "SortMergeJoin(skew=true)" in text
+    n = wanted.where("k < 25000").count()
+    assert result.count() == (n if join is keys.present else 900_000 - n)
+
+
+def test_hot_codes_in_a_lookup(spark, tmp_path, skewed_joins):
+    spark.range(900_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50_000).alias("code"), "id"
+    ).repartition(8).write.parquet(str(tmp_path / "f"))
+    spark.range(60_000).select(F.col("id").alias("code"), (F.col("id") * 2).alias("v")).write.parquet(
+        str(tmp_path / "m")
+    )
+    facts, stored = spark.read.parquet(str(tmp_path / "f")), spark.read.parquet(str(tmp_path / "m"))
+    result = keys.lookup(facts, stored)
+    assert "SortMergeJoin(skew=true)" in final_plan(result)
+    assert result.where("v = code * 2").count() == 900_000
+
+
+def test_carry_down_shuffles_rows_by_block(spark, skewed_joins):
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id", F.col("id").cast("string").alias("v"))
+    text = final_plan(order.carry_down(df, "v", "k", "id", "c", 100)).split("Initial Plan")[0]
+    rows = [line for line in text.splitlines() if "Exchange" in line]
+    # rows, their summary, the blocks' starts; only the summary goes by part alone
+    assert len(rows) == 3 and sum("block" in line for line in rows) == 2
