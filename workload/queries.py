@@ -80,13 +80,13 @@ def listing_rows(spark, sf):
 @query("""
 select p_brand as url, p_type as "type", cast(p_partkey as varchar) || sep || p_name as cell,
        'no single U+3000 in the name cell' as reject_reason
-from (select *, case p_size % 3 when 1 then ' ' when 2 then '　　' else '　' end as sep from part)
-where p_size % 3 <> 0
+from (select *, case when p_size < 10 then ' ' when p_size > 40 then '　　' else '　' end as sep from part)
+where p_size < 10 or p_size > 40
 """)
 def listing_rejects(spark, sf):
     part = table(spark, sf, "part")
-    shape = F.col("p_size") % 3
-    sep = F.when(shape == 1, " ").when(shape == 2, "　　").otherwise("　")
+    size = F.col("p_size")
+    sep = F.when(size < 10, " ").when(size > 40, "　　").otherwise("　")
     cell = F.concat(F.col("p_partkey").cast("string"), sep, F.col("p_name"))
     rows = listing.listing_rows(encode.listing_pages(part, cell), ["url", "chunk"])
     return rejected(rows).select("url", "type", F.get("cells", F.lit(1)).alias("cell"), "reject_reason")
@@ -96,18 +96,18 @@ def listing_rejects(spark, sf):
 with rows as (
   select case when p_type = 'ECONOMY' then '股票' else p_type end as "type",
          cast(p_partkey as varchar) as code,
-         replace(p_name, ' ', '') || case when p_partkey % 2 = 0 then '*' else '' end as name,
+         replace(p_name, ' ', '') || case when p_size > 25 then '*' else '' end as name,
          case when p_brand like '%2' then 'tpex' else 'twse' end as book
   from part)
 select 'codes' as set_name, * from rows where "type" = '股票'
 union all select book as set_name, * from rows
 """)
 def build_master(spark, sf):
-    """Two captures; the later one has every second code, under a new name."""
+    """Two captures; the later one has the larger parts only, under new names."""
     part = table(spark, sf, "part").withColumn(
         "p_type", F.when(F.col("p_type") == "ECONOMY", EQUITY_TYPE).otherwise(F.col("p_type"))
     )
-    later = part.where("p_partkey % 2 = 0").withColumn("p_name", F.concat("p_name", F.lit("*")))
+    later = part.where("p_size > 25").withColumn("p_name", F.concat("p_name", F.lit("*")))
     captures = [(dt.datetime(2024, 1, 1), part), (dt.datetime(2024, 1, 2), later)]
     pages = [
         encode.listing_pages(rows).select(
@@ -163,12 +163,12 @@ def carry_down(spark, sf):
 
 
 @query("""
-select p_partkey, case when p_size % 2 = 0 then 'tpex' else 'twse' end as book,
+select p_partkey, case when p_size > 25 then 'tpex' else 'twse' end as book,
        p_type = 'ECONOMY' as is_equity
 from part
 """)
 def route_books(spark, sf):
-    source = F.when(F.col("p_size") % 2 == 0, "tpex")
+    source = F.when(F.col("p_size") > 25, "tpex")
     part = table(spark, sf, "part").select(
         "p_partkey",
         columns.book_of(source).alias("book"),
@@ -204,14 +204,14 @@ def csv_round_trip(spark, sf):
 
 @query("""
 select cast(o_orderkey as varchar) as code, o_orderpriority as name,
-       case when o_orderkey % 3 <> 0 then 'not 8 fields, code ' || o_orderkey end as reject_reason
+       case when o_orderstatus <> 'F' then 'not 8 fields, code ' || o_orderkey end as reject_reason
 from orders
 """)
 def master_csv_rejects(spark, sf):
     """Records of 8, 7 and 9 fields."""
     seven = ["o_orderstatus", "o_orderkey", "o_orderpriority", *["o_custkey"] * 4]
-    shape = F.col("o_orderkey") % 3
-    rest = F.when(shape == 0, ",z").when(shape == 1, "").otherwise(",z,z")
+    status = F.col("o_orderstatus")
+    rest = F.when(status == "F", ",z").when(status == "O", "").otherwise(",z,z")
     path = stage_path(spark, "orders-csv")
     line = F.concat(F.concat_ws(",", *seven), rest)
     tables.write_lines(table(spark, sf, "orders"), line, ",".join(LISTING_FIELDS), path)
@@ -242,10 +242,10 @@ def report_rows(spark, sf):
 
 @query("""
 select strftime(o_orderdate, '%Y%m%d') as date, 'stat no data' as reject_reason, count(*) as n
-from orders where day(o_orderdate) % 2 = 1 group by all
+from orders where isodow(o_orderdate) > 5 group by all
 """)
 def report_rejects(spark, sf):
-    stat = F.when(F.dayofmonth("day") % 2 == 1, "no data").otherwise("OK")
+    stat = F.when(F.weekday("day") > 4, "no data").otherwise("OK")
     rows = report_source.report_rows(_reports(spark, sf, stat), _REPORT)
     return rejected(rows).groupBy("date", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -293,8 +293,8 @@ def trade_date(spark, sf):
 
 
 def _capital_csv(spark, sf):
-    """Suppliers in key order as a capital CSV, every tenth without a number."""
-    capital_text = F.when(F.col("s_suppkey") % 10 != 0, F.format_number("s_acctbal", 2))
+    """Suppliers in key order as a capital CSV, those of the first nations without a number."""
+    capital_text = F.when(F.col("s_nationkey") > 2, F.format_number("s_acctbal", 2))
     code = F.concat(F.lit('="'), "s_suppkey", F.lit('"'))
     line = text.csv_line([code, F.col("s_name"), capital_text, F.lit("NA")])
     path = stage_path(spark, "capital-csv")
@@ -305,7 +305,7 @@ def _capital_csv(spark, sf):
 
 _CAPITAL_SQL = """
 select cast(s_suppkey as varchar) as stock, s_name as name, 'NA' as note,
-       case when s_suppkey % 10 <> 0 then cast(s_acctbal as decimal(18, 2)) end as capital,
+       case when s_nationkey > 2 then cast(s_acctbal as decimal(18, 2)) end as capital,
        row_number() over (order by s_suppkey) - 1 as place
 from supplier
 """
@@ -404,12 +404,12 @@ def latest_snapshot(spark, sf):
 select distinct '3大法人_' || strftime(o_orderdate, '%y%m%d') || suffix as title,
        case when suffix = '.zip' then cast(o_orderdate as date) end as snap_date,
        case when suffix <> '.zip' then 'no date in the title' end as reject_reason
-from (select o_orderdate, case o_orderkey % 3 when 0 then '.zip' when 1 then ' (1).zip' else '0.zip' end as suffix
+from (select o_orderdate, case o_orderstatus when 'F' then '.zip' when 'O' then ' (1).zip' else '0.zip' end as suffix
       from orders)
 """)
 def title_dates(spark, sf):
-    shape = F.col("o_orderkey") % 3
-    suffix = F.when(shape == 0, ".zip").when(shape == 1, " (1).zip").otherwise("0.zip")
+    status = F.col("o_orderstatus")
+    suffix = F.when(status == "F", ".zip").when(status == "O", " (1).zip").otherwise("0.zip")
     title = F.concat(F.lit("3大法人_"), dates.snap_label(F.col("o_orderdate")), suffix)
     titles = table(spark, sf, "orders").select(title.alias("title")).distinct()
     return snapshots.dated_titles(titles, ["3大法人_"]).select("title", "snap_date", "reject_reason")
