@@ -18,7 +18,7 @@ from ..operators.exports import (
 from ..operators.rejects import accepted
 from ..operators.snapshots import dated_titles, latest_snapshot
 from ..schemas import BROKER_DESTINATION, BROKER_MARKER, SNAPSHOT_CATEGORIES
-from ..sources.catalog import snapshot_catalog
+from ..sources.catalog import in_folder, snapshot_catalog
 
 __all__ = ["export_by_mtime", "export_daily", "export_missing", "select_snapshots", "snapshot_intake"]
 
@@ -48,7 +48,7 @@ def snapshot_intake(
 
     Archives with a defect carry a ``reject_reason`` and are taken again next time.
     """
-    catalog = snapshot_catalog(spark, path, glob).where(~F.col("trashed"))
+    catalog = in_folder(snapshot_catalog(spark, path, glob), path)
     outcome = None
     for batch in intake(select_snapshots(catalog), dst, as_of):
         outcome = batch if outcome is None else outcome.unionByName(batch)

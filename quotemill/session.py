@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -36,6 +37,11 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="quotemill-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -47,9 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="quotemill-")
-    spark.conf.set(_CHECKPOINT_DIR, own)
-    return own
+    return _own_dir()
 
 
 def stage_path(spark: SparkSession, name: str) -> str:

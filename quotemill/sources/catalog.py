@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_name
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
 
 def snapshot_catalog(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
     """Files below ``path``. Their content is not read: only listed columns are selected."""
@@ -27,5 +31,6 @@ def snapshot_catalog(spark: SparkSession, path: str, glob: str = "*.zip") -> Dat
 
 
 def in_folder(catalog: DataFrame, parent: str) -> DataFrame:
-    """Entries directly in ``parent`` that are not trashed."""
-    return catalog.where((F.col("parent") == parent) & ~F.col("trashed"))
+    """Entries directly in ``parent`` that are not trashed; the scheme of a path does not count."""
+    folder = re.sub(_SCHEME, "", parent).rstrip("/")
+    return catalog.where((F.regexp_replace("parent", _SCHEME, "") == folder) & ~F.col("trashed"))

@@ -140,7 +140,9 @@ def test_catalog_does_not_read_content(spark, folder):
     assert set(got) == {"a.zip", "b.zip"}
     assert got["a.zip"] == ((folder / "a.zip").stat().st_size, dt.datetime(2024, 1, 2))
     assert "content" not in catalog._jdf.queryExecution().executedPlan().toString()
-    assert in_folder(catalog, f"file:{folder}").count() == 2
+    for same in (f"file:{folder}", f"file://{folder}/", str(folder)):
+        assert in_folder(catalog, same).count() == 2
+    assert in_folder(catalog, str(folder.parent)).count() == 0
     assert in_folder(catalog, "elsewhere").count() == 0
     assert in_folder(catalog.withColumn("trashed", F.lit(True)), f"file:{folder}").count() == 0
 
@@ -209,6 +211,8 @@ def test_intake(spark, tmp_path):
     archive(src / "技術指標_day_240102.zip", **{"old.csv": "old\n"})
     archive(src / "技術指標_day_240103.zip", **{"new.csv": "1\n2\n"})
     archive(src / f"{BROKER}_[1].zip", **{"b.csv": "b1\n"})
+    (src / "sub").mkdir()
+    archive(src / "sub" / f"{BROKER}_sub.zip", **{"b.csv": "not in the folder itself\n"})
     archive(src / f"{BROKER}_2.zip", **{"empty.csv": ""})
     (src / f"{BROKER}_3.zip").write_bytes(b"PK no archive")
     run = lambda: sorted(

@@ -503,9 +503,8 @@ from orders
 @query(f"select title from ({_FOLDER_SQL})")
 def snapshot_catalog(spark, sf):
     folder = _landing_folder(spark, sf)
-    listed = catalog.snapshot_catalog(spark, folder)
-    parent = F.col("parent").endswith(folder.rsplit("/", 1)[1])
-    return listed.where(parent & ~F.col("trashed") & (F.col("length") > 0)).select("title")
+    listed = catalog.in_folder(catalog.snapshot_catalog(spark, folder), folder)
+    return listed.where("length > 0").select("title")
 
 
 @query(f"""
