@@ -14,6 +14,7 @@ from ..functions.text import (
 from ..operators.rejects import REASON
 from ..schemas import LISTING_FIELDS
 
+_COMMENT = r"(?s)<!--.*?-->"
 _ROW_START = r"(?i)<tr(?=[\s>])"
 _ROW_TAIL = r"(?is)</t(?:r|able).*"
 _ELEMENT_TEXT = r"<[a-zA-Z][^>]*>([^<]*)"
@@ -31,15 +32,17 @@ def listing_rows(pages: DataFrame, key_cols: list[str], html_col: str = "html")
     and the job has no shuffle at all. ``pos`` is the row's place on its page.
 
     Not handled as an HTML parser would: nested tables, ``>`` inside an
-    attribute value; a comment is not an element; only the entities that occur
-    in listing markup are decoded.
+    attribute value; comments are dropped, they count as no element; only the
+    entities that occur in listing markup are decoded.
     """
 
     def cells(chunk):
         row = F.concat(F.lit("<tr"), F.regexp_replace(chunk, _ROW_TAIL, ""))
         return F.regexp_extract_all(row, F.lit(_ELEMENT_TEXT), 1)
 
-    chunks = F.split(decode_plain_entities(F.col(html_col)), _ROW_START)
+    html = F.col(html_col)
+    html = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, _COMMENT, "")).otherwise(html)
+    chunks = F.split(decode_plain_entities(html), _ROW_START)
     rows = pages.select(*key_cols, chunks.alias("chunks")).select(
         *key_cols,
         F.transform(

@@ -59,6 +59,13 @@ def test_empty_sections_and_pages_stay_apart(spark):
     ]
 
 
+def test_comments_are_dropped(spark):
+    row = "<tr><td>{}　a<td>i<td>s<!-- <td>no</td> --><td>m<td>g<td>c<td></tr>".format
+    page = "<tr>h</tr>" + row(1) + "<!--\n" + "<tr><td>no rows" * 3 + "-->" + row(2)
+    got = parse(spark, page).orderBy("pos").collect()
+    assert [(r.code, r.start, r.reject_reason) for r in got] == [("1", "s", None), ("2", "s", None)]
+
+
 def test_one_large_page(spark):
     row = "<tr><td>{0}　n{0}<td>i<td>s<td>m<td>g<td>c<td></tr>".format
     page = "<tr>h</tr>" + "".join(
