@@ -52,36 +52,45 @@ def equities(df: DataFrame) -> DataFrame:
     return df.where(F.col("type") == EQUITY_TYPE)
 
 
-def _fitted(col: Column, dtype: DataType) -> Column:
-    """``col`` as ``dtype``, NULL where it does not fit."""
+def _readable(col: Column, dtype: DataType) -> Column:
+    """``col`` as ``dtype``, or in a type wide enough to test its range."""
     if isinstance(dtype, VarcharType):
-        text = as_string(col)
-        return F.when(F.char_length(text) <= dtype.length, text)
+        return as_string(col)
     if isinstance(dtype, DecimalType):
-        # try_cast throws and catches an exception for every overflow, which costs
-        # more than all the rest; so test the range in a wider type first.
-        wide = col.try_cast(DecimalType(max(dtype.precision, 18), dtype.scale))
-        limit = F.lit(Decimal(10) ** (dtype.precision - dtype.scale))
-        return F.when(F.abs(wide) < limit, wide.try_cast(dtype))
+        return col.try_cast(DecimalType(max(dtype.precision, 18), dtype.scale))
     return col.try_cast(dtype)
 
 
+def _in_range(col: Column, dtype: DataType) -> Column:
+    if isinstance(dtype, VarcharType):
+        return F.when(F.char_length(col) <= dtype.length, col)
+    if isinstance(dtype, DecimalType) and dtype.precision < 18:
+        limit = F.lit(Decimal(10) ** (dtype.precision - dtype.scale))
+        return F.when(F.abs(col) < limit, col.try_cast(dtype))
+    return col
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Cast to the types of a table, by column name.
 
     What does not fit becomes NULL, and ``reject_reason`` names the column: a
     value out of range, a text too long, a NULL where none is allowed.
+
+    Decimals are tested in a wider type before the cast, as ``try_cast`` throws and
+    catches an exception for every overflow, which costs more than all the rest.
     """
-    names = schema.fieldNames()
+    fields, names = schema.fields, schema.fieldNames()
     require(df, *names)
-    typed = df.select(
-        *[F.col(f.name).isNotNull().alias(f"given_{f.name}") for f in schema.fields],
-        *[_fitted(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields],
-    )
+    given = [F.col(f.name).isNotNull().alias(f"given_{f.name}") for f in fields]
+    typed = df.select(*given, *[_readable(F.col(f.name), f.dataType).alias(f.name) for f in fields])
+    typed = typed.withColumns({f.name: _in_range(F.col(f.name), f.dataType) for f in fields})
+    # Through a generator of one element: a filter on the reason would otherwise be
+    # pushed down to the input and do all the casts a second time.
+    typed = typed.select(F.inline(F.array(F.struct(*typed.columns))))
     reasons = []
-    for f in schema.fields:
-        given = F.col(f"given_{f.name}")
+    for f in fields:
+        is_given = F.col(f"given_{f.name}")
         if not f.nullable:
-            reasons.append(F.when(~given, f"{f.name} is NULL"))
-        reasons.append(F.when(given & F.col(f.name).isNull(), f"{f.name} does not fit"))
+            reasons.append(F.when(~is_given, f"{f.name} is NULL"))
+        reasons.append(F.when(is_given & F.col(f.name).isNull(), f"{f.name} does not fit"))
     return typed.select(*names, F.nullif(F.concat_ws("; ", *reasons), F.lit("")).alias(REASON))

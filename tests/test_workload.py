@@ -47,5 +47,19 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert rows(got.columns, got.collect()) == expect
 
 
+PYTHON_ALLOWED = {"archive_rows"}
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_plan(spark, sf_dir, name):
+    """No join by nested loops, no row-wise Python, no sort or window in a single task."""
+    plan = driver.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "NestedLoop", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan
+    assert name in PYTHON_ALLOWED or "Python" not in plan and "InArrow" not in plan
+    if name != "key_count":  # one number at the end
+        assert "SinglePartition" not in plan
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() == 3

@@ -129,23 +129,21 @@ def archives(texts: DataFrame) -> DataFrame:
 
 
 def write_files(files: DataFrame, folder: str) -> int:
-    """Write ``files(path, content)`` into ``folder``, from the tasks; the number of files."""
+    """Write ``files(path, content)`` into ``folder``, from the tasks; the number of files.
 
-    def write(batches):
-        import uuid
+    A repeated task writes the same files again.
+    """
 
+    def write(batches):
         import pyarrow as pa
         from pyarrow import fs
 
-        target, base = fs.FileSystem.from_uri(folder)
+        target, base = fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
         target.create_dir(base, recursive=True)
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                # Written aside and moved, as a second attempt may run beside the first.
-                aside = f"{base}/.{uuid.uuid4().hex}"
-                with target.open_output_stream(aside) as out:
+                with target.open_output_stream(f"{base}/{path.as_py()}") as out:
                     out.write(content.as_buffer())
-                target.move(aside, f"{base}/{path.as_py()}")
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
     return files.mapInArrow(write, "n bigint").agg(F.sum("n")).first()[0]

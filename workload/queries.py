@@ -242,7 +242,7 @@ def report_rows(spark, sf):
 
 @query("""
 select strftime(o_orderdate, '%Y%m%d') as date, 'stat no data' as reject_reason, count(*) as n
-from orders where isodow(o_orderdate) > 5 group by all
+from orders where isodow(o_orderdate) > 5 group by 1
 """)
 def report_rejects(spark, sf):
     stat = F.when(F.weekday("day") > 4, "no data").otherwise("OK")
@@ -339,10 +339,8 @@ def capital_report(spark, sf):
 
 @query("select s_name, s_acctbal from supplier order by s_acctbal desc nulls last, s_suppkey limit 3")
 def capital_top3(spark, sf):
-    suppliers = table(spark, sf, "supplier")
-    return order.top_n(suppliers, F.col("s_acctbal").desc_nulls_last(), "s_suppkey").select(
-        "s_name", "s_acctbal"
-    )
+    ranked = order.by_capital(table(spark, sf, "supplier"), "s_acctbal", tie="s_suppkey")
+    return ranked.limit(3).select("s_name", "s_acctbal")
 
 
 @query("""
