@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import (
@@ -22,6 +24,11 @@ _SECTION_CELLS = 4
 _DATA_CELLS = 8
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is named there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def listing_rows(pages: DataFrame, key_cols: list[str], html_col: str = "html") -> DataFrame:
     """All data rows of all pages, each with the section it stands under.
 
@@ -40,45 +47,47 @@ def listing_rows(pages: DataFrame, key_cols: list[str], html_col: str = "html")
         row = F.concat(F.lit("<tr"), F.regexp_replace(chunk, _ROW_TAIL, ""))
         return F.regexp_extract_all(row, F.lit(_ELEMENT_TEXT), 1)
 
-    html = F.col(html_col)
-    html = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, _COMMENT, "")).otherwise(html)
-    chunks = F.split(decode_plain_entities(html), _ROW_START)
-    rows = pages.select(*key_cols, chunks.alias("chunks")).select(
-        *key_cols,
-        F.transform(
-            F.slice("chunks", 3, F.greatest(F.size("chunks") - 2, F.lit(0))),
+    def numbered_rows(chunks):
+        return F.transform(
+            F.slice(chunks, 3, F.greatest(F.size(chunks) - 2, F.lit(0))),
             lambda chunk, i: F.struct((i + 2).alias("pos"), cells(chunk).alias("cells")),
-        ).alias("rows"),
-    )
-    # Each array goes through a generator of one element, which keeps the
-    # optimizer from copying its expression into the lambdas that read it.
-    rows = rows.select(*key_cols, F.inline(F.array(F.struct("rows"))))
-    sections = F.concat(
-        F.array(F.struct(F.lit(2).alias("start"), F.lit("").alias("type"))),
-        F.transform(
-            F.filter("rows", lambda row: F.size(row.cells) == _SECTION_CELLS),
-            lambda row: F.struct(
-                (row.pos + 1).alias("start"),
-                strip_spaces(decode_markup_entities(F.get(row.cells, F.lit(2)))).alias("type"),
-            ),
-        ),
-    )
-    sections = rows.select(
-        *key_cols, F.inline(F.array(F.struct("rows", sections.alias("sections"))))
-    )
+        )
 
-    def section_rows(section, i):
-        following = F.get(F.col("sections"), i + 1)["start"] - 1
-        end = F.coalesce(following, F.size("rows") + 2)
-        return F.struct(
-            section.type.alias("type"),
-            F.slice("rows", section.start - 1, F.greatest(end - section.start, F.lit(0))).alias(
-                "section_rows"
+    def section_starts(rows):
+        headings = F.filter(rows, lambda row: F.size(row.cells) == _SECTION_CELLS)
+        return F.concat(
+            F.array(F.struct(F.lit(2).alias("start"), F.lit("").alias("type"))),
+            F.transform(
+                headings,
+                lambda row: F.struct(
+                    (row.pos + 1).alias("start"),
+                    strip_spaces(decode_markup_entities(F.get(row.cells, F.lit(2)))).alias("type"),
+                ),
             ),
         )
 
-    data = sections.select(*key_cols, F.inline(F.transform("sections", section_rows))).select(
-        *key_cols, "type", F.inline("section_rows")
+    def cut(rows, starts):
+        def section(this, i):
+            end = F.coalesce(F.get(starts, i + 1)["start"] - 1, F.size(rows) + 2)
+            length = F.greatest(end - this.start, F.lit(0))
+            return F.struct(
+                this.type.alias("type"), F.slice(rows, this.start - 1, length).alias("rows")
+            )
+
+        return F.transform(starts, section)
+
+    html = F.col(html_col)
+    html = F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, _COMMENT, "")).otherwise(html)
+    chunks = F.split(decode_plain_entities(html), _ROW_START)
+    sections = _let(
+        chunks,
+        lambda chunks: _let(
+            numbered_rows(chunks),
+            lambda rows: _let(section_starts(rows), lambda starts: cut(rows, starts)),
+        ),
+    )
+    data = pages.select(*key_cols, F.inline(sections)).select(
+        *key_cols, "type", F.inline("rows")
     )
 
     texts = {
