@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import report_line, thousands
@@ -18,12 +18,20 @@ def capital_table(rows: DataFrame) -> DataFrame:
     return table.withColumn(CAPITAL_VALUE, thousands(F.col(CAPITAL_VALUE)))
 
 
-def capital_ranking(spark, path: str, multi_line: bool | None = None) -> DataFrame:
-    """The table by capital, largest first: ``row_index`` is the rank, ``index`` the place in the file."""
-    placed = with_row_index(read_capital(spark, path, multi_line), ORDER, name="index").drop(ORDER)
-    return with_row_index(
-        capital_table(placed), F.col(CAPITAL_VALUE).desc_nulls_last(), "stock", "index"
-    )
+def capital_ranking(
+    spark: SparkSession, path: str, multi_line: bool | None = None, place: bool = True
+) -> DataFrame:
+    """The table by capital, largest first, with the rank as ``row_index``.
+
+    ``index`` is the place in the input, as a second row index; without ``place`` it
+    is left out, which saves a sort of the whole table.
+    """
+    rows = read_capital(spark, path, multi_line)
+    order = [F.col(CAPITAL_VALUE).desc_nulls_last(), "stock"]
+    if place:
+        placed = with_row_index(rows, ORDER, name="index").drop(ORDER)
+        return with_row_index(capital_table(placed), *order, "index")
+    return with_row_index(capital_table(rows), *order, ORDER).drop(ORDER)
 
 
 def top_lines(table: DataFrame, n: int = 3) -> DataFrame:

@@ -42,7 +42,8 @@ def read_master(
     """The eight text fields of a security master, by position; the header line is skipped.
 
     A record with more or fewer fields is a reject. ``multi_line=None`` looks at
-    the text first and reads whole files per task only if some record needs it.
+    the text first and reads whole files per task only if some record needs it. An
+    empty field is NULL, and a CRLF inside a field is read as a line feed.
     """
     if multi_line is None:
         multi_line = spans_lines(spark, path)
@@ -73,12 +74,14 @@ def read_master(
 def read_capital(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """The share-capital table: text columns named by the header line.
 
-    "NA" stays text, fields beyond the header are dropped.
+    "NA" stays text, fields beyond the header are dropped. Of several files, one with
+    another header raises instead of being read under the wrong names.
     """
     if multi_line is None:
         multi_line = spans_lines(spark, path, "\n")
     return (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("lineSep", "\n")
         .option("multiLine", multi_line)

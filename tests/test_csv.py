@@ -1,5 +1,7 @@
 import csv
 import datetime as dt
+import io
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +143,18 @@ def test_capital(spark, tmp_path):
     ]
 
 
+    unplaced = capital_ranking(spark, path, place=False)
+    assert unplaced.columns == [c for c in ranked.columns if c != "index"]
+    assert unplaced.orderBy("row_index").collect() == ranked.drop("index").orderBy("row_index").collect()
+
+
+def test_capital_files_with_different_headers(spark, tmp_path):
+    write(tmp_path / "1.csv", "代號,名稱,股本(億)", "1,a,2", sep="\n")
+    write(tmp_path / "2.csv", "代號,股本(億),名稱", "1,2,a", sep="\n")
+    with pytest.raises(Exception, match="header"):
+        capital_ranking(spark, str(tmp_path))
+
+
 def test_capital_with_fewer_than_three_rows(spark, tmp_path):
     path = write(tmp_path / "c.csv", CAPITAL[0], CAPITAL[1], sep="\n")
     assert top_lines(capital_table(read_capital(spark, path))).count() == 1
@@ -179,3 +193,21 @@ def test_last_wins_does_not_depend_on_partitions(spark, partitions):
     for i in range(10_000):
         expect[0 if i % 3 == 0 else i % 100] = (i, None if i % 2 == 0 else i)
     assert {r.code: (r.id, r.v) for r in got} == expect and len(got) == len(expect)
+
+
+def test_random_text_survives_the_master_csv(spark, tmp_path):
+    rng = random.Random(5)
+    field = lambda: "".join(rng.choice('",\r\n aé　=\'\\') for _ in range(rng.randint(0, 6)))
+    rows = [(f"t{i}", *[field() for _ in range(7)]) for i in range(1500)]
+    schema = ", ".join(f"`{f}` string" for f in LISTING_FIELDS)
+    path = str(tmp_path / "out")
+    write_master(spark.createDataFrame(rows, schema).coalesce(1), path)
+
+    expect = io.StringIO(newline="")
+    csv.writer(expect).writerows([LISTING_FIELDS, *rows])
+    assert next((tmp_path / "out").glob("part-*")).read_bytes().decode() == expect.getvalue()
+
+    back = {r[0]: tuple(r) for r in accepted(read_master(spark, path, "twse")).select(*LISTING_FIELDS).collect()}
+    as_read = lambda v: v.replace("\r\n", "\n") or None
+    wrong = [(r, back.get(r[0])) for r in rows if back.get(r[0]) != tuple(map(as_read, r))]
+    assert not wrong, (len(wrong), wrong[:3])

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -66,6 +68,32 @@ def test_comments_are_dropped(spark):
     assert [(r.code, r.start, r.reject_reason) for r in got] == [("1", "s", None), ("2", "s", None)]
 
 
+def test_random_pages_against_brute_force(spark):
+    rng = random.Random(3)
+    expect, pages = set(), []
+    for page in range(60):
+        html, section = ["<table><tr><th>header</th></tr>"], ""
+        for pos in range(2, rng.randint(2, 40)):
+            kind, tr = rng.random(), rng.choice(["<tr>", "<TR class='x'>", "<tr\n id=1>"])
+            end = rng.choice(["</tr>", "", "</TR>\n", "</td></tr><!-- <tr><td>no -->"])
+            if kind < 0.2:
+                section = rng.choice(["股票", "ETF", "a  b"])
+                html.append(f"{tr}<td colspan=7><B> {section} <B>{end}")
+            elif kind < 0.35:
+                cells = rng.choice([1, 2, 4, 5, 6, 8, 9])
+                html.append(tr + "<td>1　x" * cells + end)
+                expect.add((page, pos, section, None, f"cells: {cells + 1}"))
+            elif kind < 0.45:
+                html.append(tr + "<td>no separator" + "<td>v" * 6 + end)
+                expect.add((page, pos, section, None, "no single U+3000 in the name cell"))
+            else:
+                html.append(f"{tr}<td> {pos} 　n<td>v</td><td>v<td><td>v</td><td>v<td>{end}")
+                expect.add((page, pos, section, str(pos), None))
+        pages.append("".join(html) + "</table><p><b>tail</b></p>")
+    got = parse(spark, *pages).select("page", "pos", "type", "code", "reject_reason").collect()
+    assert set(map(tuple, got)) == expect and len(got) == len(expect)
+
+
 def test_one_large_page(spark):
     row = "<tr><td>{0}　n{0}<td>i<td>s<td>m<td>g<td>c<td></tr>".format
     page = "<tr>h</tr>" + "".join(
