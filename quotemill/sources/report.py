@@ -60,7 +60,7 @@ def report_rows(
         .when(F.size(F.array_distinct("fields5")) != F.size("fields5"), "doubled column name")
     )
     # A rejected report without rows still has to show up as one reject.
-    no_rows = F.coalesce(F.size("data5"), F.lit(0)) == 0
+    no_rows = F.coalesce(F.size("data5"), F.lit(0)) <= 0  # -1 for NULL without ANSI mode
     entries = F.when(
         F.col("header_reason").isNotNull() & no_rows,
         F.array(F.lit(None).cast("array<string>")),

@@ -52,6 +52,16 @@ def test_rejects_do_not_stop_the_others(spark, text, reasons):
     assert all(r[CODE] is None for r in got)
 
 
+def test_without_ansi_mode(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        texts = [doc(), json.dumps({"stat": "no data"}), "not json", None, doc(data=[["1101"]])]
+        rows = report_rows(raw(spark, *texts), [CODE])
+        assert accepted(rows).count() == 2 and rejected(rows).count() == 4
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_columns_differ_between_reports(spark):
     rows = report_rows(raw(spark, doc(), doc("20171106", ["x", CODE], [["7", "2330"]])))
     assert rows.columns == ["date", "stat", "pos", "x", CODE, SIGN, "reject_reason"]
