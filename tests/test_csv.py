@@ -1,6 +1,7 @@
 import csv
 import datetime as dt
 import io
+import pathlib
 import random
 
 import pytest
@@ -112,13 +113,7 @@ def test_source_order_over_splits(spark, tmp_path):
     assert got == {str(i % 7): f"{i:06d}" for i in range(4993, 5000)}
 
 
-CAPITAL = [
-    "代號,名稱,股本(億),備註",
-    '="0050",元大,100.5,NA',
-    '="2330",台積電,"2,593",',
-    '="1101",台泥,,x',
-    '="9999",額外,5,y,z',
-]
+CAPITAL = (pathlib.Path(__file__).parent / "fixtures" / "capital.csv").read_text("utf-8").splitlines()
 
 
 def test_capital(spark, tmp_path):
