@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from ..functions.dates import snap_label
-from ..session import read_or_empty, stage_path, staged
+from ..session import read_or_empty, staged
 from ..sources.archives import MEMBER_ROWS, expand_archives
 from .columns import require
 from .keys import missing, present
