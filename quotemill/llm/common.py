@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
+
 #: Characters between words: space, and tab to carriage return. Everything else is part of a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,33 +20,42 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD + "+")), F.lit(0)).cast("long")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` written once as (``row``, ``record``): a number per row, and all columns as a struct.
+
+    The number stays the same however often the table is read, also for repeated rows.
+    """
+    record = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return staged(docs.select(F.monotonically_increasing_id().alias("row"), record.alias("record")), "rows")
+
+
 def running_sum(
-    df: DataFrame, by: list[str], order: list[str], value: Column, name: str, slice_rows: int = 200_000
+    df: DataFrame, by: list[str], order: list[str], value: Column, name: str, ties: list[str] = (), slice_rows: int = 200_000
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the rows before a row among those equal in ``by``.
 
-    The rows of a group stand in the order of a hash of ``order``, so the order is
-    pseudorandom, but the same in each run. With 1 as ``value`` the result numbers the
-    rows of each group from 0 without a gap.
+    The rows of a group stand in the order of a hash of ``order`` (then of ``order`` and
+    ``ties`` themselves), so the order is pseudorandom, but the same in each run. With 1 as
+    ``value`` the result numbers the rows of each group from 0 without a gap.
 
     No task gets a whole group: the hash range is cut into slices, each slice is summed
     in its own window, and what the slices before it add up to comes from one row per
-    group and slice. ``order`` should tell rows apart.
+    group and slice.
     """
-    slices = max(1, df.count() // slice_rows + 1)
+    slices = df.count() // slice_rows + 1
     hashed = df.withColumn("_h", F.xxhash64(*order)).withColumn(
-        "_slice", F.shiftrightunsigned("_h", 33) % F.lit(slices)
+        "_slice", F.expr(f"shiftrightunsigned(_h, 33) * {slices} div {1 << 31}")
     )
     keys = [*by, "_slice"]
-    within = Window.partitionBy(*keys).orderBy("_h", *order).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*keys).orderBy("_h", *order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         hashed.groupBy(*keys)
         .agg(F.sum(value).alias("_sum"))
-        .select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+        .select(*[F.col(k).alias(f"_at_{k}") for k in keys], F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
     )
     summed = hashed.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)))
-    same = [summed[c].eqNullSafe(offsets[c]) for c in keys]
+    same = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys]
     return summed.join(offsets, same).select(
-        *[summed[c] for c in df.columns], (F.col(name) + F.col("_offset")).cast("long").alias(name)
+        *df.columns, (F.col(name) + F.col("_offset")).cast("long").alias(name)
     )

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding
-from .common import table
+from ..session import staged
+from . import mixing, packing, sharding
+from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +44,25 @@ def op1_sharding(spark, sf):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query()
+def op4_mixing(spark, sf):
+    """The words that the mix takes of each document."""
+    docs = table(spark, sf, "documents")
+    sizes = staged(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    sources, rows, spans = mixing.mix(sizes)
+    taken = spans.groupBy("row").agg(F.sum("words").alias("taken"))
+    return (
+        rows.join(sources.select("source_no", "source_size", "target"), "source_no")
+        .join(taken, "row", "left")
+        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    )
+
+
+@query()
+def op8_packing(spark, sf):
+    """All documents in token-budget batches, a token being a word."""
+    docs = table(spark, sf, "documents")
+    lengths = staged(docs.select("doc_id", word_count(F.col("text")).alias("length"), F.monotonically_increasing_id().alias("row")), "lengths")
+    return packing.pack(lengths, "length", ["doc_id"], ties=["row"]).drop("row")
