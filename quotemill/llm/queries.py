@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from . import mixing, packing, sharding
+from . import mixing, near_dedup, packing, sharding
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,43 @@ def op8_packing(spark, sf):
     docs = table(spark, sf, "documents")
     lengths = staged(docs.select("doc_id", word_count(F.col("text")).alias("length"), F.monotonically_increasing_id().alias("row")), "lengths")
     return packing.pack(lengths, "length", ["doc_id"], ties=["row"]).drop("row")
+
+
+@query(
+    r"""
+with recursive
+words as (
+  select doc_id, list_filter(
+    string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') as w
+  from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s
+  from words),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+  select a.doc_id as a, b.doc_id as b
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+    join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n
+  having 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reached as (
+  select doc_id as start, doc_id as node from documents
+  union
+  select r.start, l.b from reached r join links l on l.a = r.node)
+select d.doc_id, coalesce(max(s.n), 0)::bigint as n_shingles, min(r.node) as component_id, d.doc_id = min(r.node) as kept
+from documents d join reached r on r.start = d.doc_id left join sizes s on s.doc_id = d.doc_id
+group by d.doc_id
+"""
+)
+def op7_near_dedup(spark, sf):
+    """Components of the documents that share 85 in 100 of their 5-word shingles."""
+    documents, groups = near_dedup.near_duplicates(table(spark, sf, "documents"), words=5, percent=85)
+    component = F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+    return documents.join(groups, "group", "left").select(
+        "doc_id",
+        "n_shingles",
+        component.alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+    )
