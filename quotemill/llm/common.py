@@ -42,7 +42,7 @@ def running_sum(
     in its own window, and what the slices before it add up to comes from one row per
     group and slice.
     """
-    slices = df.count() // slice_rows + 1
+    slices = df.count() // slice_rows + 64
     hashed = df.withColumn("_h", F.xxhash64(*order)).withColumn(
         "_slice", F.expr(f"shiftrightunsigned(_h, 33) * {slices} div {1 << 31}")
     )

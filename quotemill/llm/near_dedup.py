@@ -298,12 +298,19 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     document without shingles stays. All columns are as they were.
     """
     documents, groups = near_duplicates(docs, words, percent)
-    firsts = documents.join(groups, "group").where(
-        F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    marked = (
+        documents.join(groups, "group")
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), first.alias("_first"))
+        .groupBy("_id", "_hash")
+        .agg(F.first("_first").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        .where(~F.col("_first") | (F.col("_rows") > 1))
     )
-    keep = firsts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
-    found = hashed.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
-    found = found.dropDuplicates(["doc_id", "_text_hash"]).select(*docs.columns)
-    blank = F.coalesce(F.regexp_replace("text", r"[\x20\x09-\x0D]+", ""), F.lit("")) == ""
-    return found.unionByName(docs.where(blank))
+    marked = staged(marked, "marked")
+    if marked.count() <= BROADCAST_ROWS:
+        marked = F.broadcast(marked)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    found = docs.join(marked, same, "left")
+    once = found.where("_first is null").select(*docs.columns)
+    repeated = found.where("_first and _rows > 1").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    return once.unionByName(repeated)

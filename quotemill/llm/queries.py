@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from . import mixing, near_dedup, packing, sharding
+from . import language_id, mixing, near_dedup, packing, sharding
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,13 @@ def op7_near_dedup(spark, sf):
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
+
+
+@query()
+def op6_language_id(spark, sf):
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    filters = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
+    return language_id.predict(docs.select("doc_id", "text"), filters).select(
+        "record.doc_id", language_id.held_out(F.col("record.doc_id")).alias("held_out"), "lang_pred", "score"
+    )
