@@ -3,10 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quotemill.session import stage_path
+from quotemill.llm import language_id, mixing, near_dedup, packing
+from quotemill.llm.common import keyed, word_count
+from quotemill.session import stage_path, staged
 
-STAGES: list = []
+#: A document goes if less than this part of its n-grams is in any one language.
+LEAST_SCORE = 0.25
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents in a language that the labelled ones teach; those it rejects go."""
+    filters = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
+    named = language_id.predict(docs, filters)
+    return named.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("record.*")
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: one document of each group that shares 8 in 10 of its 5-word shingles."""
+    return near_dedup.one_of_each(docs, words=5, percent=80)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: what the mix takes of each document, a row for each time it does."""
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: every text with its length bucket, batch and slot."""
+    rows = keyed(docs)
+    lengths = staged(rows.select("row", "record.doc_id", word_count(F.col("record.text")).alias("length")), "lengths")
+    placed = packing.pack(lengths, "length", ["doc_id"], ties=["row"]).drop("doc_id")
+    return rows.join(placed, "row").select(
+        "record.doc_id", "record.source", "record.text", "length", "bucket", "padded_length", "batch", "slot", "padding"
+    )
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("near_dedup", without_copies),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
 #: Stages draw by seeded hashes and learn a model, which SQL can't express.
 ORACLE_SQL = None
