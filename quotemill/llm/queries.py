@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from . import language_id, mixing, near_dedup, packing, sharding
+from . import language_id, mixing, near_dedup, packing, sharding, token_files
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +118,10 @@ def op6_language_id(spark, sf):
     return language_id.predict(docs.select("doc_id", "text"), filters).select(
         "record.doc_id", language_id.held_out(F.col("record.doc_id")).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query()
+def op10_token_files(spark, sf):
+    """The ids of all documents, written in ascending doc_id order and read back."""
+    path = token_files.write(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    return token_files.read(spark, path, "ids_crc32 long", lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))
