@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from . import language_id, mixing, near_dedup, packing, sharding, token_files
+from . import language_id, mixing, near_dedup, packing, sharding, token_files, warc
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,38 @@ def op10_token_files(spark, sf):
     """The ids of all documents, written in ascending doc_id order and read back."""
     path = token_files.write(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
     return token_files.read(spark, path, "ids_crc32 long", lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))
+
+
+@query(
+    """
+with p as (select page_id, coalesce(html, '') as html from pages),
+f as (select html, min(page_id) as first from p where octet_length(encode(html)) >= 100 group by html)
+select page_id, octet_length(encode(p.html)) as payload_bytes, sha256(p.html) as payload_digest,
+       case when f.first is null or f.first = page_id then 'response' else 'revisit' end as record_type,
+       case when f.first <> page_id then f.first end as refers_to
+from p left join f using (html)
+"""
+)
+def op9_warc(spark, sf):
+    """All pages written to archives and read back; a revisit has the payload of the record it refers to."""
+    path = warc.write(table(spark, sf, "pages"))
+    found = staged(warc.read(spark, path, payloads=False), "records")
+    sound = found.where("defect is null")
+    responses = sound.where("type = 'response'").select("id", "payload_bytes", "payload_digest")
+    revisits = sound.where("type = 'revisit'").select(F.col("id").alias("own"), F.col("refers_to").alias("id"))
+    whole = responses.select(
+        warc.page_id(F.col("id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.lit("response").alias("record_type"),
+        F.lit(None).cast("long").alias("refers_to"),
+    )
+    return whole.unionByName(
+        revisits.join(responses.dropDuplicates(["id"]), "id").select(
+            warc.page_id(F.col("own")).alias("page_id"),
+            "payload_bytes",
+            "payload_digest",
+            F.lit("revisit").alias("record_type"),
+            warc.page_id(F.col("id")).alias("refers_to"),
+        )
+    )
