@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from . import language_id, mixing, near_dedup, packing, sharding, token_files, warc
+from . import fingerprints, language_id, mixing, near_dedup, packing, sharding, token_files, warc
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,29 @@ def op9_warc(spark, sf):
             warc.page_id(F.col("id")).alias("refers_to"),
         )
     )
+
+
+@query()
+def op5_fingerprints(spark, sf):
+    """Merkle fingerprints of all texts, of each with its last third edited, and how alike they are."""
+    both = fingerprints.with_next(table(spark, sf, "documents").select("doc_id", "text"))
+    n = F.length("text")
+    third = F.expr("length(text) div 3")
+    edited = F.concat(F.left("text", n - third), F.left("next_text", third))
+    trees = both.select(
+        "doc_id",
+        n.cast("long").alias("n_chars"),
+        F.sha2(edited, 256).alias("edited_sha256"),
+        fingerprints.fingerprint(F.col("text")).alias("fingerprint"),
+        fingerprints.fingerprint(edited).alias("edited_fingerprint"),
+        fingerprints.fingerprint(F.col("next_text")).alias("next_fingerprint"),
+    )
+    return trees.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
