@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from . import fingerprints, language_id, mixing, near_dedup, packing, sharding, token_files, warc
+from . import fingerprints, language_id, mixing, near_dedup, nearest, packing, sharding, token_files, warc
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,10 @@ def op5_fingerprints(spark, sf):
         fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )
+
+
+@query()
+def op2_nearest(spark, sf):
+    """The 20 largest inner products of every 20th embedding with all others."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return nearest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
