@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from . import fingerprints, language_id, mixing, near_dedup, nearest, packing, sharding, token_files, warc
+from . import fingerprints, language_id, mixing, near_dedup, nearest, packing, preferences, sharding, token_files, warc
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,3 +193,54 @@ def op2_nearest(spark, sf):
     """The 20 largest inner products of every 20th embedding with all others."""
     vectors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     return nearest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query(
+    """
+with t as (select distinct conv_id, turn, role, coalesce(text, '') as text from conversations where conv_id is not null),
+r as (select conv_id, max(turn) as turn, arg_max(text, turn) as reply from t where role = 'assistant' group by conv_id),
+n as (
+  select *, coalesce(lead(reply) over (order by conv_id desc), first_value(reply) over (order by conv_id desc)) as other
+  from r),
+p as (
+  select n.conv_id, n.reply, n.other, count(t.turn) as before,
+         coalesce(string_agg('<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10), '' order by t.turn), '') as prompt
+  from n left join t on t.conv_id = n.conv_id and t.turn < n.turn
+  group by n.conv_id, n.reply, n.other)
+select conv_id, (before + case when reply = other then 1 else 0 end)::int as prefix_turns,
+       prompt || case when reply = other then '<|assistant|>' || chr(10) || reply || '<|end|>' || chr(10) else '' end as prompt,
+       case when reply = other then '' else '<|assistant|>' || chr(10) || reply || '<|end|>' || chr(10) end as chosen,
+       case when reply = other then '' else '<|assistant|>' || chr(10) || other || '<|end|>' || chr(10) end as rejected,
+       case when reply = other then '' else '14+' || (length(reply) + 8) end as chosen_trained,
+       case when reply = other then '' else '14+' || (length(other) + 8) end as rejected_trained
+from p
+"""
+)
+def op3_preferences(spark, sf):
+    """Each conversation up to its last reply is chosen; with another conversation's reply, rejected.
+
+    The other one is that with the next smaller conv_id (the largest, for the smallest). Conversations
+    without a reply make no pair.
+    """
+    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
+    replies = turns.where("role = 'assistant' and pair_id is not null").groupBy("pair_id").agg(
+        F.max(F.struct("turn", F.coalesce("text", F.lit("")).alias("text"))).alias("last")
+    )
+    replies = staged(replies.select("pair_id", F.col("last.turn").alias("last"), F.col("last.text").alias("reply")), "replies")
+    others = fingerprints.with_next(replies.select(F.col("pair_id").alias("doc_id"), F.col("reply").alias("text")))
+    before = turns.join(replies.select("pair_id", "last"), "pair_id").where("turn < last").drop("last")
+    reply = lambda df, text: df.select("pair_id", F.col("last").alias("turn"), F.lit("assistant").alias("role"), F.col(text).alias("text"))
+    swapped = others.select(F.col("doc_id").alias("pair_id"), "next_text").join(replies, "pair_id")
+    pairs = preferences.preference_pairs(
+        before.unionByName(reply(replies, "reply")), before.unionByName(reply(swapped, "next_text"))
+    )
+    trained = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws("+", s["start"], s["length"])), ",")
+    return pairs.select(
+        F.col("pair_id").alias("conv_id"),
+        "prefix_turns",
+        "prompt",
+        "chosen",
+        "rejected",
+        trained("chosen_spans").alias("chosen_trained"),
+        trained("rejected_spans").alias("rejected_trained"),
+    )
