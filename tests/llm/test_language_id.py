@@ -1,0 +1,84 @@
+import random
+
+import numpy as np
+import pytest
+from llm_cases import ODD
+from pyspark.sql import functions as F
+from quotemill.llm import language_id
+from quotemill.llm.queries import QUERIES
+
+SYLLABLES = {"xx": ["ba", "ko", "lu", "mi"], "yy": ["szcz", "rze", "cho", "ża"], "zz": ["漢", "字", "仮", "名"]}
+
+
+def text(rng, lang, words=30):
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randrange(2, 5))) for _ in range(words))
+
+
+@pytest.fixture
+def table(documents):
+    rng = random.Random(1)
+    rows = [(i, text(rng, lang), lang, "s") for i, lang in enumerate(rng.choices(list(SYLLABLES), k=300))]
+    odd = [(d + 1000 if d else d, t, None, None) for d, t in ODD]
+    return {r[0]: r for r in rows}, documents(rows + odd)
+
+
+def test_held_out_documents(spark, table):
+    rows, folder = table
+    got = QUERIES["op6_language_id"](spark, folder).collect()
+    assert len(got) == 300 + len(ODD) and all(0 <= r.score <= 1 for r in got)
+    known = [r for r in got if r.doc_id in rows]
+    assert any(r.held_out for r in known) and all(r.lang_pred == rows[r.doc_id][2] for r in known)
+    odd = {r.doc_id: r for r in got if r.doc_id not in rows}
+    assert {odd[i].lang_pred for i in (1003, 1004, 1005)} == {"und"} and odd[1003].score == 0
+    assert odd[1006].lang_pred in SYLLABLES and odd[1010].lang_pred in SYLLABLES
+
+
+def test_nothing_is_learned_from_held_out_documents(spark, documents):
+    import zlib
+
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2]
+    rng = random.Random(2)
+    rows = [(i, text(rng, "yy" if i in held else "xx"), "yy" if i in held else "xx", "s") for i in range(100)]
+    got = QUERIES["op6_language_id"](spark, documents(rows)).collect()
+    assert {r.doc_id for r in got if r.held_out} == set(held)
+    assert {r.lang_pred for r in got} == {"xx"}
+
+
+def test_without_labels_and_without_rows(spark, documents):
+    got = QUERIES["op6_language_id"](spark, documents(ODD)).collect()
+    assert {r.lang_pred for r in got} == {"und"} and len(got) == len(ODD)
+    assert QUERIES["op6_language_id"](spark, documents([], files=1, name="none")).collect() == []
+
+
+def test_more_languages_than_a_slice_has(spark):
+    letters = [chr(0x4E00 + i) for i in range(400)]
+    rows = [(f"l{i:02}", "".join(letters[i * 10 + j % 10] for j in range(k, k + 12))) for i in range(40) for k in range(4)]
+    docs = spark.createDataFrame(rows, "lang string, text string").withColumn("record", F.lit("clash"))
+    filters = language_id.learn(docs)
+    assert filters.bits.shape[0] == 2
+    got = language_id.predict(docs, filters)
+    assert got.where("record.lang != lang_pred").count() == 0 and got.count() == len(rows)
+
+
+def grams_by_hand(t):
+    words = "".join(c if c.isalpha() else " " for c in t.lower()).split()
+    padded = [f" {w} " for w in words]
+    return sum(max(0, len(w) - 3) for w in padded)
+
+
+@pytest.mark.parametrize("t", ["a", "ab", "Hello, World 42!", "x" * 9, "  é𝄞ß  ", "1 2 3", "Ünï-cödé"])
+def test_ngrams(t):
+    hashes, owner = language_id.ngrams(["zq", t])
+    assert (owner == 1).sum() == grams_by_hand(t)
+    alone, _ = language_id.ngrams([t])
+    assert np.array_equal(alone, hashes[owner == 1])
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    monkeypatch.setattr(language_id, "PIECE", 20)
+    rng = random.Random(3)
+    whole = text(rng, "xx", 50)
+    parts = [held for _, held in language_id.pieces([None, whole, ""])]
+    assert len(parts) > 5 and "".join(p for held in parts for p in held) == whole
+    cut = np.concatenate([language_id.ngrams(held)[0] for held in parts])
+    assert sorted(cut) == sorted(language_id.ngrams([whole])[0])

@@ -1,0 +1,89 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_cases import ODD
+from quotemill.llm import components, near_dedup
+from quotemill.llm.queries import QUERIES
+
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def brute(rows, percent=85):
+    sets = []
+    for _, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                parent[root(i)] = root(j)
+    smallest = {}
+    for i, (doc_id, _) in enumerate(rows):
+        known = smallest.get(root(i))
+        smallest[root(i)] = doc_id if known is None else known if doc_id is None else min(known, doc_id)
+    return Counter((d, len(s), smallest[root(i)]) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True)))
+
+
+def corpus(seed, groups=25, words=80):
+    """Groups of copies with some words changed, and a passage that many documents share."""
+    rng, rows = random.Random(seed), []
+    passage = [f"p{i}" for i in range(30)]
+    for g in range(groups):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(3, 2 * words))]
+        if g % 2:
+            base[2:2] = passage
+        for _ in range(rng.randrange(1, 8)):
+            copy = list(base)
+            for _ in range(rng.randrange(0, 3)):
+                copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
+            rows.append(" ".join(copy) if rng.random() < 0.5 else "\n".join(copy).upper())
+    rng.shuffle(rows)
+    return list(enumerate(rows, start=1))
+
+
+@pytest.mark.parametrize("tiles", [False, True])
+def test_components_are_those_of_all_pairs(spark, documents, monkeypatch, tiles):
+    if tiles:  # as for long lists
+        monkeypatch.setattr(near_dedup, "PAIRS", 2)
+        monkeypatch.setattr(near_dedup, "TILE", 3)
+    rows = corpus(3) + [(d + 1000 if d else d, t) for d, t in ODD]
+    got = QUERIES["op7_near_dedup"](spark, documents(rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+    assert all(r.kept == (r.doc_id is not None and r.doc_id == r.component_id) for r in got)
+
+
+def test_one_of_each_group_stays(spark, documents):
+    rows = corpus(4) + [(d + 1000 if d else d, t) for d, t in ODD]
+    docs = spark.read.parquet(documents(rows) + "/documents.parquet")
+    docs = docs.selectExpr("*", "'x' as node", "1 as label")  # names that the operator uses itself
+    kept = near_dedup.one_of_each(docs, percent=80)
+    assert kept.columns == docs.columns
+    blank = sum(not (t or "").split() for _, t in rows)
+    groups = len({c for (_, n, c) in brute(rows, 80) if n})
+    no_id = sum(d is None and bool((t or "").split()) for d, t in rows)
+    assert no_id == 1  # it is a group without an id
+    assert kept.count() == groups + blank
+
+
+def test_empty_table(spark, documents):
+    assert QUERIES["op7_near_dedup"](spark, documents([], files=1)).collect() == []
+
+
+def test_least_shared():
+    assert near_dedup.least_shared(24, 0.85) == 10
+    assert near_dedup.least_shared(10, 1.0) == 10
+
+
+def test_long_chain_is_one_component(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (7, 7)]
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100, 102: 100}
