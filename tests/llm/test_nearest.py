@@ -1,0 +1,115 @@
+from itertools import pairwise
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from quotemill.llm import nearest
+from quotemill.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, vector array<float>, rank string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, "clash") for i, v in rows], SCHEMA)
+
+
+def brute(rows, asked, k):
+    out = {}
+    for q, v in rows:
+        if not asked(q):
+            continue
+        a = np.array(v, np.float32).astype(float)
+        scored = [(float(a @ np.array(w, np.float32).astype(float)), i) for i, w in rows if i != q and len(w) == len(v)]
+        out[q] = sorted(((-s, i) for s, i in scored))[:k]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        held = out.setdefault(r.query_id, [])
+        assert r["rank"] == len(held) + 1
+        held.append((-r.score, r.vec_id))
+    return out
+
+
+def random_rows(n, d, seed=0, scale=False):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if scale:
+        x *= rng.uniform(0.2, 3, (n, 1))
+    return [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize("scale", [False, True])
+def test_recall_and_exact_scores(spark, scale):
+    rows = random_rows(3000, 32, scale=scale)
+    got = found(nearest.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0))
+    want = brute(rows, lambda q: q % 20 == 0, 20)
+    assert set(got) == set(want)
+    scores = {q: dict((i, s) for s, i in held) for q, held in brute(rows, lambda q: q % 20 == 0, 3000).items()}
+    hits = 0
+    for q, held in got.items():
+        assert len(held) == 20 and all(a < b for a, b in pairwise(held))
+        assert all(s == pytest.approx(scores[q][i], abs=1e-12) for s, i in held)
+        hits += len({i for _, i in held} & {i for _, i in want[q]})
+    assert hits / (20 * len(want)) >= 0.9
+
+
+def test_few_vectors_are_all_found(spark):
+    rows = random_rows(15, 16)
+    got = found(nearest.nearest(frame(spark, rows), F.col("vec_id") < 3, tables=1, probes=1))
+    want = brute(rows, lambda q: q < 3, 20)
+    assert {q: [i for _, i in h] for q, h in got.items()} == {q: [i for _, i in h] for q, h in want.items()}
+
+
+def test_odd_vectors_take_no_part(spark):
+    inf, nan = float("inf"), float("nan")
+    odd = [None, [], [0.0, 0.0], [1.0, None], [nan, 1.0], [inf, 1.0]]
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0]), (4, [2.0, 0.0]), (5, [1.0, 0.0, 0.0]), (None, [9.0, 9.0])]
+    df = frame(spark, rows + [(100 + i, v) for i, v in enumerate(odd)])
+    got = found(nearest.nearest(df, F.lit(True)))
+    assert got == {
+        1: [(-2.0, 4), (-1.0, 3), (0.0, 2)],
+        2: [(-1.0, 3), (0.0, 1), (0.0, 4)],
+        3: [(-2.0, 4), (-1.0, 1), (-1.0, 2)],
+        4: [(-2.0, 1), (-2.0, 3), (0.0, 2)],
+    }
+
+
+def test_equal_vectors_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 7)  # buckets are cut into parts
+    rows = [(i, [0.6, 0.8]) for i in range(100)] + [(i, [0.8, 0.6]) for i in range(100, 130)] + [(7, [0.6, 0.8])]
+    got = found(nearest.nearest(frame(spark, rows), F.col("vec_id") % 50 == 0))
+    score = got[0][0][0]
+    assert [i for _, i in got[0]] == [1, 2, 3, 4, 5, 6, 7, 7, *range(8, 20)] and {s for s, _ in got[0]} == {score}
+    assert [i for _, i in got[50]] == [0, 1, 2, 3, 4, 5, 6, 7, 7, *range(8, 19)]
+    assert [i for _, i in got[100]][:20] == list(range(101, 121))
+
+
+def test_many_parts_find_the_same(spark, monkeypatch):
+    rows = random_rows(600, 8)
+    one = found(nearest.nearest(frame(spark, rows), F.col("vec_id") < 40))
+    monkeypatch.setattr(nearest, "BLOCK", 5)
+    many = found(nearest.nearest(frame(spark, rows), F.col("vec_id") < 40))
+    assert one == many
+
+
+def test_two_hashes_a_bucket(spark):
+    rows = random_rows(800, 8)
+    got = found(nearest.nearest(frame(spark, rows), F.col("vec_id") < 40, hashes=2, probes=12))
+    want = brute(rows, lambda q: q < 40, 20)
+    assert sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want) / 800 >= 0.9
+
+
+def test_query_without_rows(spark, tmp_path):
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert QUERIES["op2_nearest"](spark, str(tmp_path)).collect() == []
+
+
+def test_recall_on_the_given_table(spark, sf_dir):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    got = found(QUERIES["op2_nearest"](spark, sf_dir))
+    want = brute(rows, lambda q: q % 20 == 0, 20)
+    assert sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want) >= 0.9 * 20 * len(want)

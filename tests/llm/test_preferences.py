@@ -1,0 +1,74 @@
+import random
+
+from quotemill.llm.preferences import preference_pairs
+from quotemill.llm.queries import QUERIES
+
+SCHEMA = "pair_id long, turn long, role string, text string, prompt string"
+
+
+def render(turns):
+    return "".join(f"<|{r or ''}|>\n{t or ''}<|end|>\n" for r, t in turns)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
+
+
+def formatted(spark, chosen, rejected):
+    return {r.pair_id: r for r in preference_pairs(frame(spark, chosen), frame(spark, rejected)).collect()}
+
+
+def test_random_conversations(spark):
+    rng = random.Random(1)
+    sides, want = ([], []), {}
+    for pair in range(60):
+        common = [(rng.choice(["user", "assistant", None]), rng.choice(["x", "é𝄞", None, ""])) for _ in range(rng.randrange(4))]
+        tails = [[(rng.choice(["user", "assistant"]), rng.choice("abc")) for _ in range(rng.randrange(4))] for _ in sides]
+        turns = [common + tail for tail in tails]
+        if not all(turns):
+            continue
+        for side, held in zip(sides, turns, strict=True):
+            side += [(pair, 2 * i, r, t) for i, (r, t) in enumerate(held)]
+        n = 0
+        while n < min(map(len, turns)) and turns[0][n] == turns[1][n]:
+            n += 1
+        want[pair] = (n, *turns)
+    for side in sides:
+        rng.shuffle(side)
+    got = formatted(spark, *sides)
+    assert set(got) == set(want)
+    for pair, (n, a, b) in want.items():
+        r = got[pair]
+        assert (r.prefix_turns, r.prompt, r.chosen, r.rejected) == (n, render(a[:n]), render(a[n:]), render(b[n:]))
+        for text, spans, turns in ((r.chosen, r.chosen_spans, a), (r.rejected, r.rejected_spans, b)):
+            trained = [text[s.start : s.start + s.length] for s in spans]
+            assert trained == [f"{t or ''}<|end|>\n" for role, t in turns[n:] if role == "assistant"]
+
+
+def test_odd_rows(spark):
+    chosen = [(1, 0, "user", "q"), (1, 0, "user", "q"), (1, None, "system", "s"), (None, 0, "user", "x"), (2, 0, "user", "only")]
+    rejected = [(1, None, "system", "s"), (1, 0, "user", "q"), (1, 1, "assistant", "word " * 50_000)]
+    got = formatted(spark, chosen, rejected)
+    assert set(got) == {1}
+    assert (got[1].prefix_turns, got[1].chosen, got[1].chosen_spans) == (2, "", [])
+    assert got[1].rejected_spans[0].length == 250_000 + len("<|end|>\n")
+    assert formatted(spark, [], rejected) == {}
+
+
+def conversations(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    return str(tmp_path)
+
+
+def test_query_without_replies(spark, tmp_path):
+    folder = conversations(spark, tmp_path, [(1, 0, "user", "q"), (None, 1, "assistant", "a"), (2, None, None, None)])
+    assert QUERIES["op3_preferences"](spark, folder).collect() == []
+
+
+def test_query_swaps_replies(spark, tmp_path):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "one"), (1, 2, "user", "after"), (5, 0, "assistant", "five"), (9, 0, "assistant", None)]
+    got = {r.conv_id: r for r in QUERIES["op3_preferences"](spark, conversations(spark, tmp_path, rows)).collect()}
+    assert {i: r.rejected for i, r in got.items()} == {
+        1: render([("assistant", "")]), 5: render([("assistant", "one")]), 9: render([("assistant", "five")])
+    }
+    assert got[1].prompt == render([("user", "q")]) and got[1].chosen == render([("assistant", "one")])

@@ -1,0 +1,116 @@
+import gzip
+import hashlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from quotemill.llm import warc
+from quotemill.llm.queries import QUERIES
+
+BIG = "é<p>\r\n\r\nWARC/1.1\r\n" * 9_000  # several segments; looks like records, and chunks cut its letters
+ROWS = [
+    (1, "http://a/1", "x" * 100),
+    (2, "http://a/2", "x" * 100),
+    (3, None, "x" * 100),
+    (4, "http://a/4", "x" * 99),
+    (5, "http://a/5", "x" * 99),
+    (6, "http://a\r\n/6", BIG),
+    (7, "http://a/7", BIG),
+    (8, "http://a/8", ""),
+    (9, "http://a/9", None),
+    (None, "http://a/none", "y" * 200),
+    (None, "http://a/none", "y" * 200),
+    (10, "http://a/10", "y" * 200),
+    (None, "http://a/", "z" * 200),
+    (None, "http://b/", "z" * 200),
+    (11, "same", "0" * 70_000),
+    (11, "same", "0" * 70_000),
+    (12, "漢字", "漢字" * 20_000),
+]
+
+
+def pages(spark, rows=ROWS):
+    return spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, record string")
+
+
+def folder(spark, tmp_path, rows=ROWS):
+    pages(spark, rows).repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    return str(tmp_path)
+
+
+def test_query_against_plain_python(spark, tmp_path):
+    want, firsts = Counter(), {}
+    for page, _, html in ROWS:
+        if page is not None and len((html or "").encode()) >= 100:
+            firsts[html] = min(page, firsts.get(html, page))
+    for page, _, html in ROWS:
+        data, first = (html or "").encode(), firsts.get(html)
+        revisit = first is not None and first != page
+        want[page, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", first if revisit else None] += 1
+    got = QUERIES["op9_warc"](spark, folder(spark, tmp_path)).collect()
+    assert Counter(map(tuple, got)) == want
+
+
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+@pytest.mark.parametrize("sizes", [{}, {"segment_bytes": 100, "chunk_bytes": 7}])
+def test_round_trip(spark, tmp_path, compression, sizes):
+    rows = [r for r in ROWS if r[0] and len(r[2] or "") < 1000] + [(6, "http://a/6", BIG[:3000])]
+    path = warc.write(pages(spark, rows), f"{tmp_path}/out", compression, **sizes)
+    found = warc.read(spark, path)
+    assert found.where("defect is not null").count() == 0
+    payloads = {warc_id: bytes(p) for warc_id, p in found.where("type = 'response'").select(warc.page_id(F.col("id")), "payload").collect()}
+    assert payloads == {p: (h or "").encode() for p, _, h in rows if p not in (2, 3)}
+
+
+def test_segments_are_verified(spark):
+    parts = [
+        ("a", 1, None, None, b"ab"), ("a2", 2, "a", 5, b"cde"),
+        ("b", 1, None, None, b"ab"), ("b3", 3, "b", 4, b"cd"),
+        ("c", 1, None, None, b"ab"), ("c2", 2, "c", 9, b"cd"),
+        ("d2", 2, "d", 4, b"cd"),
+        ("e", 1, None, None, b"ab"),
+        ("f1", 11, "f", 22, b"kk"), ("f", 1, None, None, b"01"), *[(f"f{i}", i, "f", None, b"%02d" % i) for i in range(2, 11)],
+    ]
+    df = spark.createDataFrame(parts, "id string, number long, origin string, total long, block binary")
+    df = df.select("*", *[F.lit("response" if k == "type" else "x").alias(k) for k in ("type", "url", "refers_to", "digest")])
+    got = {r.id: (bytes(r.block), r.defect) for r in warc.reassembled(df.repartition(5)).collect()}
+    assert got["a"] == (b"abcde", None) and got["f"] == (b"0102030405060708091" + b"0kk", None)
+    assert {i: got[i][1] for i in "bcde"} == {
+        "b": "segments are missing", "c": "total length differs", "d": "segments are missing", "e": "segments are missing"
+    }
+
+
+@pytest.mark.parametrize("body, payload", [(b"0\r\n\r\n", b""), (b"3\r\nabc\r\n2;x=y\r\nde\r\n0\r\n\r\n", b"abcde"), (b"A\r\n0123456789\r\n0\r\nT: x\r\n\r\n", b"0123456789")])
+def test_unchunked(body, payload):
+    assert warc.unchunked(body) == payload
+
+
+@pytest.mark.parametrize("body", [b"", b"5\r\nabc", b"zz\r\n", b"3\r\nabcd\r\n0\r\n\r\n"])
+def test_broken_chunks(body):
+    with pytest.raises(ValueError):
+        warc.unchunked(body)
+
+
+GOOD = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+
+
+@pytest.mark.parametrize("tail", [b"junk", b"WARC/1.1\r\nWARC-Type: x\r\n\r\n", GOOD[:-5], b"WARC/1.1\r\nContent-Length: x\r\n\r\n"])
+def test_defects_keep_the_records_before(tail):
+    for content in (GOOD + tail, gzip.compress(GOOD + tail)):
+        good, bad = warc.parse(content)
+        assert (good["id"], good["block"], good["defect"]) == ("a", b"abc", None) and bad["defect"]
+    cut = list(warc.parse(gzip.compress(GOOD + GOOD)[:-12]))
+    assert cut[-1]["defect"]
+
+
+def test_wrong_digest_is_a_defect(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\n\r\nabc"
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nWARC-Payload-Digest: sha256:00\r\nContent-Length: {len(block)}\r\n\r\n"
+    (tmp_path / "part-0").write_bytes(head.encode() + block + b"\r\n\r\n")
+    (row,) = warc.read(spark, str(tmp_path)).collect()
+    assert row.defect == "payload digest differs" and bytes(row.payload) == b"abc"
+
+
+def test_empty_table(spark, tmp_path):
+    pages(spark, []).write.parquet(f"{tmp_path}/pages.parquet")
+    assert QUERIES["op9_warc"](spark, str(tmp_path)).collect() == []
