@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
 UNKNOWN = "und"
 #: Labelled documents that the filters are built from: about so many of each language, or all there are.
@@ -158,9 +158,9 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter
 
 
 def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
-    """All rows of ``docs`` as (record, lang_pred, score); record is a struct of all columns.
+    """All rows of ``docs`` as (record, lang_pred, score, ngrams); record is a struct of all columns.
 
-    ``score`` is the part of the text's n-grams that the language contains, from 0 to 1. A null
+    ``ngrams`` is how many n-grams the text has, and ``score`` the part of them that the language contains, from 0 to 1. A null
     text, and one without letters, gets ``und`` and 0; so does every text if no language was
     learned. Where languages are level, or the letters make no n-gram, the first in order of name wins.
     """
@@ -196,11 +196,11 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
                 score = np.where(total > 0, true[np.arange(len(texts)), best] / np.maximum(total, 1), 0).clip(0, 1)
                 named = [languages[b] if languages and l else UNKNOWN for b, l in zip(best, lettered, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("record"), pa.array(named, pa.string()), pa.array(np.where(lettered, score, 0.0))],
-                    ["record", "lang_pred", "score"],
+                    [part.column("record"), pa.array(named, pa.string()), pa.array(np.where(lettered, score, 0.0)), pa.array(total.astype(np.int64))],
+                    ["record", "lang_pred", "score", "ngrams"],
                 )
 
-    result = StructType([rows.schema["record"]]).add("lang_pred", StringType()).add("score", DoubleType())
+    result = StructType([rows.schema["record"]]).add("lang_pred", StringType()).add("score", DoubleType()).add("ngrams", LongType())
     return rows.mapInArrow(decide, result)
 
 

@@ -192,6 +192,8 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     words = F.regexp_extract_all("record.text", F.lit(WORD), F.lit(0))
     joined = joined.withColumn("words", F.when(F.col("parts").isNotNull(), words))
     cut = F.array_join(F.expr("flatten(transform(parts, p -> slice(words, int(p.first_word + 1), int(p.words))))"), " ")
+    # the size asked for outside of the lambda keeps the optimizer from splitting the text once for each part
+    cut = F.when(F.size("words") > 0, cut)
     joined = joined.withColumn("text", F.when(F.col("parts").isNull(), F.col("record.text")).otherwise(cut))
     changed = {"text": F.col("text"), "n_chars": F.when(F.col("parts").isNull(), F.col("record.n_chars")).otherwise(F.length("text")) if "n_chars" in docs.columns else None}
     return joined.select(*[changed.get(c, F.col(f"record.`{c}`")).alias(c) for c in docs.columns])

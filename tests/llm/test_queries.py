@@ -84,7 +84,8 @@ def test_pipeline_on_the_given_documents(spark, sf_dir, documents):
 
 
 def test_pipeline_on_odd_rows_and_none(spark, documents):
-    kept = run(spark, documents([(*r, "en" if r[1] else None, None) for r in ODD]))
+    taught = [(i, "a word, not only this word") for i in range(20, 26)]
+    kept = run(spark, documents([(*r, "en" if r[1] else None, None) for r in ODD + taught]))
     assert sum(r.text == "same row" for r in kept["near_dedup"]) == 1
-    assert {r.doc_id for r in kept["near_dedup"]} == {None, 1, 6, 7, 9, 10}
+    assert {r.doc_id for r in kept["near_dedup"]} == {None, 1, 6, 7, 9, 10, 20}
     assert corpus_pipeline.run(spark, documents([], files=1, name="none")).collect() == []
