@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemill.llm import language_id, mixing, near_dedup, packing
-from quotemill.llm.common import keyed, word_count
-from quotemill.session import stage_path, staged
+from quotemill.llm.common import word_count
+from quotemill.session import stage_path
 
-#: A document goes if less than this part of its n-grams is in any one language.
+#: A document goes if less than this part of its n-grams is in any one language, ...
 LEAST_SCORE = 0.25
+#: ... unless it has so few that they say little.
+FEW_NGRAMS = 20
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents in a language that the labelled ones teach; those it rejects go."""
     filters = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
     named = language_id.predict(docs, filters)
-    return named.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("record.*")
+    spoken = (F.col("score") >= LEAST_SCORE) | (F.col("ngrams") < FEW_NGRAMS)
+    return named.where((F.col("lang_pred") != language_id.UNKNOWN) & spoken).select("record.*")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,12 +35,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: every text with its length bucket, batch and slot."""
-    rows = keyed(docs)
-    lengths = staged(rows.select("row", "record.doc_id", word_count(F.col("record.text")).alias("length")), "lengths")
-    placed = packing.pack(lengths, "length", ["doc_id"], ties=["row"]).drop("doc_id")
-    return rows.join(placed, "row").select(
-        "record.doc_id", "record.source", "record.text", "length", "bucket", "padded_length", "batch", "slot", "padding"
-    )
+    rows = docs.select("doc_id", "source", "text", word_count(F.col("text")).alias("length"))
+    return packing.pack(rows, "length", ["doc_id"], ties=["text"])
 
 
 STAGES = [
