@@ -25,14 +25,15 @@ lost leaves nothing behind, and any file system that Spark knows will do.
 from __future__ import annotations
 
 import functools
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,67 +44,83 @@ MAGIC = b"FRB1"
 BLOCK_IDS = 1 << 20
 #: Bytes of text that make one file, about.
 FILE_BYTES = 32 << 20
-#: Texts that are encoded together.
+#: Texts whose ids are put together at a time.
 TEXTS = 256
+#: Characters of the texts that are encoded together, about: in more of them, fewer words are new.
+CHUNK = 12 << 20
 
 #: The lengths in a control byte.
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
 
 
 class Encoder:
-    """Encodes texts with a byte-level tokenizer; remembers the ids of words.
+    """Encodes texts with a byte-level tokenizer, each different word of them once.
 
     A token of such a tokenizer has a space only in front. So a text may be cut before each
-    space that stands between others than white space, and the pieces encoded on their own. Their ids are
-    kept, and what is new in some texts is encoded in one go.
+    space that stands between others than white space, and the words encoded on their own.
     """
 
-    #: Words that are remembered.
-    WORDS = 400_000
-    _SPACES = re.compile(r" \s")
+    #: Words encoded as one text: short texts cost a call each, long ones slow the library down.
+    WORDS = 200
+    _SPACES = re.compile(r" \s| $")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks keep the cores busy
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are text
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
         self.starts[[i for token, i in vocabulary.items() if token[0] == "Ġ"]] = True
-        self.known: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
-
-    def _learn(self, words: set[str]) -> None:
-        words = list(words)
-        for first in range(0, len(words), 20_000):
-            some = words[first : first + 20_000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(self.starts[ids])
-            if len(cuts) != len(some) or cuts[0]:
-                raise ValueError("not a byte-level tokenizer that keeps spaces in front")
-            raw, ends = ids.tobytes(), (4 * np.append(cuts, len(ids))).tolist()
-            self.known.update(zip(some, (raw[a:b] for a, b in zip(ends, ends[1:], strict=False)), strict=True))
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, each after a space, and where those of each word begin (and the last ends)."""
+        joined = [" " + " ".join(words[i : i + self.WORDS]) for i in range(0, len(words), self.WORDS)]
+        ids = np.concatenate([np.empty(0, np.uint32), *self._ids(joined)])
+        begins = np.flatnonzero(self.starts[ids])
+        if len(begins) != len(words):
+            raise ValueError("not a byte-level tokenizer that keeps spaces in front")
+        return ids, np.append(begins, len(ids))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; none for null."""
-        if len(self.known) > self.WORDS:
-            self.known.clear()
         texts = [t or "" for t in texts]
-        whole = [i for i, t in enumerate(texts) if t.endswith(" ") or self._SPACES.search(t)]
-        apart = set(whole)
-        words = [[] if i in apart else t.split(" ") for i, t in enumerate(texts)]
-        new = set(chain.from_iterable(w[1:] for w in words)) - self.known.keys()
-        if new:
-            self._learn(new)
-        heads = self._ids([w[0] if w else texts[i] for i, w in enumerate(words)])
-        ids = self.known
-        return [
-            np.frombuffer(head + b"".join(map(ids.__getitem__, w[1:])), np.uint32)
-            for head, w in zip(heads, words, strict=True)
-        ]
+        whole = np.array([bool(self._SPACES.search(t)) for t in texts], bool)
+        found: list[np.ndarray] = [None] * len(texts)
+        for i, ids in zip(np.flatnonzero(whole), self._ids([texts[i] for i in np.flatnonzero(whole)]), strict=True):
+            found[i] = ids
+        cut = np.flatnonzero(~whole)
+        words = pc.split_pattern(pa.array([texts[i] for i in cut], pa.large_string()), " ")
+        firsts = np.asarray(words.offsets)
+        flat, heads = words.flatten(), firsts[:-1]  # the first words have no space in front
+        after = np.ones(len(flat), bool)
+        after[heads] = False
+        coded = flat.filter(pa.array(after)).dictionary_encode()
+        ids, begins = self._words(coded.dictionary.to_pylist())
+        own = self._ids(flat.take(pa.array(heads)).to_pylist())
+        # the first words follow the others in the list of ids
+        begins = np.concatenate([begins, begins[-1] + np.cumsum([len(x) for x in own], dtype=np.int64)])
+        ids = np.concatenate([ids, *own])
+        place = np.empty(len(flat), np.int64)
+        place[after] = np.asarray(coded.indices)
+        place[heads] = np.arange(len(begins) - 1 - len(heads), len(begins) - 1)
+        begins, lengths = begins.astype(np.int32), np.diff(begins).astype(np.int32)
+        for first in range(0, len(cut), TEXTS):
+            some = firsts[first : first + TEXTS + 1]
+            own = place[some[0] : some[-1]]
+            size = lengths[own]
+            ends = np.cumsum(size, dtype=np.int32)
+            # the places of the ids of all words: each word's begin, counted up
+            at = np.repeat(begins[own] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+            bounds = np.concatenate([[0], ends])[some - some[0]]
+            for i, part in zip(cut[first : first + TEXTS], np.split(ids[at], bounds[1:-1]), strict=True):
+                found[i] = part
+        return found
 
 
 @functools.cache
@@ -112,13 +129,26 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _ranked(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids by frequency, the smaller one first among equals; the rank of each of ``flat``)."""
+    if len(flat) and flat.max() < 1 << 22:  # as of any tokenizer
+        counts = np.bincount(flat)
+        values = np.flatnonzero(counts)
+        order = values[np.argsort(-counts[values], kind="stable")]
+        rank_of = np.zeros(len(counts), np.uint32)
+        rank_of[order] = np.arange(len(order), dtype=np.uint32)
+        return order, rank_of[flat]
+    values, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    rank_of = np.zeros(len(values), np.uint32)
+    rank_of[order] = np.arange(len(order), dtype=np.uint32)
+    return values[order], rank_of[place]
+
+
 def pack_block(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-    values, place, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    order = np.lexsort((values, -counts))
-    rank_of = np.empty(len(values), np.uint32)
-    rank_of[order] = np.arange(len(values), dtype=np.uint32)
-    ranks = rank_of[place].astype("<u4")
+    table, ranks = _ranked(flat)
+    ranks = ranks.astype("<u4")
     lengths = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
     data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
@@ -127,11 +157,11 @@ def pack_block(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     body = b"".join(
         [
             MAGIC,
-            struct.pack("<4Q", len(doc_ids), len(ranks), len(values), len(data)),
+            struct.pack("<4Q", len(doc_ids), len(ranks), len(table), len(data)),
             np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
             np.array([d is None for d in doc_ids], np.uint8).tobytes(),
             np.array([len(x) for x in ids], "<u8").tobytes(),
-            values[order].astype("<u4").tobytes(),
+            table.astype("<u4").tobytes(),
             control.astype(np.uint8).tobytes(),
             data.tobytes(),
         ]
@@ -171,6 +201,22 @@ def unpack_blocks(content: bytes) -> Iterator[tuple[list[int | None], list[np.nd
         )
 
 
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+    """(doc_ids, texts) of about CHUNK characters, over the ends of batches."""
+    doc_ids, texts, size = [], [], 0
+    for batch in batches:
+        for first in range(0, len(batch), 256):
+            part = batch.slice(first, 256)
+            doc_ids += part.column("doc_id").to_pylist()
+            texts += part.column("text").to_pylist()
+            size += sum(len(t or "") for t in texts[-len(part) :])
+            if size >= CHUNK:
+                yield doc_ids, texts
+                doc_ids, texts, size = [], [], 0
+    if doc_ids:
+        yield doc_ids, texts
+
+
 def write(docs: DataFrame, tokenizer: str, end: int = 0, path: str | None = None) -> str:
     """Encode doc_id long and text of ``docs`` and write all ids in ascending doc_id order; returns the path.
 
@@ -188,18 +234,14 @@ def write(docs: DataFrame, tokenizer: str, end: int = 0, path: str | None = None
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([pack_block(doc_ids, ids)], pa.binary())], ["block"])
 
-        for batch in batches:
-            for first in range(0, len(batch), TEXTS):
-                part = batch.slice(first, TEXTS)
-                for doc_id, found in zip(
-                    part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()), strict=True
-                ):
-                    doc_ids.append(doc_id)
-                    ids.append(np.append(found, np.uint32(end)))
-                    held += len(ids[-1])
-                    if held >= BLOCK_IDS:
-                        yield block()
-                        doc_ids, ids, held = [], [], 0
+        for names, texts in _chunks(batches):
+            for doc_id, found in zip(names, encoder.encode(texts), strict=True):
+                doc_ids.append(doc_id)
+                ids.append(np.append(found, np.uint32(end)))
+                held += len(ids[-1])
+                if held >= BLOCK_IDS:
+                    yield block()
+                    doc_ids, ids, held = [], [], 0
         if doc_ids:
             yield block()
 
