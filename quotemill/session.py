@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -45,20 +46,30 @@ def _own_dir() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster that
-    folder would exist on one machine only.
+    Only a session in one process may fall back to a temporary folder: executors of
+    their own, as of ``local-cluster``, need one that they share.
     """
     configured = spark.conf.get(_CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
     return _own_dir()
 
 
+def _staging_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/quotemill/{spark.conf.get('spark.app.id', 'session')}"
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/quotemill/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the application's part of the shared folder."""
+    return f"{_staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete what the application has staged. DataFrames that are still read from it are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_staging_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

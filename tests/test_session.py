@@ -13,13 +13,14 @@ class Session:
 def test_configured_folder_is_used():
     spark = Session(spark_checkpoint_dir="hdfs://x/shared/", spark_master="yarn")
     assert session.shared_dir(spark) == "hdfs://x/shared"
-    assert session.stage_path(spark, "n").startswith("hdfs://x/shared/quotemill/n-")
+    assert session.stage_path(spark, "n").startswith("hdfs://x/shared/quotemill/session/n-")
     assert session.stage_path(spark, "n") != session.stage_path(spark, "n")
 
 
-def test_a_cluster_needs_a_shared_folder():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://h:7077"])
+def test_a_cluster_needs_a_shared_folder(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_dir(Session(spark_master="yarn"))
+        session.shared_dir(Session(spark_master=master))
 
 
 def test_a_local_session_gets_its_own_once():
@@ -29,8 +30,17 @@ def test_a_local_session_gets_its_own_once():
 
 
 def test_staged_in_a_real_session(spark):
-    folder = os.path.join(session.shared_dir(spark), "quotemill")
+    folder = os.path.join(session.shared_dir(spark), "quotemill", spark.conf.get("spark.app.id"))
     before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
     assert session.staged(spark.range(3), "x").count() == 3
     (new,) = set(os.listdir(folder)) - before
     assert new.startswith("x-")
+
+
+def test_staged_tables_are_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    session.staged(spark.range(3), "x")
+    (tmp_path / "quotemill" / "of another application").mkdir()
+    session.remove_staged(spark)
+    session.remove_staged(spark)
+    assert os.listdir(tmp_path / "quotemill") == ["of another application"]
