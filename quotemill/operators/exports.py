@@ -7,24 +7,27 @@ leaves nothing there and is repeated.
 from __future__ import annotations
 
 import datetime as dt
-import re
 import uuid
 from collections.abc import Iterator
-from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.dates import snap_label
 from ..session import read_or_empty, staged
-from ..sources.archives import MEMBER_ROWS, expand_archives
+from ..sources.archives import MEMBER_ROWS, expand_archives, spread
 from .columns import require
 from .keys import missing, present
-from .rejects import REASON
+from .order import with_row_index
+from .rejects import REASON, accepted, rejected
 
 LABEL = "snap"
-_DONE = [StructField("n_rows", LongType()), StructField("finished_at", TimestampType())]
+_DONE = [
+    StructField("run", StringType()),
+    StructField("n_rows", LongType()),
+    StructField("finished_at", TimestampType()),
+]
 _UNIT = ["destination", "title"]
 _LANDED = "destination string, title string, intake string, n_rows bigint, finished_at timestamp"
 
@@ -34,9 +37,11 @@ def read_manifest(df: DataFrame, key: str, path: str) -> DataFrame:
     return read_or_empty(df.sparkSession, f"{path}/manifest", schema)
 
 
-def read_export(df: DataFrame, path: str) -> DataFrame:
-    """The exported rows, with the columns and types of ``df``."""
-    return read_or_empty(df.sparkSession, f"{path}/data", df.schema).select(*df.columns)
+def read_export(df: DataFrame, key: str, path: str) -> DataFrame:
+    """The exported rows, with the columns and types of ``df``: those of runs in the manifest."""
+    schema = StructType([*df.schema.fields, StructField("run", StringType())])
+    rows = read_or_empty(df.sparkSession, f"{path}/data", schema)
+    return present(rows, read_manifest(df, key, path), ["run", key]).select(*df.columns)
 
 
 def export_missing(
@@ -44,38 +49,50 @@ def export_missing(
 ) -> DataFrame:
     """Write one partition per key, for the keys that are not in the manifest yet.
 
-    Returns the manifest rows of this run. A rerun with nothing to do reads the
-    key column only, or nothing if ``wanted`` names the keys. REBALANCE gives every
-    key few files, and AQE splits a key that is too large for one task.
+    Returns the manifest rows of this run. Each run has a folder of its own, which counts
+    through the manifest only; rows are counted there, not in what was exported before.
+    A rerun with nothing to do reads the key column only, or nothing if ``wanted`` names
+    the keys. REBALANCE gives every key few files, and AQE splits a key that is too
+    large for one task.
     """
     require(df, key)
-    spark = df.sparkSession
     named = F.col(key).isNotNull() & (F.col(key).cast("string") != "")
     keys = (df if wanted is None else wanted).select(
         F.when(named, F.col(key)).otherwise(F.raise_error(F.lit(f"no {key}"))).alias(key)
     )
     todo = staged(missing(keys.distinct(), read_manifest(df, key, path), key), "export-keys")
-    if not todo.isEmpty():
-        (
-            present(df, todo, key)
-            .hint("rebalance", key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(key)
-            .parquet(f"{path}/data")
-        )
-        counts = present(read_export(df, path), todo, key).groupBy(key).agg(
-            F.count(F.lit(1)).alias("n_rows")
-        )
-        todo.join(counts, key, "left").select(
-            key, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.lit(as_of).alias("finished_at")
-        ).write.mode("append").parquet(f"{path}/manifest")
-    return present(read_manifest(df, key, path), todo, key)
+    if todo.isEmpty():
+        return read_manifest(df, key, path).where(F.lit(False))
+    return _export_run(present(df, todo, key).hint("rebalance", key), todo, key, path, as_of)
+
+
+def run_counts(rows: DataFrame, key: str, folder: str) -> DataFrame:
+    """The number of rows of each key in one run's folder; only that folder is listed."""
+    written = read_or_empty(rows.sparkSession, folder, rows.schema)
+    return written.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _export_run(rows: DataFrame, todo: DataFrame, key: str, path: str, as_of: dt.datetime) -> DataFrame:
+    run = uuid.uuid4().hex
+    folder = f"{path}/data/run={run}"
+    rows.write.partitionBy(key).parquet(folder)
+    todo.join(run_counts(rows, key, folder), key, "left").select(
+        key,
+        F.lit(run).alias("run"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.lit(as_of).alias("finished_at"),
+    ).write.mode("append").parquet(f"{path}/manifest")
+    return read_manifest(rows, key, path).where(F.col("run") == run)
 
 
 def _export_labelled(df: DataFrame, label: str, path: str, as_of: dt.datetime) -> DataFrame:
-    wanted = df.sparkSession.createDataFrame([(label,)], f"{LABEL} string")
-    return export_missing(df.withColumn(LABEL, F.lit(label)), LABEL, path, as_of, wanted)
+    """All rows under one label. Nothing is to be brought together by key, so nothing is shuffled."""
+    rows = df.withColumn(LABEL, F.lit(label))
+    manifest = read_manifest(rows, LABEL, path)
+    if not manifest.where(F.col(LABEL) == label).isEmpty():
+        return manifest.where(F.lit(False))
+    todo = df.sparkSession.createDataFrame([(label,)], f"{LABEL} string")
+    return _export_run(rows, todo, LABEL, path, as_of)
 
 
 def export_daily(df: DataFrame, path: str, as_of: dt.datetime) -> DataFrame:
@@ -115,35 +132,48 @@ def read_landings(spark: SparkSession, dst: str) -> DataFrame:
     return read_or_empty(spark, f"{dst}/manifest", _LANDED)
 
 
-def landed_rows(spark: SparkSession, dst: str) -> DataFrame:
-    """Rows of all archives that landed whole."""
+def _rows_of_landed(spark: SparkSession, dst: str) -> DataFrame:
     schema = MEMBER_ROWS.replace("archive string, ", "") + ", intake string, destination string, title string"
     rows = read_or_empty(spark, f"{dst}/rows", schema)
-    return present(rows, read_landings(spark, dst), ["intake", *_UNIT]).drop(REASON, "intake")
+    return present(rows, read_landings(spark, dst), ["intake", *_UNIT])
+
 
+def landed_rejects(spark: SparkSession, dst: str) -> DataFrame:
+    """The members of landed archives that could not be read, with the reason."""
+    return rejected(_rows_of_landed(spark, dst)).select("intake", *_UNIT, "member", REASON)
 
-def land(files: DataFrame, units: DataFrame, dst: str, as_of: dt.datetime) -> DataFrame:
-    """Expand one bounded batch of archives ``files(path, content)`` below ``dst``.
 
-    ``units(destination, title, path)`` says where each goes. The batch has a
-    folder of its own, which counts only through the manifest; an archive with a
-    defect is left out there, so that the next run takes it again.
+def landed_rows(spark: SparkSession, dst: str) -> DataFrame:
+    """Rows of all archives that landed, without those of members that could not be read to their ends."""
+    rows = accepted(_rows_of_landed(spark, dst))
+    return missing(rows, landed_rejects(spark, dst), ["intake", *_UNIT, "member"]).drop("intake")
+
+
+def land(
+    units: DataFrame, dst: str, as_of: dt.datetime, encoding: str = "utf-8", delimiter: str = ","
+) -> DataFrame:
+    """Expand one batch of archives ``units(destination, title, path)`` below ``dst``.
+
+    Archives are opened by their paths in the tasks. The batch has a folder of its own,
+    which counts only through the manifest. An archive that cannot be opened or is damaged
+    is left out there, so that the next run takes it again, and the others land; so do the
+    other members beside one that is no text in ``encoding``.
     """
-    spark = files.sparkSession
+    spark = units.sparkSession
     intake = uuid.uuid4().hex
     folder = f"{dst}/rows/intake={intake}"
     (
-        expand_archives(files)
+        expand_archives(spread(units.select("path").distinct()), encoding, delimiter)
         .withColumnRenamed("archive", "path")
-        .join(F.broadcast(units), "path")
+        .join(units, "path")
         .drop("path")
         .write.partitionBy(*_UNIT)
         .parquet(folder)
     )
-    found = (
-        read_or_empty(spark, folder, f"{REASON} string, destination string, title string")
-        .groupBy(*_UNIT)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.max(REASON).alias(REASON))
+    schema = f"member string, {REASON} string, destination string, title string"
+    found = read_or_empty(spark, folder, schema).groupBy(*_UNIT).agg(
+        F.count_if(F.col(REASON).isNull()).alias("n_rows"),
+        F.max(F.when(F.col("member").isNull(), F.col(REASON))).alias(REASON),
     )
     outcome = units.join(found, _UNIT, "left").select(
         *_UNIT,
@@ -159,22 +189,22 @@ def land(files: DataFrame, units: DataFrame, dst: str, as_of: dt.datetime) -> Da
     return outcome
 
 
-def _literal_path(path: str) -> str:
-    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
-
-
 def intake(
-    selected: DataFrame, dst: str, as_of: dt.datetime, archives_per_batch: int = 10_000
+    selected: DataFrame,
+    dst: str,
+    as_of: dt.datetime,
+    archives_per_batch: int = 10_000,
+    encoding: str = "utf-8",
+    delimiter: str = ",",
 ) -> Iterator[DataFrame]:
     """Land the ``selected(destination, title, path)`` entries that have not landed yet.
 
-    Only paths pass through the driver, a batch at a time, and each finished batch
-    is kept if a later one fails. Yields the outcome of every batch as it is done.
+    They are landed in batches, and each finished batch is kept if a later one fails;
+    no path passes through the driver. Yields the outcome of every batch as it is done.
     """
     spark = selected.sparkSession
-    todo = staged(missing(selected, read_landings(spark, dst), _UNIT), "intake-units")
-    for batch in batched(todo.toLocalIterator(), archives_per_batch):
-        units = spark.createDataFrame(batch, todo.schema)
-        paths = sorted({_literal_path(row["path"]) for row in batch})
-        files = spark.read.format("binaryFile").load(paths)
-        yield land(files, units, dst, as_of)
+    todo = with_row_index(missing(selected, read_landings(spark, dst), _UNIT), *_UNIT, name="place")
+    last = todo.agg(F.max("place")).first()[0]
+    for first in range(0, 0 if last is None else last + 1, archives_per_batch):
+        batch = F.col("place").between(first, first + archives_per_batch - 1)
+        yield land(todo.where(batch).drop("place"), dst, as_of, encoding, delimiter)

@@ -42,15 +42,22 @@ def select_snapshots(
 
 
 def snapshot_intake(
-    spark: SparkSession, path: str, dst: str, as_of: dt.datetime, glob: str = "*.zip"
+    spark: SparkSession,
+    path: str,
+    dst: str,
+    as_of: dt.datetime,
+    glob: str = "*.zip",
+    encoding: str = "utf-8",
+    delimiter: str = ",",
 ) -> DataFrame:
     """Land what is new in the folder ``path`` below ``dst``; the outcome of this run's archives.
 
-    Archives with a defect carry a ``reject_reason`` and are taken again next time.
+    Archives with a defect carry a ``reject_reason`` and are taken again next time. Members
+    are text in ``encoding``, with fields between ``delimiter``.
     """
     catalog = in_folder(snapshot_catalog(spark, path, glob), path)
     outcome = None
-    for batch in intake(select_snapshots(catalog), dst, as_of):
+    for batch in intake(select_snapshots(catalog), dst, as_of, encoding=encoding, delimiter=delimiter):
         outcome = batch if outcome is None else outcome.unionByName(batch)
     if outcome is None:
         empty = read_landings(spark, dst).where(F.lit(False))

@@ -11,26 +11,35 @@ MEMBER_ROWS = (
     f"archive string, member string, row_pos bigint, cells array<string>, {REASON} string"
 )
 _BATCH_ROWS = 4096
+_BATCH_CHARS = 4 << 20
 
 
 def expand_archives(
     files: DataFrame, encoding: str = "utf-8", delimiter: str = ","
 ) -> DataFrame:
-    """CSV rows of all members of ``files(path, content)``.
+    """CSV rows of all members of the archives in ``files``: ``path``, and ``content`` or not.
 
-    Archives are independent, so the work spreads over them; a member is read as
-    a stream and leaves in batches of rows. An archive that cannot be read to its
-    end yields one more row with the reason, and the others go on.
+    Without ``content``, a task opens each path as a seekable stream and reads what it needs,
+    so an archive may have any size. Archives are independent, so the work spreads
+    over them; a member is read as a stream and leaves in batches of rows.
+
+    What cannot be read yields one more row with the reason, and the rest goes on: a
+    member that is no text in ``encoding``, or no CSV, names itself; a row without member says
+    that the archive itself cannot be opened, or is damaged.
     """
 
     # Self-contained, so that executors need nothing but Python and Arrow.
     def expand(batches):
         import csv
         import io
+        import re
+        import sys
         import zipfile
 
         import pyarrow as pa
+        from pyarrow import fs
 
+        csv.field_size_limit(sys.maxsize)
         schema = pa.schema(
             [
                 ("archive", pa.string()),
@@ -55,35 +64,53 @@ def expand_archives(
                 schema=schema,
             )
 
-        def members(archive, content):
-            member = None
+        def rows_of(archive, member, raw):
+            text = io.TextIOWrapper(raw, encoding=encoding, newline="")
+            rows, first, chars = [], 0, 0
+            for row in csv.reader(text, delimiter=delimiter):
+                rows.append(row)
+                chars += sum(map(len, row))
+                if len(rows) == _BATCH_ROWS or chars > _BATCH_CHARS:
+                    yield batch(archive, member, first, rows)
+                    first += len(rows)
+                    rows, chars = [], 0
+            if rows:
+                yield batch(archive, member, first, rows)
+
+        def members(archive, open_archive):
             try:
-                with zipfile.ZipFile(content) as zf:
+                with open_archive() as stream, zipfile.ZipFile(stream) as zf:
                     for info in zf.infolist():
                         if info.is_dir():
                             continue
-                        member = info.filename
                         with zf.open(info) as raw:
-                            text = io.TextIOWrapper(raw, encoding=encoding, newline="")
-                            rows, first = [], 0
-                            for row in csv.reader(text, delimiter=delimiter):
-                                rows.append(row)
-                                if len(rows) == _BATCH_ROWS:
-                                    yield batch(archive, member, first, rows)
-                                    first += len(rows)
-                                    rows = []
-                            if rows:
-                                yield batch(archive, member, first, rows)
+                            try:
+                                yield from rows_of(archive, info.filename, raw)
+                            except (UnicodeError, csv.Error) as e:
+                                reason = f"{type(e).__name__}: {e}"
+                                yield batch(archive, info.filename, 0, [None], reason)
             except Exception as e:  # any defect of the archive: keep it as a reject
-                yield batch(archive, member, 0, [None], f"{type(e).__name__}: {e}")
+                yield batch(archive, None, 0, [None], f"{type(e).__name__}: {e}")
+
+        def open_path(path):
+            scheme, authority, name = re.fullmatch(r"(?:([A-Za-z][\w+.-]*):)?(?://([^/]*))?(.*)", path).groups()
+            if scheme in (None, "file"):
+                return fs.LocalFileSystem().open_input_file(name)
+            scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+            system, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+            return system.open_input_file(root.rstrip("/") + name)
 
         for files_batch in batches:
-            paths, contents = files_batch.column(0), files_batch.column(1)
-            for i in range(files_batch.num_rows):
-                content = pa.BufferReader(contents[i].as_buffer())
-                yield from members(paths[i].as_py(), content)
+            paths = files_batch.column(0).to_pylist()
+            contents = files_batch.column(1) if files_batch.num_columns > 1 else None
+            for i, path in enumerate(paths):
+                if contents is None:
+                    yield from members(path, lambda path=path: open_path(path))
+                else:
+                    yield from members(path, lambda i=i: pa.BufferReader(contents[i].as_buffer()))
 
-    return files.select("path", F.col("content")).mapInArrow(expand, MEMBER_ROWS)
+    wanted = [c for c in ("path", "content") if c in files.columns]
+    return files.select(*wanted).mapInArrow(expand, MEMBER_ROWS)
 
 
 def archive_rows(
@@ -93,11 +120,17 @@ def archive_rows(
     encoding: str = "utf-8",
     delimiter: str = ",",
 ) -> DataFrame:
-    """Rows of all archives below ``path``; an archive must fit a task (and 2 GB)."""
+    """Rows of all archives below ``path``; they are listed by Spark and opened in the tasks."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .load(path)
+        .select("path")
     )
-    return expand_archives(files, encoding, delimiter)
+    return expand_archives(spread(files), encoding, delimiter)
+
+
+def spread(files: DataFrame, most: int = 10_000) -> DataFrame:
+    """``files`` dealt out so that no task opens many archives: one each, up to ``most`` tasks."""
+    return files.repartition(max(1, min(most, files.count())))

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import random
 import zipfile
 
 import pytest
@@ -13,7 +14,6 @@ from quotemill.plans.snapshots import select_snapshots, snapshot_intake
 from quotemill.schemas import SNAPSHOT_CATEGORIES
 from quotemill.sources.archives import archive_rows
 from quotemill.sources.catalog import in_folder, snapshot_catalog
-from quotemill.streaming.intake import stream_intake
 
 AS_OF = dt.datetime(2024, 1, 3)
 MARKERS = [m for m, _ in SNAPSHOT_CATEGORIES]
@@ -133,6 +133,33 @@ def test_archive_rows(spark, folder):
     assert bad == {"cut.zip": (None, "BadZipFile"), "bad.zip": ("bin.csv", "UnicodeDecodeError")}
 
 
+def test_long_fields_and_other_members_beside_a_bad_one(spark, tmp_path):
+    archive(tmp_path / "a.zip", **{
+        "1 good.csv": "a," + "x" * 300_000 + "\n",
+        "2 bad.csv": "good so far\n".encode() * 5000 + "台".encode("cp950"),
+        "3 good.csv": "b,c\n",
+    })
+    rows = archive_rows(spark, str(tmp_path))
+    assert sorted((r.member, len(r.cells[1])) for r in accepted(rows).where("size(cells) = 2").collect()) == [
+        ("1 good.csv", 300_000), ("3 good.csv", 1)
+    ]
+    assert [r.member for r in rejected(rows).collect()] == ["2 bad.csv"]
+    assert rejected(archive_rows(spark, str(tmp_path), encoding="cp950")).count() == 0
+
+
+def test_archives_are_not_loaded_whole(spark, tmp_path):
+    """One above the length that file contents may have."""
+    archive(tmp_path / "small.zip", **{"x.csv": "1\n"})
+    rng = random.Random(1)
+    archive(tmp_path / "large.zip", **{"y.csv": "".join(f"{rng.random()}\n" for _ in range(5000))})
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        rows = archive_rows(spark, str(tmp_path))
+        assert rows.count() == 5001 and rejected(rows).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
 def test_catalog_does_not_read_content(spark, folder):
     os.utime(folder / "a.zip", (1704153600, 1704153600))
     catalog = snapshot_catalog(spark, str(folder), "[ab].zip")
@@ -155,7 +182,7 @@ def test_export_does_only_the_missing(spark, tmp_path):
     second = run(df)
     assert set(second) == {"030101", "040101", "050101", "060101"}
     assert run(df) == {} and sum(second.values()) == 1000 - 143 * 3
-    back = exports.read_export(df, path)
+    back = exports.read_export(df, "k", path)
     assert back.schema["k"].dataType.simpleString() == "string"
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
@@ -163,10 +190,20 @@ def test_export_does_only_the_missing(spark, tmp_path):
 def test_an_interrupted_export_is_repeated(spark, tmp_path):
     df = spark.range(10).select("id", F.lit("k1").alias("k"))
     # rows without a manifest entry, as a run leaves them that was lost half-way
-    df.limit(3).write.partitionBy("k").parquet(str(tmp_path / "data"))
+    df.limit(3).write.partitionBy("k").parquet(str(tmp_path / "data" / "run=lost"))
     done = exports.export_missing(df, "k", str(tmp_path), AS_OF).collect()
     assert [(r.k, r.n_rows, r.finished_at) for r in done] == [("k1", 10, AS_OF)]
-    assert exports.read_export(df, str(tmp_path)).count() == 10
+    assert exports.read_export(df, "k", str(tmp_path)).count() == 10
+
+
+def test_counting_reads_the_run_only(spark, tmp_path):
+    df = spark.range(20).select("id", F.concat(F.lit("k"), F.col("id") % 4).alias("k"))
+    for part in (df.where("k < 'k2'"), df):
+        (run,) = {r.run for r in exports.export_missing(part, "k", str(tmp_path), AS_OF).collect()}
+    counts = exports.run_counts(df, "k", f"{tmp_path}/data/run={run}")
+    files = {f.split("/data/")[1].split("/")[0] for f in counts.inputFiles()}
+    assert files == {f"run={run}"} and len(counts.inputFiles()) < len(exports.read_export(df, "k", str(tmp_path)).inputFiles())
+    assert {r.k: r.n_rows for r in counts.collect()} == {"k2": 5, "k3": 5}
 
 
 @pytest.mark.parametrize("key", [None, ""])
@@ -181,7 +218,7 @@ def test_wanted_keys_without_rows_are_done(spark, tmp_path):
     wanted = spark.createDataFrame([("a",), ("z",)], "k string")
     done = exports.export_missing(df, "k", str(tmp_path), AS_OF, wanted)
     assert {r.k: r.n_rows for r in done.collect()} == {"a": 1, "z": 0}
-    assert [r.id for r in exports.read_export(df, str(tmp_path)).collect()] == [1]
+    assert [r.id for r in exports.read_export(df, "k", str(tmp_path)).collect()] == [1]
 
 
 def test_daily_and_mtime_exports(spark, tmp_path, folder):
@@ -190,14 +227,16 @@ def test_daily_and_mtime_exports(spark, tmp_path, folder):
     for hour, n in ((1, 1), (9, 0)):
         assert exports.export_daily(df, path, dt.datetime(2002, 1, 1, hour)).count() == n
     assert exports.export_daily(df, path, dt.datetime(2002, 1, 2)).count() == 1
-    assert os.path.isdir(f"{path}/data/snap=020101")
+    labels = lambda: sorted(name for run in os.listdir(f"{path}/data") for name in os.listdir(f"{path}/data/{run}") if "snap" in name)
+    assert labels() == ["snap=020101", "snap=020102"]
+    assert exports.read_export(df.withColumn("snap", F.lit("")), "snap", path).count() == 10
 
     path = str(tmp_path / "mtime")
     catalog = snapshot_catalog(spark, str(folder), "a.zip")
     for stamp, n in ((1704153600, 1), (1704160000, 0), (1704250000, 1)):
         os.utime(folder / "a.zip", (stamp, stamp))
         assert exports.export_by_mtime(df, snapshot_catalog(spark, str(folder), "a.zip"), path, AS_OF).count() == n
-    assert sorted(os.listdir(f"{path}/data"))[-2:] == ["snap=240102", "snap=240103"]
+    assert labels() == ["snap=240102", "snap=240103"]
     with pytest.raises(FileNotFoundError):
         exports.export_by_mtime(df, catalog.limit(0), path, AS_OF)
 
@@ -221,11 +260,11 @@ def test_intake(spark, tmp_path):
     )
     assert run() == [
         ("Broker", f"{BROKER}_2.zip", 0, True),
-        ("Broker", f"{BROKER}_3.zip", 1, False),
+        ("Broker", f"{BROKER}_3.zip", 0, False),
         ("Broker", f"{BROKER}_[1].zip", 1, True),
         ("Tech", "技術指標_day_240103.zip", 2, True),
     ]
-    assert run() == [("Broker", f"{BROKER}_3.zip", 1, False)]
+    assert run() == [("Broker", f"{BROKER}_3.zip", 0, False)]
     archive(src / f"{BROKER}_3.zip", **{"b.csv": "b3\n"})
     archive(src / "技術指標_day_240104.zip", **{"newer.csv": "3\n"})
     assert run() == [
@@ -252,19 +291,16 @@ def test_intake_in_small_batches(spark, tmp_path):
     assert sorted(r.cells[0] for r in exports.landed_rows(spark, dst).collect()) == list("0123456")
 
 
-def test_intake_as_a_stream(spark, tmp_path):
-    src, dst, checkpoint = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "checkpoint")
+def test_members_in_another_encoding(spark, tmp_path):
+    src, dst = tmp_path / "src", str(tmp_path / "dst")
     src.mkdir()
-
-    def run():
-        stream_intake(spark, str(src), dst, checkpoint, AS_OF, archives_per_batch=2).awaitTermination()
-        return sorted(r.cells[0] for r in exports.landed_rows(spark, dst).collect())
-
-    for i in range(3):
-        archive(src / f"{BROKER}_{i}.zip", **{"b.csv": f"{i}\n"})
-    archive(src / "other.zip", **{"b.csv": "x\n"})
-    assert run() == ["0", "1", "2"]
-    assert run() == ["0", "1", "2"]
-    archive(src / f"{BROKER}_3.zip", **{"b.csv": "3\n"})
-    assert run() == ["0", "1", "2", "3"]
-    assert exports.read_landings(spark, dst).count() == 4
+    text = "台;x\r\n" * 3
+    archive(src / f"{BROKER}_1.zip", **{"a.csv": text.encode("cp950"), "b.csv": text.encode("cp950") + b"\xff\xff;\r\n"})
+    archive(src / f"{BROKER}_2.zip", **{"c.csv": b"2\r\n"})
+    (src / f"{BROKER}_3.zip").write_bytes(b"PK no archive")
+    outcome = snapshot_intake(spark, str(src), dst, AS_OF, encoding="cp950", delimiter=";").collect()
+    assert {r.title[-5]: r.reject_reason is None for r in outcome} == {"1": True, "2": True, "3": False}
+    rows = exports.landed_rows(spark, dst).collect()
+    assert sorted((r.member, r.cells) for r in rows) == [*[("a.csv", ["台", "x"])] * 3, ("c.csv", ["2"])]
+    (bad,) = exports.landed_rejects(spark, dst).collect()
+    assert bad.member == "b.csv" and bad.reject_reason.startswith("UnicodeDecodeError")

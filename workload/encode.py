@@ -103,7 +103,7 @@ def order_texts(orders: DataFrame, title, keys: int = ARCHIVE_KEYS) -> DataFrame
     )
 
 
-def archives(texts: DataFrame) -> DataFrame:
+def archives(texts: DataFrame, encoding: str = "utf-8") -> DataFrame:
     """``(path, content)``: an LZMA archive per text, with a folder entry and one member."""
 
     def compress(batches):
@@ -118,7 +118,7 @@ def archives(texts: DataFrame) -> DataFrame:
                 buffer = io.BytesIO()
                 with zipfile.ZipFile(buffer, "w", compression=zipfile.ZIP_LZMA) as zf:
                     zf.writestr("orders/", "")
-                    zf.writestr("orders/rows.csv", text.as_py() + "\r\n")
+                    zf.writestr("orders/rows.csv", (text.as_py() + "\r\n").encode(encoding))
                 contents.append(buffer.getvalue())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.string()), pa.array(contents, pa.binary())],
