@@ -10,12 +10,10 @@ IDEOGRAPHIC_SPACE = "　"
 # Entities that occur in listing markup.
 _PLAIN_ENTITIES = [
     ("&quot;", '"'),
-    ("&#39;", "'"),
     ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&#12288;", IDEOGRAPHIC_SPACE),
-    ("&#x3000;", IDEOGRAPHIC_SPACE),
+    ("&nbsp;", "\u00a0"),
 ]
+_NUMERIC_ENTITY = "&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
 # These stand for characters of the markup itself. The ampersand comes last, so
 # that "&amp;lt;" yields "&lt;".
 _MARKUP_ENTITIES = [
@@ -51,8 +49,10 @@ def code_and_name(col: Column) -> tuple[Column, Column]:
 
 
 def thousands(col: Column) -> Column:
-    """``'2,593.5'`` as DECIMAL(18,2); NULL where the text is no number."""
-    return F.replace(col, F.lit(","), F.lit("")).try_cast("decimal(18,2)")
+    """``'2,593.5'`` as DECIMAL(18,2); NULL where the text is no number, or does not fit without rounding."""
+    exact = F.replace(col, F.lit(","), F.lit("")).try_cast("decimal(38,18)")
+    value = exact.try_cast("decimal(18,2)")
+    return F.when(value == exact, value)
 
 
 def as_string(col: Column) -> Column:
@@ -88,9 +88,26 @@ def _decoded(col: Column, entities: list[tuple[str, str]]) -> Column:
     return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
 
 
+def _numeric_decoded(col: Column) -> Column:
+    """Numeric entities as characters; those of the markup's own characters by name instead."""
+
+    def replaced(text: Column, number: Column) -> Column:
+        hexadecimal = number.startswith("x") | number.startswith("X")
+        digits = F.when(hexadecimal, F.substr(number, F.lit(2))).otherwise(F.conv(number, 10, 16))
+        point = F.conv(digits, 16, 10).cast("int")
+        there = ((point > 0) & (point < 0xD800)) | ((point > 0xDFFF) & (point <= 0x10FFFF))
+        char = F.when(there, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")).otherwise("\ufffd")
+        for entity, own in _MARKUP_ENTITIES:
+            char = F.when(point == ord(own), entity).otherwise(char)
+        return F.replace(text, F.concat(F.lit("&#"), number, F.lit(";")), char)
+
+    numbers = F.array_distinct(F.regexp_extract_all(col, F.lit(_NUMERIC_ENTITY), 1))
+    return F.when(F.contains(col, F.lit("&#")), F.aggregate(numbers, col, replaced)).otherwise(col)
+
+
 def decode_plain_entities(col: Column) -> Column:
     """Decode what is no markup: can be done on a whole page before it is parsed."""
-    return _decoded(col, _PLAIN_ENTITIES)
+    return _decoded(_numeric_decoded(col), _PLAIN_ENTITIES)
 
 
 def decode_markup_entities(col: Column) -> Column:

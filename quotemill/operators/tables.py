@@ -12,12 +12,14 @@ from .columns import require
 
 
 def write_lines(df: DataFrame, line: Column, header: str, path: str, line_sep: str = "\r\n") -> None:
-    """``line`` of every row as text; every file starts with ``header``."""
+    """``line`` of every row as text; every file starts with ``header``, also where there are no rows."""
     row_of_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     with_header = F.concat(F.lit(header + line_sep), line)
+    lines = df.select(F.when(row_of_task == 0, with_header).otherwise(line).alias("value"))
+    if lines.isEmpty():
+        lines = df.sparkSession.createDataFrame([(header,)], "value string").coalesce(1)
     (
-        df.select(F.when(row_of_task == 0, with_header).otherwise(line).alias("value"))
-        .write.mode("overwrite")
+        lines.write.mode("overwrite")
         .option("lineSep", line_sep)
         .option("maxRecordsPerFile", 0)  # one file per task, so one header
         .text(path)
@@ -75,7 +77,8 @@ def append_rows(
 
     With ``schema``, a NULL in a column declared NOT NULL raises too: Parquet
     tables do not check that. ``cluster_by`` writes the batch in ranges of these
-    columns, so that a lookup by them skips row groups by their min and max.
+    columns, so that a lookup by them skips row groups by their min and max; a hash of
+    the whole row comes last, so that many rows equal in them spread over tasks.
     """
     if schema is not None:
         if len(df.columns) != len(schema):
@@ -87,7 +90,8 @@ def append_rows(
             ]
         )
     if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        row = F.xxhash64(*df.columns)
+        df = df.repartitionByRange(*cluster_by, row).sortWithinPartitions(*cluster_by)
     df.write.insertInto(table)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -18,44 +21,97 @@ _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+)?+'
 _WHOLE_RECORD = f"^{_FIELD}(?:,{_FIELD})*+$"
 
 
-def source_order() -> Column:
-    """The place of a row in its input; take it directly after the scan."""
+_NUMBER_WIDTH = 40
+
+
+def _numbers_compared(name: Column) -> Column:
+    """``name`` so that its numbers sort as numbers: ``9.csv`` before ``10.csv``."""
+    runs = F.regexp_extract_all(name, F.lit(r"\d+|\D+"), F.lit(0))
+    wide = F.transform(
+        runs, lambda x: F.when(x.rlike(r"^\d{1,39}$"), F.lpad(x, _NUMBER_WIDTH, "0")).otherwise(x)
+    )
+    return F.array_join(wide, "")
+
+
+def source_order(snapshot: Column | None = None) -> Column:
+    """The place of a row in its input; take it directly after the scan.
+
+    ``snapshot`` (a date, or ``_metadata.file_modification_time``) puts the files in order;
+    files equal in it, or all of them without one, follow by name, numbers in names as numbers.
+    """
+    path = F.col("_metadata.file_path")
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        *([] if snapshot is None else [snapshot.alias("snapshot")]),
+        _numbers_compared(path).alias("name"),
+        path.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
 
 
-def spans_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> bool:
-    """Whether any record goes over a line end (a quoted line break).
+def with_input_place(rows: DataFrame, name: str) -> DataFrame:
+    """Add the 0-based place of every row in its ``source_order``, without a sort.
 
-    Without one, the file can be split and read by many tasks.
+    The rows of a block of a file come from one task, one after the other. So a block's
+    first number gives the place within it, and one row per block the offset of the block.
+    """
+    order = rows.schema[ORDER].dataType.fieldNames()
+    block = [F.col(f"{ORDER}.{f}").alias(f) for f in order[:-1]]
+    earlier = Window.orderBy(*order[:-1]).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        rows.select(*block, F.col(f"{ORDER}.row").alias("row"))
+        .groupBy(*order[:-1])
+        .agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+        .select(F.struct(*order[:-1]).alias("of"), "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    )
+    own = F.struct(*block)
+    placed = rows.join(blocks, own.eqNullSafe(F.col("of")))
+    place = F.col("offset") + F.col(f"{ORDER}.row") - F.col("first")
+    return placed.select(place.cast("long").alias(name), *rows.columns)
+
+
+def files_over_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> list[str]:
+    """The files in which some record goes over a line end (a quoted line break).
+
+    All others can be split and read by many tasks. One pass over the text; the driver gets
+    names of files only, of which it holds the list anyway.
     """
     reader = spark.read.option("lineSep", line_sep) if line_sep else spark.read
-    return not reader.text(path).where(~F.col("value").rlike(_WHOLE_RECORD)).isEmpty()
+    over = reader.text(path).where(~F.col("value").rlike(_WHOLE_RECORD))
+    return sorted(r[0] for r in over.select(F.col("_metadata.file_path")).distinct().collect())
+
+
+def _read_csv(reader: DataFrameReader, path: str, multi_line: bool | None, line_sep: str | None, columns) -> DataFrame:
+    """``columns()`` of the CSV at ``path``; files are read whole per task only where a record needs it."""
+    if multi_line is not None:
+        return reader.option("multiLine", multi_line).csv(path).select(*columns())
+    whole = files_over_lines(SparkSession.active(), path, line_sep)
+    split = reader.option("multiLine", False).csv(path)
+    if not whole:
+        return split.select(*columns())
+    names = [re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(name)) for name in whole]
+    others = split.where(~F.col("_metadata.file_path").isin(whole)).select(*columns())
+    schema = split.schema  # of all files, also where the header names the columns
+    return others.unionByName(reader.schema(schema).option("multiLine", True).csv(names).select(*columns()))
 
 
 def read_master(
-    spark: SparkSession, path: str, book: str, multi_line: bool | None = None
+    spark: SparkSession, path: str, book: str, multi_line: bool | None = None, snapshot: Column | None = None
 ) -> DataFrame:
     """The eight text fields of a security master, by position; the header line is skipped.
 
     A record with more or fewer fields is a reject. ``multi_line=None`` looks at
-    the text first and reads whole files per task only if some record needs it. An
-    empty field is NULL, and a CRLF inside a field is read as a line feed.
+    the text first and reads a file whole only if one of its records needs it. An
+    empty field is NULL, and a CRLF inside a field is read as a line feed. ``snapshot``
+    is what files are ordered by before their names.
     """
-    if multi_line is None:
-        multi_line = spans_lines(spark, path)
     schema = StructType([*LISTING.fields, StructField(_CORRUPT, StringType())])
-    df = (
+    reader = (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("columnPruning", False)  # with pruning, fields are not counted
-        .csv(path)
     )
     # Written so that a test of the reason reads a data column too: Spark refuses
     # queries on nothing but the corrupt-record column.
@@ -66,9 +122,10 @@ def read_master(
         ).otherwise(""),
         F.lit(""),
     )
-    return df.select(
-        *LISTING_FIELDS, F.lit(book).alias("book"), source_order().alias(ORDER), reason.alias(REASON)
-    )
+    def columns():
+        return [*LISTING_FIELDS, F.lit(book).alias("book"), source_order(snapshot).alias(ORDER), reason.alias(REASON)]
+
+    return _read_csv(reader, path, multi_line, None, columns)
 
 
 def read_capital(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
@@ -77,14 +134,10 @@ def read_capital(spark: SparkSession, path: str, multi_line: bool | None = None)
     "NA" stays text, fields beyond the header are dropped. Of several files, one with
     another header raises instead of being read under the wrong names.
     """
-    if multi_line is None:
-        multi_line = spans_lines(spark, path, "\n")
-    return (
+    reader = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
         .option("lineSep", "\n")
-        .option("multiLine", multi_line)
-        .csv(path)
-        .select("*", source_order().alias(ORDER))
     )
+    return _read_csv(reader, path, multi_line, "\n", lambda: ["*", source_order().alias(ORDER)])

@@ -39,8 +39,8 @@ def listing_rows(pages: DataFrame, key_cols: list[str], html_col: str = "html")
     and the job has no shuffle at all. ``pos`` is the row's place on its page.
 
     Not handled as an HTML parser would: nested tables, ``>`` inside an
-    attribute value; comments are dropped, they count as no element; only the
-    entities that occur in listing markup are decoded.
+    attribute value; comments are dropped, they count as no element; of the named
+    entities only those that occur in listing markup are decoded.
     """
 
     def cells(chunk):

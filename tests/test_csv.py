@@ -1,6 +1,7 @@
 import csv
 import datetime as dt
 import io
+import os
 import pathlib
 import random
 
@@ -13,7 +14,7 @@ from quotemill.operators.tables import write_master
 from quotemill.plans.capital import capital_ranking, capital_table, top_lines
 from quotemill.plans.master import build_master, master_sets
 from quotemill.schemas import LISTING_FIELDS
-from quotemill.sources.csv_files import ORDER, read_capital, read_master, spans_lines
+from quotemill.sources.csv_files import ORDER, files_over_lines, read_capital, read_master
 
 HEADER = ",".join(LISTING_FIELDS)
 
@@ -95,7 +96,51 @@ def test_written_master_is_what_csv_writer_writes(spark, tmp_path):
 )
 def test_records_over_line_ends_are_noticed(spark, tmp_path, record, spans):
     path = write(tmp_path / "x.csv", "h1,h2,h3", record, "a,b,c", sep="\n")
-    assert spans_lines(spark, path) is spans
+    assert [f.split("/")[-1] for f in files_over_lines(spark, path)] == ["x.csv"] * spans
+
+
+def test_only_files_that_need_it_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "台 %[1]"
+    folder.mkdir()
+    lines = [f"t,{i},{i},i,s,m,g,c" for i in range(2000)]
+    write(folder / "1 whole.csv", HEADER, 't,0,"two\nlines",i,s,m,g,c')
+    write(folder / "2 {x}+y.csv", HEADER, 't,1,"two\nlines",i,s,m,g,c')
+    write(folder / "3.csv", HEADER, *lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = accepted(read_master(spark, str(tmp_path) + "/*", "twse"))
+        assert rows.rdd.getNumPartitions() > 8
+        got = [(r.code, r.name) for r in rows.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(got) == sorted([("0", "two\nlines"), ("1", "two\nlines"), *((str(i), str(i)) for i in range(2000))])
+
+
+@pytest.mark.parametrize("first, second", [("9.csv", "10.csv"), ("part-99999-a.csv", "part-100000-a.csv"), ("2/x.csv", "10/x.csv")])
+def test_numbers_in_names_are_compared_as_numbers(spark, tmp_path, first, second):
+    for name, row in ((first, "old"), (second, "new")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        write(tmp_path / name, HEADER, f"t,1,{row},i,s,m,g,c")
+    path = str(tmp_path / "*.csv") if "/" not in first else str(tmp_path / "*")
+    assert last_wins(accepted(read_master(spark, path, "twse")), "code", ORDER).first().name == "new"
+
+
+def test_a_snapshot_goes_before_the_names(spark, tmp_path):
+    for name, row, time in (("b.csv", "old", 1_700_000_000), ("a.csv", "new", 1_700_000_100)):
+        os.utime(write(tmp_path / name, HEADER, f"t,1,{row},i,s,m,g,c"), (time, time))
+    written = F.col("_metadata.file_modification_time")
+    rows = accepted(read_master(spark, str(tmp_path), "twse", snapshot=written))
+    assert last_wins(rows, "code", ORDER).first().name == "new"
+
+
+def test_a_master_without_rows_has_a_header(spark, tmp_path):
+    empty = spark.createDataFrame([], ", ".join(f"`{f}` string" for f in LISTING_FIELDS))
+    write_master(empty, str(tmp_path / "out"))
+    (file,) = (tmp_path / "out").glob("part-*")
+    assert file.read_bytes() == (HEADER + "\r\n").encode()
+    assert read_master(spark, str(tmp_path / "out"), "twse").count() == 0
 
 
 def test_source_order_over_splits(spark, tmp_path):
@@ -118,7 +163,8 @@ CAPITAL = (pathlib.Path(__file__).parent / "fixtures" / "capital.csv").read_text
 
 def test_capital(spark, tmp_path):
     path = write(tmp_path / "c.csv", *CAPITAL, sep="\n")
-    ranked = capital_ranking(spark, path)
+    ranked, rejects = capital_ranking(spark, path)
+    assert rejects.count() == 0
     assert ranked.columns == ["row_index", "index", "名稱", "股本(億)", "備註", "stock"]
     got = [
         (r["row_index"], r["index"], r.stock, None if r["股本(億)"] is None else str(r["股本(億)"]), r["備註"])
@@ -130,7 +176,7 @@ def test_capital(spark, tmp_path):
         (2, 3, "9999", "5.00", "y"),
         (3, 2, "1101", None, "x"),
     ]
-    lines = top_lines(capital_table(read_capital(spark, path))).collect()
+    lines = top_lines(accepted(capital_table(read_capital(spark, path)))).collect()
     assert [r.line for r in lines] == [
         "台積電     股本 2593.00 (億)",
         "元大      股本 100.50 (億)",
@@ -138,7 +184,7 @@ def test_capital(spark, tmp_path):
     ]
 
 
-    unplaced = capital_ranking(spark, path, place=False)
+    unplaced, _ = capital_ranking(spark, path, place=False)
     assert unplaced.columns == [c for c in ranked.columns if c != "index"]
     assert unplaced.orderBy("row_index").collect() == ranked.drop("index").orderBy("row_index").collect()
 
@@ -152,7 +198,32 @@ def test_capital_files_with_different_headers(spark, tmp_path):
 
 def test_capital_with_fewer_than_three_rows(spark, tmp_path):
     path = write(tmp_path / "c.csv", CAPITAL[0], CAPITAL[1], sep="\n")
-    assert top_lines(capital_table(read_capital(spark, path))).count() == 1
+    assert top_lines(accepted(capital_table(read_capital(spark, path)))).count() == 1
+
+
+def test_capital_that_is_no_number_is_a_reject(spark, tmp_path):
+    texts = ["--", "5 億", "12345678901234567", "12.345", '"2,593.5"', "", "12.30", "NA", "1e400"]
+    path = write(tmp_path / "c.csv", "代號,名稱,股本(億)", *[f"{i},n,{t}" for i, t in enumerate(texts)], sep="\n")
+    ranked, rejects = capital_ranking(spark, path)
+    assert {r.stock: r.reject_reason for r in rejects.collect()} == {
+        str(i): f"no number that fits: {texts[i]}" for i in (0, 1, 2, 3, 7, 8)
+    }
+    assert [(r.stock, str(r["股本(億)"]), r["index"]) for r in ranked.orderBy("row_index").collect()] == [
+        ("4", "2593.50", 4), ("6", "12.30", 6), ("5", "None", 5)
+    ]
+
+
+def test_places_over_splits_and_files(spark, tmp_path):
+    for name, first in (("10.csv", 300), ("9.csv", 0)):
+        write(tmp_path / name, "代號,名稱,股本(億)", *[f"{first + i},n,{i % 7}" for i in range(300)], sep="\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        ranked, _ = capital_ranking(spark, str(tmp_path))
+        assert {r.stock: r["index"] for r in ranked.collect()} == {str(i): i for i in range(600)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_build_master_from_pages(spark):

@@ -38,9 +38,9 @@ def test_code_and_name(spark, cell, code, name):
 
 
 def test_thousands(spark):
-    got = values(spark, text.thousands, ["2,593", "100.5", "", "NA", None, "-1,234,567.89"])
+    got = values(spark, text.thousands, ["2,593", "100.5", "", "NA", None, "-1,234,567.89", "1.005", "1.500", "9" * 17])
     assert [None if v is None else str(v) for v in got] == [
-        "2593.00", "100.50", None, None, None, "-1234567.89",
+        "2593.00", "100.50", None, None, None, "-1234567.89", None, "1.50", None,
     ]
 
 
@@ -63,6 +63,19 @@ def test_entities_are_decoded_once(spark):
     assert got == ["a&b", "&lt;", "<", "&quot;", '"', "plain", None]
 
 
+@pytest.mark.parametrize(
+    "entity, char",
+    [
+        ("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&#21488;", "台"), ("&#x53F0;", "台"), ("&#X1d11e;", "𝄞"),
+        ("&#12288;", "　"), ("&#39;", "'"), ("&#60;", "<"), ("&#38;", "&"), ("&#38;lt;", "&lt;"), ("&#38;#65;", "&#65;"),
+        ("&#0;", "\ufffd"), ("&#xD800;", "\ufffd"), ("&#x110000;", "\ufffd"), ("&#65", "&#65"), ("&#;", "&#;"),
+    ],
+)
+def test_entities(spark, entity, char):
+    both = lambda c: text.decode_markup_entities(text.decode_plain_entities(c))
+    assert values(spark, both, [f"a{entity}b&#65;{entity}"]) == [f"a{char}bA{char}"]
+
+
 def test_trade_date_rolls_weekends_back(spark):
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(8)]
     friday = dt.date(2024, 1, 5)

@@ -142,6 +142,21 @@ def test_clustered_append_is_ranged(spark, database, all_partitions):
     assert all(a.hi <= b.lo for a, b in zip(per_file, per_file[1:]))
 
 
+def test_rows_equal_in_stock_and_date_spread(spark, database, all_partitions):
+    name = f"{database}.t"
+    tables.create_brokerage_avg_price(spark, name)
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, "2330").otherwise(F.col("id").cast("string")).alias("stock"),
+        F.lit(DAY).alias("date"),
+        (F.col("id") % 9_000 / 100).cast("decimal(6,2)").alias("avg_buy_price"),
+        F.lit(None).cast("decimal(6,2)").alias("avg_sell_price"),
+        F.lit(None).cast("decimal(3,2)").alias("rate"),
+    )
+    tables.append_rows(rows, name, BROKERAGE_AVG_PRICE, cluster_by=["stock", "date"])
+    per_file = spark.table(name).where("stock = '2330'").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in per_file) == 20_000 and max(r["count"] for r in per_file) < 8_000
+
+
 def test_columns(spark):
     df = spark.createDataFrame([('="2330"', "股票", "tpex")], "c string, type string, source string")
     assert columns.clean_code(df, "c").columns == ["type", "source", "stock"]
