@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_MAX_LITERAL_NEEDLES = 64
-
 
 def _names(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -77,22 +75,20 @@ def title_has(col: Column, marker: str) -> Column:
     return F.contains(col, F.lit(marker))
 
 
+def containing(catalog: DataFrame, needles: list[str], col: str = "title") -> DataFrame:
+    """Rows of ``catalog`` whose ``col`` contains any of the given ``needles``: a pushed-down filter."""
+    return catalog.where(reduce(Column.__or__, [title_has(F.col(col), n) for n in needles], F.lit(False)))
+
+
 def matching(catalog: DataFrame, needles: DataFrame, col: str = "title") -> DataFrame:
     """Rows of ``catalog`` whose ``col`` contains any value of the one-column ``needles``.
 
-    Up to 64 needles become literals of a pushed-down filter. For more, the
-    different titles are taken apart into their pieces of the needles' lengths, and
-    a piece that equals a needle is a hit: an equi-join, for titles as short as
-    file names.
+    The different titles are taken apart into their pieces of the needles' lengths, and
+    a piece that equals a needle is a hit: an equi-join, for any number of needles and
+    titles as short as file names. For a few needles that are known, see ``containing``.
     """
     name = needles.columns[0]
     needles = needles.select(F.col(name).alias("needle")).where("needle is not null").distinct()
-    head = needles.limit(_MAX_LITERAL_NEEDLES + 1).collect()
-    if not head:
-        return catalog.where(F.lit(False))
-    if len(head) <= _MAX_LITERAL_NEEDLES:
-        return catalog.where(reduce(Column.__or__, [title_has(F.col(col), r.needle) for r in head]))
-
     longest = catalog.agg(F.max(F.char_length(col))).first()[0]
     lengths = needles.select(F.char_length("needle").alias("n")).where(F.col("n") <= longest)
     lengths = sorted(r.n for r in lengths.distinct().collect())

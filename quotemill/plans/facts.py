@@ -11,6 +11,7 @@ from ..operators.order import first_row
 from ..operators.rejects import accepted, rejected
 from ..operators.tables import append_rows, create_brokerage_avg_price, create_tdcc, drop_table
 from ..schemas import BROKERAGE_AVG_PRICE, TDCC
+from ..session import staged
 from ..sources.tables import scan
 
 
@@ -33,7 +34,7 @@ def load_tdcc(df: DataFrame, table: str = "TDCC") -> DataFrame:
 
 
 def _load(df: DataFrame, table: str, schema) -> DataFrame:
-    rows = conform(df, schema)
+    rows = staged(conform(df, schema), "conformed")  # read for the ranges, the write, and the rejects
     append_rows(accepted(rows), table, schema, cluster_by=["stock", "date"])
     return rejected(rows)
 

@@ -7,24 +7,36 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.columns import book_of, equities, route
-from ..operators.keys import last_wins
-from ..operators.rejects import accepted
+from ..operators.columns import book_of
+from ..operators.rejects import accepted, rejected
 from ..operators.snapshots import stale_sources
-from ..schemas import BOOKS, LISTING_FIELDS
+from ..schemas import BOOKS, EQUITY_TYPE, LISTING_FIELDS
+from ..session import staged
 from ..sources.listing import listing_rows
 
 
 def master_sets(rows: DataFrame, order: str) -> dict[str, DataFrame]:
     """``codes`` (equities of all books) and one set of all types per book; last row per code wins.
 
-    ``rows`` has the listing fields, ``book`` and the ``order`` column.
+    ``rows`` has the listing fields, ``book`` and the ``order`` column. They are reduced
+    once, to the last row of each book and code and its last equity row; the sets come
+    from that.
     """
-    rows = rows.select(*LISTING_FIELDS, "book", order)
-    sets = {"codes": last_wins(equities(rows), "code", order)}
+    row = F.struct(*LISTING_FIELDS, "book")
+    equity_order = F.when(F.col("type") == EQUITY_TYPE, F.col(order))
+    last = rows.groupBy(F.col("book").alias("of_book"), F.col("code").alias("of_code")).agg(
+        F.max_by(row, F.col(order)).alias("any"),
+        F.max_by(row, equity_order).alias("equity"),
+        F.max(equity_order).alias("equity_order"),
+    )
+    last = staged(last, "master")
+    codes = last.where("equity_order is not null").groupBy("of_code").agg(
+        F.max_by("equity", "equity_order").alias("equity")
+    )
+    sets = {"codes": codes.select("equity.*")}
     for book in BOOKS:
-        sets[book] = last_wins(route(rows, book), "code", order)
-    return {name: df.select(*LISTING_FIELDS, "book") for name, df in sets.items()}
+        sets[book] = last.where(F.col("of_book") == book).select("any.*")
+    return sets
 
 
 def build_master(
@@ -33,17 +45,18 @@ def build_master(
     """Master sets and rejects from ``pages(source, url, captured, html)``.
 
     ``url`` and ``captured`` identify a page; later captures win, then later pages by
-    url, then later rows. With ``as_of``, pages captured after it are left out.
+    url, then later rows. With ``as_of``, pages captured after it are left out. Pages are
+    parsed once, and the rows staged.
     """
     if as_of is not None:
         pages = pages.where(F.col("captured") <= F.lit(as_of))
-    rows = listing_rows(pages, ["source", "url", "captured"])
+    rows = staged(listing_rows(pages, ["source", "url", "captured"]), "listing-rows")
     good = accepted(rows).select(
         *LISTING_FIELDS,
         book_of(F.col("source")).alias("book"),
         F.struct("captured", "url", "pos").alias("page_order"),
     )
-    return master_sets(good, "page_order"), rows.where("reject_reason is not null")
+    return master_sets(good, "page_order"), rejected(rows)
 
 
 def stale_master_sources(

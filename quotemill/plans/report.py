@@ -14,8 +14,8 @@ from ..sources.report import report_rows
 
 def daily_report(
     raw: DataFrame,
+    columns: list[str],
     day: Column | None = None,
-    columns: list[str] | None = None,
     value_col: str = "value",
 ) -> tuple[DataFrame, DataFrame]:
     """Report rows without the change sign, and the rejects.

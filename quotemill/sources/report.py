@@ -8,32 +8,25 @@ from pyspark.sql import functions as F
 from ..operators.rejects import REASON
 from ..schemas import REPORT_JSON
 
-_MAX_COLUMNS = 2000
 _OWN_COLUMNS = ("date", "stat", "pos", REASON)
 
 
-def report_columns(raw: DataFrame, value_col: str = "value") -> list[str]:
-    """The column names of all reports, in the order of their first place.
+def report_columns(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """The column names of all reports (``name``), with the first ``place`` of each.
 
-    This reads the input once more; pass ``columns`` to ``report_rows`` where the
-    names are known.
+    This reads the input once; ``report_rows`` takes the names that are wanted.
     """
     header = F.from_json(value_col, "fields5 array<string>")["fields5"]
-    names = (
+    return (
         raw.select(F.posexplode(header).alias("place", "name"))
         .groupBy("name")
         .agg(F.min("place").alias("place"))
-        .orderBy("place", "name")
-        .limit(_MAX_COLUMNS + 1)
-        .collect()
+        .select("place", "name")
     )
-    if len(names) > _MAX_COLUMNS:
-        raise ValueError(f"more than {_MAX_COLUMNS} different report columns")
-    return [row["name"] for row in names]
 
 
 def report_rows(
-    raw: DataFrame, columns: list[str] | None = None, value_col: str = "value"
+    raw: DataFrame, columns: list[str], value_col: str = "value"
 ) -> DataFrame:
     """One row per entry of ``data5``, under the names of ``fields5``.
 
@@ -43,8 +36,6 @@ def report_rows(
     not that of the header. The place of each wanted column is looked up once per
     report, not per row.
     """
-    if columns is None:
-        columns = report_columns(raw, value_col)
     clash = [c for c in columns if c in _OWN_COLUMNS]
     if clash:
         raise ValueError(f"report columns named like the report's own: {clash}")

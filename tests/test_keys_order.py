@@ -35,7 +35,13 @@ def test_lookup_count_union(spark):
 
 def test_matching_is_literal(spark):
     titles = ids(spark, ["a_b.zip", "axb.zip", "x%y", "a_b", None], "title")
-    hits = lambda *n: column(keys.matching(titles, ids(spark, n)))
+    given = lambda *n: column(keys.containing(titles, [x for x in n if x is not None]))
+    joined = lambda *n: column(keys.matching(titles, ids(spark, n)))
+
+    def hits(*needles):
+        assert given(*needles) == joined(*needles)
+        return given(*needles)
+
     assert hits("a_b") == ["a_b", "a_b.zip"]
     assert hits("%") == ["x%y"]
     assert hits("b.zip", "x%") == ["a_b.zip", "axb.zip", "x%y"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quotemill.operators.rejects import accepted, rejected
 from quotemill.operators.tables import write_report
 from quotemill.plans.report import daily_report, report_codes
-from quotemill.sources.report import report_rows
+from quotemill.sources.report import report_columns, report_rows
 
 CODE, SIGN = "證券代號", "漲跌(+/-)"
 
@@ -21,7 +21,7 @@ def raw(spark, *docs):
 
 
 def test_rows(spark):
-    report, rejects = daily_report(raw(spark, doc()))
+    report, rejects = daily_report(raw(spark, doc()), [CODE, SIGN])
     assert report.columns == ["date", "stat", "pos", CODE]
     assert [tuple(r) for r in report.orderBy("pos").collect()] == [
         ("20171103", "OK", 0, "1101"),
@@ -63,7 +63,10 @@ def test_without_ansi_mode(spark):
 
 
 def test_columns_differ_between_reports(spark):
-    rows = report_rows(raw(spark, doc(), doc("20171106", ["x", CODE], [["7", "2330"]])))
+    docs = raw(spark, doc(), doc("20171106", ["x", CODE], [["7", "2330"]]))
+    names = {r.name: r.place for r in report_columns(docs).collect()}
+    assert names == {"x": 0, CODE: 0, SIGN: 1}
+    rows = report_rows(docs, ["x", CODE, SIGN])
     assert rows.columns == ["date", "stat", "pos", "x", CODE, SIGN, "reject_reason"]
     got = {(r.date, r[CODE], r.x, r[SIGN]) for r in accepted(rows).collect()}
     assert got == {
@@ -73,7 +76,7 @@ def test_columns_differ_between_reports(spark):
 
 def test_sign_column_has_to_be_there(spark):
     with pytest.raises(ValueError, match="漲跌"):
-        daily_report(raw(spark, doc(fields=[CODE, "x"])))
+        daily_report(raw(spark, doc(fields=[CODE, "x"])), [CODE, "x"])
 
 
 def test_numbers_keep_their_text(spark):
@@ -84,7 +87,7 @@ def test_numbers_keep_their_text(spark):
 @pytest.mark.parametrize("day", [dt.date(2017, 11, 3), dt.date(2017, 11, 4), dt.date(2017, 11, 5)])
 def test_report_of_a_weekend_is_fridays(spark, day):
     docs = raw(spark, doc(), doc("20171106", data=[["9", "+"]]))
-    report, _ = daily_report(docs, F.lit(day), [CODE, SIGN])
+    report, _ = daily_report(docs, [CODE, SIGN], F.lit(day))
     assert {r.date for r in report.collect()} == {"20171103"}
 
 

@@ -92,6 +92,20 @@ def listing_rejects(spark, sf):
     return rejected(rows).select("url", "type", F.get("cells", F.lit(1)).alias("cell"), "reject_reason")
 
 
+@query("""
+select cast(p_partkey as varchar) || chr(160) || '1' as code, '台灣<' || replace(p_name, ' ', '') || '>&lt;' as name
+from part
+""")
+def listing_entities(spark, sf):
+    """Named and numeric entities: a no-break space stays one, an escaped ampersand escapes nothing."""
+    part = table(spark, sf, "part")
+    cell = F.concat(
+        F.col("p_partkey").cast("string"), F.lit("&nbsp;1&#12288;&#21488;&#x7063;&#60;"), "p_name", F.lit("&#62;&#38;lt;")
+    )
+    rows = listing.listing_rows(encode.listing_pages(part, cell), ["url", "chunk"])
+    return accepted(rows).select("code", "name")
+
+
 @query("""
 with rows as (
   select case when p_type = 'ECONOMY' then '股票' else p_type end as "type",
@@ -218,6 +232,24 @@ def master_csv_rejects(spark, sf):
     return csv_files.read_master(spark, path, "twse").select("code", "name", "reject_reason")
 
 
+@query("select cast(p_partkey as varchar) as code, p_name || '*' as name from part")
+def file_order(spark, sf):
+    """The last row wins over files whose names sort otherwise as text: 9 before 10."""
+    block = encode.block("p_partkey", encode.PAGE_KEYS)
+    files = []
+    for number, name in ((9, F.col("p_name")), (10, F.concat("p_name", F.lit("*")))):
+        line = text.csv_line([F.lit("t"), F.col("p_partkey"), name, *[F.lit("x")] * 5])
+        files.append(
+            table(spark, sf, "part")
+            .groupBy(F.concat(block.cast("string"), F.lit(f"-{number}.csv")).alias("path"))
+            .agg(F.concat(F.lit(",".join(LISTING_FIELDS) + "\n"), F.array_join(F.collect_list(line), "\n")).alias("text"))
+        )
+    folder = stage_path(spark, "numbered-files")
+    encode.write_files(files[0].union(files[1]).select("path", F.col("text").cast("binary").alias("content")), folder)
+    rows = accepted(csv_files.read_master(spark, folder, "twse"))
+    return keys.last_wins(rows, "code", csv_files.ORDER).select("code", "name")
+
+
 # --- daily reports ------------------------------------------------------------------------
 
 _REPORT = [REPORT_CODE, REPORT_CHANGE_SIGN, "status"]
@@ -257,7 +289,9 @@ from orders
 """)
 def daily_report(spark, sf):
     """The column names come from the reports themselves; the change sign is dropped."""
-    rows, _ = report.daily_report(_reports(spark, sf))
+    reports = _reports(spark, sf)
+    names = [r.name for r in report_source.report_columns(reports).orderBy("place", "name").collect()]
+    rows, _ = report.daily_report(reports, names)
     rows = rows.withColumnRenamed(REPORT_CODE, "code")
     return rows.select("date", "stat", "code", *[c for c in rows.columns[3:] if c != "code"])
 
@@ -292,9 +326,10 @@ def trade_date(spark, sf):
 # --- capital ------------------------------------------------------------------------------
 
 
-def _capital_csv(spark, sf):
+def _capital_csv(spark, sf, capital_text=None):
     """Suppliers in key order as a capital CSV, those of the first nations without a number."""
-    capital_text = F.when(F.col("s_nationkey") > 2, F.format_number("s_acctbal", 2))
+    if capital_text is None:
+        capital_text = F.when(F.col("s_nationkey") > 2, F.format_number("s_acctbal", 2))
     code = F.concat(F.lit('="'), "s_suppkey", F.lit('"'))
     line = text.csv_line([code, F.col("s_name"), capital_text, F.lit("NA")])
     path = stage_path(spark, "capital-csv")
@@ -316,7 +351,7 @@ with t as ({_CAPITAL_SQL})
 select *, row_number() over (order by capital desc nulls last, stock) - 1 as rank from t
 """)
 def capital_ranking(spark, sf):
-    ranked = capital.capital_ranking(spark, _capital_csv(spark, sf))
+    ranked, _ = capital.capital_ranking(spark, _capital_csv(spark, sf))
     return ranked.select(
         "stock",
         F.col("名稱").alias("name"),
@@ -327,6 +362,22 @@ def capital_ranking(spark, sf):
     )
 
 
+@query("""
+select cast(s_suppkey as varchar) as stock, s_name as name, row_number() over (order by s_suppkey) - 1 as place,
+       'no number that fits: ' || case s_nationkey % 4 when 0 then '--' when 1 then s_suppkey || ' 億'
+         else s_suppkey || '.125' end as reject_reason
+from supplier qualify s_nationkey % 4 < 3
+""")
+def capital_rejects(spark, sf):
+    """Texts that are no number, or one that two decimals can't hold; the others are ranked."""
+    kind, key = F.col("s_nationkey") % 4, F.col("s_suppkey").cast("string")
+    capital_text = (
+        F.when(kind == 0, "--").when(kind == 1, F.concat(key, F.lit(" 億"))).when(kind == 2, F.concat(key, F.lit(".125")))
+    )
+    _, rejects = capital.capital_ranking(spark, _capital_csv(spark, sf, capital_text))
+    return rejects.select("stock", F.col("名稱").alias("name"), F.col("index").alias("place"), "reject_reason")
+
+
 @query(f"""
 with t as ({_CAPITAL_SQL})
 select stock, format('{{:<8}}股本 {{:>5}} (億)', name, cast(capital as varchar)) as line
@@ -334,7 +385,7 @@ from t order by capital desc nulls last, stock limit 3
 """)
 def capital_report(spark, sf):
     rows = csv_files.read_capital(spark, _capital_csv(spark, sf))
-    return capital.top_lines(capital.capital_table(rows)).select("stock", "line")
+    return capital.top_lines(accepted(capital.capital_table(rows))).select("stock", "line")
 
 
 @query("select s_name, s_acctbal from supplier order by s_acctbal desc nulls last, s_suppkey limit 3")
@@ -413,6 +464,16 @@ def title_dates(spark, sf):
     return snapshots.dated_titles(titles, ["3大法人_"]).select("title", "snap_date", "reject_reason")
 
 
+@query("""
+select distinct concat(event_type, '_day_', strftime(ts, '%y%m%d'), '.zip') as title, cast(ts as date) as snap_date
+from events
+""")
+def title_order(spark, sf):
+    """All titles by the date they state, newest first."""
+    dated = accepted(snapshots.dated_titles(_event_titles(spark, sf).distinct(), _EVENT_MARKERS))
+    return snapshots.by_title_date(dated).select("title", "snap_date")
+
+
 @query("select user_id, strftime(max(ts), '%y%m%d') as snap from events group by user_id")
 def snapshot_label(spark, sf):
     events = table(spark, sf, "events").groupBy("user_id").agg(F.max("ts").alias("ts"))
@@ -431,6 +492,36 @@ def stale_sources(spark, sf):
     return stale.select("c_custkey", "stale")
 
 
+def _month_texts(spark, sf):
+    """A title and a line for each month: its first day, and the number of its orders."""
+    month = F.trunc("o_orderdate", "month").alias("month")
+    months = table(spark, sf, "orders").groupBy(month).agg(F.count(F.lit(1)).alias("n"))
+    label = dates.snap_label(F.col("month"))
+    return months.select(
+        F.concat(F.lit("3大法人_"), label, F.lit(".zip")).alias("path"),
+        F.concat_ws(",", dates.compact_date(F.col("month")), "n").alias("text"),
+    )
+
+
+def _month_folder(spark, sf, before="9"):
+    """A folder with an archive for each month before ``before`` (yyyymm), and its catalog."""
+    folder = stage_path(spark, "months")
+    texts = _month_texts(spark, sf).where(F.col("text") < before)
+    encode.write_files(encode.archives(texts), folder)
+    return catalog.in_folder(catalog.snapshot_catalog(spark, folder), folder)
+
+
+@query("""
+select distinct '3大法人_' || strftime(date_trunc('month', o_orderdate), '%y%m%d') || '.zip' as title
+from orders where o_orderdate >= date '1997-01-01'
+""")
+def stale_master_sources(spark, sf):
+    """Of the files expected, those from 1997 on are not in the folder; the others have just been written."""
+    listed = _month_folder(spark, sf, before="199701")
+    expected = _month_texts(spark, sf).select(F.col("path").alias("title"))
+    return master.stale_master_sources(expected, listed, F.current_timestamp()).select("title")
+
+
 @query("select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey)")
 def missing_units(spark, sf):
     lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
@@ -439,8 +530,7 @@ def missing_units(spark, sf):
 
 @query("select p_partkey from part where contains(p_name, 'ring') or contains(p_name, 'et')")
 def contains_semi(spark, sf):
-    needles = spark.createDataFrame([("ring",), ("et",)], "needle string")
-    return keys.matching(table(spark, sf, "part"), needles, "p_name").select("p_partkey")
+    return keys.containing(table(spark, sf, "part"), ["ring", "et"], "p_name").select("p_partkey")
 
 
 @query("""
@@ -448,7 +538,7 @@ select c_custkey from customer
 where exists (select 1 from supplier where contains(c_name, substr(s_name, 10)))
 """)
 def contains_many(spark, sf):
-    """More needles than a filter takes: joined by their first characters."""
+    """Needles of a table: joined with the pieces of the names that have their lengths."""
     needles = table(spark, sf, "supplier").select(F.substr("s_name", F.lit(10)).alias("needle"))
     return keys.matching(table(spark, sf, "customer"), needles, "c_name").select("c_custkey")
 
@@ -472,18 +562,38 @@ def archive_rows(spark, sf):
     )
 
 
-def _landing_folder(spark, sf):
-    """All orders as broker archives, and the number of orders of each month as dated ones."""
-    orders = table(spark, sf, "orders")
-    months = orders.groupBy(F.trunc("o_orderdate", "month").alias("month")).agg(
-        F.count(F.lit(1)).alias("n")
+@query("""
+select o_orderkey // 50000 * 50000 as block, '台' || o_orderpriority as a, cast(o_orderkey as varchar) as b,
+       cast(0 as bigint) as n
+from orders
+union all
+select distinct o_orderkey // 50000 * 50000, 'long', '', cast(140000 as bigint) from orders
+""")
+def archive_encoding(spark, sf):
+    """Members in another encoding, with a field longer than a CSV reader takes by default."""
+    block = encode.block("o_orderkey", encode.ARCHIVE_KEYS)
+    line = F.concat_ws(";", F.concat(F.lit("台"), "o_orderpriority"), "o_orderkey", F.lit(""))
+    texts = (
+        table(spark, sf, "orders")
+        .groupBy(_order_title(block).alias("path"))
+        .agg(F.array_join(F.collect_list(line), "\r\n").alias("text"))
+        .select("path", F.concat("text", F.lit("\r\nlong;;"), F.repeat(F.lit("x"), F.lit(140_000))).alias("text"))
     )
-    label = dates.snap_label(F.col("month"))
-    month_texts = months.select(
-        F.concat(F.lit("3大法人_"), label, F.lit(".zip")).alias("path"),
-        F.concat_ws(",", dates.compact_date(F.col("month")), "n").alias("text"),
+    folder, dst = stage_path(spark, "cp950"), stage_path(spark, "cp950-landed")
+    encode.write_files(encode.archives(texts, "cp950"), folder)
+    snapshot_plans.snapshot_intake(spark, folder, dst, AS_OF, encoding="cp950", delimiter=";")
+    cell = lambda i: F.get("cells", F.lit(i))
+    return exports.landed_rows(spark, dst).select(
+        F.regexp_extract("title", r"_(\d+)\.zip", 1).cast("bigint").alias("block"),
+        cell(0).alias("a"),
+        cell(1).alias("b"),
+        F.char_length(cell(2)).cast("bigint").alias("n"),
     )
-    texts = encode.order_texts(orders, _order_title).unionByName(month_texts)
+
+
+def _landing_folder(spark, sf):
+    """All orders as broker archives, and the number of orders of each month as dated ones."""
+    texts = encode.order_texts(table(spark, sf, "orders"), _order_title).unionByName(_month_texts(spark, sf))
     folder = stage_path(spark, "landing")
     encode.write_files(encode.archives(texts), folder)
     return folder
@@ -547,7 +657,7 @@ def export_missing(spark, sf):
     path = stage_path(spark, "export")
     for part in (orders.where("month < '199801'"), orders, orders):
         snapshot_plans.export_missing(part, "month", path, AS_OF)
-    return exports.read_export(orders, path)
+    return exports.read_export(orders, "month", path)
 
 
 @query("select c_custkey, c_acctbal, '240201' as snap from customer")
@@ -556,17 +666,19 @@ def export_daily(spark, sf):
     path = stage_path(spark, "daily")
     for _ in range(2):
         snapshot_plans.export_daily(customers, path, AS_OF)
-    return exports.read_export(customers.withColumn("snap", F.lit("")), path)
+    return exports.read_export(customers.withColumn("snap", F.lit("")), "snap", path)
 
 
-@query("select s_suppkey, s_name, (select strftime(max(o_orderdate), '%y%m%d') from orders) as snap from supplier")
+@query("select s_suppkey, s_name, true as of_newest_file from supplier")
 def export_by_mtime(spark, sf):
+    """Twice by the files of a folder, which have just been written."""
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    changes = table(spark, sf, "orders").select(F.col("o_orderdate").alias("modificationTime"))
-    path = stage_path(spark, "by-mtime")
+    listed, path = _month_folder(spark, sf), stage_path(spark, "by-mtime")
     for _ in range(2):
-        snapshot_plans.export_by_mtime(suppliers, changes, path, AS_OF)
-    return exports.read_export(suppliers.withColumn("snap", F.lit("")), path)
+        snapshot_plans.export_by_mtime(suppliers, listed, path, AS_OF)
+    newest = listed.agg(dates.snap_label(F.max("modificationTime"))).first()[0]
+    rows = exports.read_export(suppliers.withColumn("snap", F.lit("")), "snap", path)
+    return rows.select("s_suppkey", "s_name", (F.col("snap") == newest).alias("of_newest_file"))
 
 
 # --- fact tables --------------------------------------------------------------------------
