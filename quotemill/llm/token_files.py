@@ -26,10 +26,10 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +42,12 @@ from ..session import stage_path
 MAGIC = b"FRB1"
 #: A block is closed when it has so many ids.
 BLOCK_IDS = 1 << 20
-#: Bytes of text that make one file, about.
-FILE_BYTES = 32 << 20
+#: Blocks in a file, at most: a file is read as a whole.
+FILE_BLOCKS = 16
 #: Texts whose ids are put together at a time.
 TEXTS = 256
-#: Characters of the texts that are encoded together, about: in more of them, fewer words are new.
-CHUNK = 12 << 20
+#: Bytes of the texts that are encoded together, about: in more of them, fewer words are new.
+CHUNK = 10 << 20
 
 #: The lengths in a control byte.
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
@@ -62,7 +62,11 @@ class Encoder:
 
     #: Words encoded as one text: short texts cost a call each, long ones slow the library down.
     WORDS = 200
-    _SPACES = re.compile(r" \s| $")
+    #: Such texts in one call.
+    TEXTS = 32
+    #: Words whose ids are kept for the texts to come.
+    KNOWN = 250_000
+    _SPACES = r" [\t-\r\x{85}\p{Z}]| $"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -73,41 +77,54 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
         self.starts[[i for token, i in vocabulary.items() if token[0] == "Ġ"]] = True
+        self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+        found = []
+        for first in range(0, len(texts), self.TEXTS):  # what the library returns takes far more room than ids
+            some = self.tokenizer.encode_batch_fast(texts[first : first + self.TEXTS], add_special_tokens=False)
+            found += [np.array(e.ids, np.uint32) for e in some]
+        return found
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words, each after a space, and where those of each word begin (and the last ends)."""
+    def _learn(self, words: list[str]) -> None:
+        """Encode words that are not known, each after a space."""
         joined = [" " + " ".join(words[i : i + self.WORDS]) for i in range(0, len(words), self.WORDS)]
         ids = np.concatenate([np.empty(0, np.uint32), *self._ids(joined)])
         begins = np.flatnonzero(self.starts[ids])
         if len(begins) != len(words):
             raise ValueError("not a byte-level tokenizer that keeps spaces in front")
-        return ids, np.append(begins, len(ids))
+        raw, ends = ids.tobytes(), (4 * np.append(begins, len(ids))).tolist()
+        self.known.update(zip(words, map(raw.__getitem__, map(slice, ends, ends[1:])), strict=False))
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, each after a space, and where those of each word begin (and the last ends)."""
+        for word in list(islice(self.known, max(0, len(self.known) - self.KNOWN))):
+            del self.known[word]  # the longest known first
+        self._learn([w for w in words if w not in self.known])
+        raw = list(map(self.known.__getitem__, words))
+        begins = np.cumsum([0, *map(len, raw)], dtype=np.int64) // 4
+        return np.frombuffer(b"".join(raw), np.uint32), begins
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; none for null."""
-        texts = [t or "" for t in texts]
-        whole = np.array([bool(self._SPACES.search(t)) for t in texts], bool)
+        texts = texts.cast(pa.large_string()).fill_null("")
+        whole = pc.match_substring_regex(texts, self._SPACES).to_numpy(zero_copy_only=False)
         found: list[np.ndarray] = [None] * len(texts)
-        for i, ids in zip(np.flatnonzero(whole), self._ids([texts[i] for i in np.flatnonzero(whole)]), strict=True):
+        at = np.flatnonzero(whole)
+        for i, ids in zip(at, self._ids(texts.take(pa.array(at)).to_pylist()), strict=True):
             found[i] = ids
         cut = np.flatnonzero(~whole)
-        words = pc.split_pattern(pa.array([texts[i] for i in cut], pa.large_string()), " ")
+        words = pc.split_pattern(texts.take(pa.array(cut)) if len(at) else texts, " ")
         firsts = np.asarray(words.offsets)
-        flat, heads = words.flatten(), firsts[:-1]  # the first words have no space in front
-        after = np.ones(len(flat), bool)
-        after[heads] = False
-        coded = flat.filter(pa.array(after)).dictionary_encode()
+        flat, heads = words.flatten(), firsts[:-1]
+        coded = flat.dictionary_encode()
+        place = np.array(coded.indices)
         ids, begins = self._words(coded.dictionary.to_pylist())
+        # the first words have no space in front; their ids follow those of the others
         own = self._ids(flat.take(pa.array(heads)).to_pylist())
         # the first words follow the others in the list of ids
         begins = np.concatenate([begins, begins[-1] + np.cumsum([len(x) for x in own], dtype=np.int64)])
         ids = np.concatenate([ids, *own])
-        place = np.empty(len(flat), np.int64)
-        place[after] = np.asarray(coded.indices)
         place[heads] = np.arange(len(begins) - 1 - len(heads), len(begins) - 1)
         begins, lengths = begins.astype(np.int32), np.diff(begins).astype(np.int32)
         for first in range(0, len(cut), TEXTS):
@@ -150,7 +167,8 @@ def pack_block(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     table, ranks = _ranked(flat)
     ranks = ranks.astype("<u4")
     lengths = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    width = np.arange(lengths.max(initial=1))
+    data = ranks.view(np.uint8).reshape(-1, 4)[:, width][width < lengths[:, None]]
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     codes[: len(ranks)] = lengths - 1
     control = codes.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
@@ -189,7 +207,10 @@ def unpack_blocks(content: bytes) -> Iterator[tuple[list[int | None], list[np.nd
         table, control, data = take("<u4", entries), take("u1", -(-n // 4)), take("u1", size)
         lengths = _LENGTHS[control].reshape(-1)[:n]
         ranks = np.zeros((n, 4), np.uint8)
-        ranks[np.arange(4) < lengths[:, None]] = data
+        width = np.arange(lengths.max(initial=1))
+        bytes_of = np.zeros((n, len(width)), np.uint8)
+        bytes_of[width < lengths[:, None]] = data
+        ranks[:, width] = bytes_of
         if zlib.crc32(view[start:at]) != int(take("<u4", 1)[0]) or view[at : at + 1] != b"\n":
             raise ValueError(f"damaged block at byte {start}")
         at += 1
@@ -201,20 +222,20 @@ def unpack_blocks(content: bytes) -> Iterator[tuple[list[int | None], list[np.nd
         )
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """(doc_ids, texts) of about CHUNK characters, over the ends of batches."""
+def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, pa.Array]]:
+    """(doc_ids, texts) of about CHUNK bytes, over the ends of batches."""
     doc_ids, texts, size = [], [], 0
     for batch in batches:
         for first in range(0, len(batch), 256):
             part = batch.slice(first, 256)
             doc_ids += part.column("doc_id").to_pylist()
-            texts += part.column("text").to_pylist()
-            size += sum(len(t or "") for t in texts[-len(part) :])
+            texts.append(part.column("text"))
+            size += texts[-1].nbytes
             if size >= CHUNK:
-                yield doc_ids, texts
+                yield doc_ids, pa.chunked_array(texts).combine_chunks()
                 doc_ids, texts, size = [], [], 0
     if doc_ids:
-        yield doc_ids, texts
+        yield doc_ids, pa.chunked_array(texts).combine_chunks()
 
 
 def write(docs: DataFrame, tokenizer: str, end: int = 0, path: str | None = None) -> str:
@@ -225,7 +246,6 @@ def write(docs: DataFrame, tokenizer: str, end: int = 0, path: str | None = None
     tokenizers file that all executors can open. A document is never split over blocks.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
@@ -246,10 +266,11 @@ def write(docs: DataFrame, tokenizer: str, end: int = 0, path: str | None = None
             yield block()
 
     path = path or stage_path(docs.sparkSession, "tokens")
-    files = max(64, size // FILE_BYTES + 1)
-    ordered = docs.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     encoded = ordered.mapInArrow(blocks, "block binary")
-    encoded.select(F.col("block").cast("string")).write.option("lineSep", "\n").text(path)
+    encoded.select(F.col("block").cast("string")).write.option("lineSep", "\n").option(
+        "maxRecordsPerFile", FILE_BLOCKS
+    ).text(path)
     return path
 
 
