@@ -55,7 +55,7 @@ def snapshot_intake(
     Archives with a defect carry a ``reject_reason`` and are taken again next time. Members
     are text in ``encoding``, with fields between ``delimiter``.
     """
-    catalog = in_folder(snapshot_catalog(spark, path, glob), path)
+    catalog = in_folder(snapshot_catalog(spark, path, glob, recursive=False), path)
     outcome = None
     for batch in intake(select_snapshots(catalog), dst, as_of, encoding=encoding, delimiter=delimiter):
         outcome = batch if outcome is None else outcome.unionByName(batch)

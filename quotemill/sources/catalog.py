@@ -4,22 +4,36 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_name
 
+_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
-def snapshot_catalog(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """Files below ``path``. Their content is not read: only listed columns are selected."""
+def snapshot_catalog(
+    spark: SparkSession, path: str, glob: str = "*.zip", recursive: bool = True
+) -> DataFrame:
+    """Files below ``path``, or without ``recursive`` only those in it: no folder below is listed then.
+
+    Their content is not read: only listed columns are selected.
+    """
+    reader = spark.read.format("binaryFile").schema(_FILE)
+    if recursive:
+        files = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    else:
+        folder = re.sub(r"([\\*?{}\[\]])", r"\\\1", path.rstrip("/"))
+        try:
+            files = reader.option("recursiveFileLookup", True).load(f"{folder}/{glob}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            files = spark.createDataFrame([], _FILE)
     return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select(
+        files.select(
             file_name(F.col("path")).alias("title"),
             "path",
             "modificationTime",

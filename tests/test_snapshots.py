@@ -174,6 +174,18 @@ def test_catalog_does_not_read_content(spark, folder):
     assert in_folder(catalog.withColumn("trashed", F.lit(True)), f"file:{folder}").count() == 0
 
 
+def test_catalog_of_the_folder_alone(spark, tmp_path):
+    src = tmp_path / "a [b] {c}*"
+    (src / "below.zip").mkdir(parents=True)
+    (src / "sub").mkdir()
+    for name in ("1.zip", "2.txt", "sub/3.zip", "below.zip/4.zip"):
+        archive(src / name, **{"x.csv": "1\n"})
+    catalog = snapshot_catalog(spark, str(src), recursive=False)
+    assert {r.title for r in in_folder(catalog, str(src)).collect()} == {"1.zip"}
+    assert not any("/sub/" in f for f in catalog.inputFiles())
+    assert snapshot_catalog(spark, str(src), "*.lzma", recursive=False).count() == 0
+
+
 def test_export_does_only_the_missing(spark, tmp_path):
     df = spark.range(1000).select("id", F.format_string("%02d0101", F.col("id") % 7).alias("k"))
     path = str(tmp_path)
