@@ -47,7 +47,7 @@ FILE_BLOCKS = 16
 #: Texts whose ids are put together at a time.
 TEXTS = 256
 #: Bytes of the texts that are encoded together, about: in more of them, fewer words are new.
-CHUNK = 10 << 20
+CHUNK = 8 << 20
 
 #: The lengths in a control byte.
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
@@ -65,7 +65,7 @@ class Encoder:
     #: Such texts in one call.
     TEXTS = 32
     #: Words whose ids are kept for the texts to come.
-    KNOWN = 250_000
+    KNOWN = 100_000
     _SPACES = r" [\t-\r\x{85}\p{Z}]| $"
 
     def __init__(self, path: str):
@@ -86,24 +86,31 @@ class Encoder:
             found += [np.array(e.ids, np.uint32) for e in some]
         return found
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words that are not known, each after a space."""
+    def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, each after a space, and where those of each word begin (and the last ends)."""
         joined = [" " + " ".join(words[i : i + self.WORDS]) for i in range(0, len(words), self.WORDS)]
         ids = np.concatenate([np.empty(0, np.uint32), *self._ids(joined)])
         begins = np.flatnonzero(self.starts[ids])
         if len(begins) != len(words):
             raise ValueError("not a byte-level tokenizer that keeps spaces in front")
-        raw, ends = ids.tobytes(), (4 * np.append(begins, len(ids))).tolist()
-        self.known.update(zip(words, map(raw.__getitem__, map(slice, ends, ends[1:])), strict=False))
+        return ids, np.append(begins, len(ids))
 
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words, each after a space, and where those of each word begin (and the last ends)."""
+    def _words(self, words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin of each word's, number of each word's); words that come more than once are remembered."""
         for word in list(islice(self.known, max(0, len(self.known) - self.KNOWN))):
             del self.known[word]  # the longest known first
-        self._learn([w for w in words if w not in self.known])
-        raw = list(map(self.known.__getitem__, words))
-        begins = np.cumsum([0, *map(len, raw)], dtype=np.int64) // 4
-        return np.frombuffer(b"".join(raw), np.uint32), begins
+        hits = list(map(self.known.get, words))
+        old = np.array([h is not None for h in hits], bool)
+        new = np.flatnonzero(~old)
+        ids, ends = self._new([words[i] for i in new])
+        raw = [h for h in hits if h is not None]
+        begins, sizes = np.empty(len(words), np.int32), np.empty(len(words), np.int32)
+        begins[new], sizes[new] = ends[:-1], np.diff(ends)
+        sizes[old] = np.fromiter(map(len, raw), np.int32, len(raw)) // 4
+        begins[old] = len(ids) + np.cumsum(sizes[old]) - sizes[old]
+        for i in new[counts[new] > 1]:
+            self.known[words[i]] = ids[begins[i] : begins[i] + sizes[i]].tobytes()
+        return np.concatenate([ids, np.frombuffer(b"".join(raw), np.uint32)]), begins, sizes
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; none for null."""
@@ -119,18 +126,18 @@ class Encoder:
         flat, heads = words.flatten(), firsts[:-1]
         coded = flat.dictionary_encode()
         place = np.array(coded.indices)
-        ids, begins = self._words(coded.dictionary.to_pylist())
+        ids, begins, sizes = self._words(coded.dictionary.to_pylist(), np.bincount(place))
         # the first words have no space in front; their ids follow those of the others
         own = self._ids(flat.take(pa.array(heads)).to_pylist())
-        # the first words follow the others in the list of ids
-        begins = np.concatenate([begins, begins[-1] + np.cumsum([len(x) for x in own], dtype=np.int64)])
+        place[heads] = len(begins) + np.arange(len(heads))
+        own_sizes = np.array([len(x) for x in own], np.int32)
+        begins = np.concatenate([begins, len(ids) + np.cumsum(own_sizes, dtype=np.int32) - own_sizes])
+        sizes = np.concatenate([sizes, own_sizes])
         ids = np.concatenate([ids, *own])
-        place[heads] = np.arange(len(begins) - 1 - len(heads), len(begins) - 1)
-        begins, lengths = begins.astype(np.int32), np.diff(begins).astype(np.int32)
         for first in range(0, len(cut), TEXTS):
             some = firsts[first : first + TEXTS + 1]
             own = place[some[0] : some[-1]]
-            size = lengths[own]
+            size = sizes[own]
             ends = np.cumsum(size, dtype=np.int32)
             # the places of the ids of all words: each word's begin, counted up
             at = np.repeat(begins[own] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
