@@ -30,7 +30,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def running_sum(
-    df: DataFrame, by: list[str], order: list[str], value: Column, name: str, ties: list[str] = (), slice_rows: int = 200_000
+    df: DataFrame, by: list[str], order: list[str], value: Column, name: str, ties: list[str] = (), slice_rows: int = 50_000
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the rows before a row among those equal in ``by``.
 
@@ -38,24 +38,20 @@ def running_sum(
     ``ties`` themselves), so the order is pseudorandom, but the same in each run. With 1 as
     ``value`` the result numbers the rows of each group from 0 without a gap.
 
-    No task gets a whole group: the hash range is cut into slices, each slice is summed
-    in its own window, and what the slices before it add up to comes from one row per
-    group and slice.
+    No task gets a whole group: the hash range is cut into slices, and each slice is summed
+    in its own window. What the slices before it add up to is one row per group and
+    slice, which goes into the window ahead of the slice's rows; so rows are shuffled once.
     """
     slices = df.count() // slice_rows + 64
-    hashed = df.withColumn("_h", F.xxhash64(*order)).withColumn(
-        "_slice", F.expr(f"shiftrightunsigned(_h, 33) * {slices} div {1 << 31}")
-    )
+    hashed = df.select("*", F.xxhash64(*order).alias("_h"), value.cast("long").alias("_value"), F.lit(1).alias("_real"))
+    hashed = hashed.withColumn("_slice", F.expr(f"shiftrightunsigned(_h, 33) * {slices} div {1 << 31}"))
     keys = [*by, "_slice"]
-    within = Window.partitionBy(*keys).orderBy("_h", *order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    starts = (
         hashed.groupBy(*keys)
-        .agg(F.sum(value).alias("_sum"))
-        .select(*[F.col(k).alias(f"_at_{k}") for k in keys], F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    )
-    summed = hashed.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)))
-    same = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys]
-    return summed.join(offsets, same).select(
-        *df.columns, (F.col(name) + F.col("_offset")).cast("long").alias(name)
+        .agg(F.sum("_value").alias("_sum"))
+        .select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_value"), F.lit(0).alias("_real"))
     )
+    within = Window.partitionBy(*keys).orderBy("_real", "_h", *order, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    summed = hashed.unionByName(starts, allowMissingColumns=True).withColumn(name, F.sum("_value").over(within))
+    return summed.where("_real = 1").select(*df.columns, name)
