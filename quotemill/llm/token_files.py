@@ -29,7 +29,6 @@ import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +52,12 @@ CHUNK = 8 << 20
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.uint8)
 
 
+def _counted_up(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... for each pair, as many as its size says."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+
+
 class Encoder:
     """Encodes texts with a byte-level tokenizer, each different word of them once.
 
@@ -77,7 +82,8 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
         self.starts[[i for token, i in vocabulary.items() if token[0] == "Ġ"]] = True
-        self.known: dict[str, bytes] = {}
+        nothing = np.empty(0, np.int32)
+        self.known = (pa.array([], pa.large_string()), nothing.astype(np.uint32), nothing, nothing)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = []
@@ -86,31 +92,38 @@ class Encoder:
             found += [np.array(e.ids, np.uint32) for e in some]
         return found
 
-    def _new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _new(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words, each after a space, and where those of each word begin (and the last ends)."""
-        joined = [" " + " ".join(words[i : i + self.WORDS]) for i in range(0, len(words), self.WORDS)]
-        ids = np.concatenate([np.empty(0, np.uint32), *self._ids(joined)])
+        cuts = pa.array([*range(0, len(words), self.WORDS), len(words)], pa.int32())
+        joined = pc.binary_join(pa.ListArray.from_arrays(cuts, words.cast(pa.string())), " ") if len(words) else []
+        ids = np.concatenate([np.empty(0, np.uint32), *self._ids([f" {text}" for text in joined])])
         begins = np.flatnonzero(self.starts[ids])
         if len(begins) != len(words):
             raise ValueError("not a byte-level tokenizer that keeps spaces in front")
         return ids, np.append(begins, len(ids))
 
-    def _words(self, words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, words: pa.LargeStringArray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begin of each word's, number of each word's); words that come more than once are remembered."""
-        for word in list(islice(self.known, max(0, len(self.known) - self.KNOWN))):
-            del self.known[word]  # the longest known first
-        hits = list(map(self.known.get, words))
-        old = np.array([h is not None for h in hits], bool)
-        new = np.flatnonzero(~old)
-        ids, ends = self._new([words[i] for i in new])
-        raw = [h for h in hits if h is not None]
+        known, known_ids, known_begins, known_sizes = self.known
+        place = pc.index_in(words, value_set=known).fill_null(-1).to_numpy()
+        old, new = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+        fresh, ends = self._new(words.take(pa.array(new)))
+        ids = np.concatenate([known_ids, fresh])
         begins, sizes = np.empty(len(words), np.int32), np.empty(len(words), np.int32)
-        begins[new], sizes[new] = ends[:-1], np.diff(ends)
-        sizes[old] = np.fromiter(map(len, raw), np.int32, len(raw)) // 4
-        begins[old] = len(ids) + np.cumsum(sizes[old]) - sizes[old]
-        for i in new[counts[new] > 1]:
-            self.known[words[i]] = ids[begins[i] : begins[i] + sizes[i]].tobytes()
-        return np.concatenate([ids, np.frombuffer(b"".join(raw), np.uint32)]), begins, sizes
+        begins[old], sizes[old] = known_begins[place[old]], known_sizes[place[old]]
+        begins[new], sizes[new] = len(known_ids) + ends[:-1], np.diff(ends)
+        # the words known for the longest time go
+        kept = new[counts[new] > 1][: self.KNOWN]
+        first = max(0, len(known) + len(kept) - self.KNOWN)
+        start = np.concatenate([known_begins[first:], begins[kept]])
+        size = np.concatenate([known_sizes[first:], sizes[kept]])
+        self.known = (
+            pa.concat_arrays([known[first:], words.take(pa.array(kept))]),
+            ids[_counted_up(start, size)],
+            np.cumsum(size, dtype=np.int32) - size,
+            size,
+        )
+        return ids, begins, sizes
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; none for null."""
@@ -126,7 +139,7 @@ class Encoder:
         flat, heads = words.flatten(), firsts[:-1]
         coded = flat.dictionary_encode()
         place = np.array(coded.indices)
-        ids, begins, sizes = self._words(coded.dictionary.to_pylist(), np.bincount(place))
+        ids, begins, sizes = self._words(coded.dictionary, np.bincount(place))
         # the first words have no space in front; their ids follow those of the others
         own = self._ids(flat.take(pa.array(heads)).to_pylist())
         place[heads] = len(begins) + np.arange(len(heads))
@@ -137,12 +150,9 @@ class Encoder:
         for first in range(0, len(cut), TEXTS):
             some = firsts[first : first + TEXTS + 1]
             own = place[some[0] : some[-1]]
-            size = sizes[own]
-            ends = np.cumsum(size, dtype=np.int32)
-            # the places of the ids of all words: each word's begin, counted up
-            at = np.repeat(begins[own] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
-            bounds = np.concatenate([[0], ends])[some - some[0]]
-            for i, part in zip(cut[first : first + TEXTS], np.split(ids[at], bounds[1:-1]), strict=True):
+            bounds = np.concatenate([[0], np.cumsum(sizes[own])])[some - some[0]]
+            joined = ids[_counted_up(begins[own], sizes[own])]
+            for i, part in zip(cut[first : first + TEXTS], np.split(joined, bounds[1:-1]), strict=True):
                 found[i] = part
         return found
 
@@ -173,12 +183,15 @@ def pack_block(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
     table, ranks = _ranked(flat)
     ranks = ranks.astype("<u4")
-    lengths = 1 + (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    width = np.arange(lengths.max(initial=1))
-    data = ranks.view(np.uint8).reshape(-1, 4)[:, width][width < lengths[:, None]]
+    lengths = np.ones(len(ranks), np.uint8)
+    for limit in (1 << 8, 1 << 16, 1 << 24):
+        if len(table) > limit:
+            lengths += ranks >= limit
+    width = int(lengths.max(initial=1))
+    data = ranks.view(np.uint8).reshape(-1, 4)[:, :width][np.arange(width) < lengths[:, None]]
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     codes[: len(ranks)] = lengths - 1
-    control = codes.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
+    control = codes[::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
     body = b"".join(
         [
             MAGIC,
@@ -214,10 +227,10 @@ def unpack_blocks(content: bytes) -> Iterator[tuple[list[int | None], list[np.nd
         table, control, data = take("<u4", entries), take("u1", -(-n // 4)), take("u1", size)
         lengths = _LENGTHS[control].reshape(-1)[:n]
         ranks = np.zeros((n, 4), np.uint8)
-        width = np.arange(lengths.max(initial=1))
-        bytes_of = np.zeros((n, len(width)), np.uint8)
-        bytes_of[width < lengths[:, None]] = data
-        ranks[:, width] = bytes_of
+        width = int(lengths.max(initial=1))
+        used = np.zeros((n, width), np.uint8)
+        used[np.arange(width) < lengths[:, None]] = data
+        ranks[:, :width] = used
         if zlib.crc32(view[start:at]) != int(take("<u4", 1)[0]) or view[at : at + 1] != b"\n":
             raise ValueError(f"damaged block at byte {start}")
         at += 1
