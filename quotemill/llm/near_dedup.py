@@ -37,11 +37,15 @@ _LOWER = bytes(range(256)).replace(bytes(range(65, 91)), bytes(range(97, 123)))
 _FACTORS = np.random.default_rng(5).integers(1 << 32, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 
+#: Words whose hashes a task remembers.
+KNOWN_WORDS = 150_000
+
+
 class _WordHash(dict):
     """64-bit hashes of words, remembered for a bounded number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
