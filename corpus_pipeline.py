@@ -9,17 +9,25 @@ from quotemill.llm import language_id, mixing, near_dedup, packing
 from quotemill.llm.common import word_count
 from quotemill.session import stage_path
 
-#: A document goes if less than this part of its n-grams is in any one language, ...
+#: A document goes if less than this part of its n-grams is in any one language (less, where the language's own have less), ...
 LEAST_SCORE = 0.25
 #: ... unless it has so few that they say little.
 FEW_NGRAMS = 20
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents in a language that the labelled ones teach; those it rejects go."""
-    filters = language_id.learn(docs.where(~language_id.held_out(F.col("doc_id"))))
+    """Operator 6: documents in a language that the labelled ones teach; those it rejects go.
+
+    Half the score that nearly all labelled documents of a language reach by what the others of it
+    teach is enough, if it is below LEAST_SCORE; any n-gram will do where they reach nothing.
+    """
+    sample = language_id.draw(docs)
+    filters, others = language_id.fit(sample)
     named = language_id.predict(docs, filters)
-    spoken = (F.col("score") >= LEAST_SCORE) | (F.col("ngrams") < FEW_NGRAMS)
+    least = F.lit(LEAST_SCORE)
+    if own := language_id.reached(sample, others, FEW_NGRAMS):
+        least = F.create_map(*[F.lit(x) for k, v in own.items() for x in (k, min(LEAST_SCORE, v / 2))])[F.col("lang_pred")]
+    spoken = (F.col("score") > 0) & (F.col("score") >= least) | (F.col("ngrams") < FEW_NGRAMS)
     return named.where((F.col("lang_pred") != language_id.UNKNOWN) & spoken).select("record.*")
 
 

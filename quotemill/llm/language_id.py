@@ -18,14 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 
+from ..session import staged
+
 UNKNOWN = "und"
 #: Labelled documents that the filters are built from: about so many of each language, or all there are.
 SAMPLE = 2_000
 #: Positions of the filter, a power of 2; it bounds the size of the model, also on the driver.
 POSITIONS = 1 << 20
 HASHES = 3
-#: An n-gram belongs to a language if so many sampled documents have it, ...
+#: An n-gram belongs to a language if so many sampled documents have it (one, in a language of fewer than FEW_DOCUMENTS), ...
 LEAST_DOCUMENTS = 2
+FEW_DOCUMENTS = 20
 #: ... and so large a part of them, against the language where that part is largest.
 LEAST_RATE = 0.2
 #: Languages in one slice of the filter.
@@ -97,24 +100,40 @@ def positions(hashes: np.ndarray) -> list[np.ndarray]:
     return [(hashes >> np.uint64(21 * i)).astype(np.int64) & (POSITIONS - 1) for i in range(HASHES)]
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
-    """Filters from the rows of ``labelled`` whose language is not null.
+def draw(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows (text, lang) of ``labelled`` that teach, written once; rows without a text or a language don't.
 
     Of each language, the documents with the smallest text hashes are taken, about SAMPLE of
-    them (all, if fewer). Counting runs on Spark; the driver gets one row per language, then
-    at most one per position and slice. Without labelled rows there are no languages.
+    them (all, if fewer).
     """
     labelled = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null")
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    languages = sorted(counts)
+    if not counts:
+        return labelled
+    rate = F.create_map(*[F.lit(x) for k in sorted(counts) for x in (k, min(1.0, SAMPLE / counts[k]))])
+    share = F.shiftrightunsigned(F.xxhash64("text"), 33) / float(1 << 31)
+    return staged(labelled.where(share < rate[F.col("lang")]), "labelled")
+
+
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
+    """Filters from the rows of ``labelled`` that :func:`draw` takes."""
+    return fit(draw(labelled, text, lang))[0]
+
+
+def fit(sample: DataFrame) -> tuple[Filters, Filters]:
+    """Filters from the rows of :func:`draw`, and what a sampled document finds of them if it did not teach itself.
+
+    The second ones have only n-grams that one more document has than it takes. Counting runs on
+    Spark; the driver gets one row per language, then at most one per position and slice.
+    Without labelled rows there are no languages.
+    """
+    drawn = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
+    languages = sorted(drawn)
     slices = -(-len(languages) // SLICE) or 1
-    bits = np.zeros((slices, POSITIONS), np.uint32)
+    bits, others = np.zeros((slices, POSITIONS), np.uint32), np.zeros((slices, POSITIONS), np.uint32)
     if not languages:
-        return Filters(languages, bits)
+        return Filters(languages, bits), Filters(languages, others)
     index = {name: i for i, name in enumerate(languages)}
-    rate = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, SAMPLE / counts[k]))])
-    draw = F.shiftrightunsigned(F.xxhash64("text"), 33) / float(1 << 31)
-    sample = labelled.where(draw < rate[F.col("lang")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,12 +156,19 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter
     found = sample.mapInArrow(count, "hash long, language int, documents long").groupBy("hash", "language").agg(
         F.sum("documents").alias("documents")
     )
-    size = F.create_map(*[F.lit(x) for k in languages for x in (index[k], float(min(SAMPLE, counts[k])))])
+    size = F.create_map(*[F.lit(x) for k in languages for x in (index[k], float(drawn[k]))])
+    least = F.create_map(*[F.lit(x) for k in languages for x in (index[k], 1 if drawn[k] < FEW_DOCUMENTS else LEAST_DOCUMENTS)])
     rated = found.groupBy("hash").agg(
-        F.collect_list(F.struct("language", "documents", (F.col("documents") / size[F.col("language")]).alias("rate"))).alias("in")
+        F.collect_list(
+            F.struct(
+                "language",
+                (F.col("documents") - least[F.col("language")]).alias("spare"),
+                (F.col("documents") / size[F.col("language")]).alias("rate"),
+            )
+        ).alias("in")
     )
     most = F.array_max(F.transform("in", lambda x: x["rate"]))
-    own = F.filter("in", lambda x: (x["documents"] >= LEAST_DOCUMENTS) & (x["rate"] >= F.col("most") * LEAST_RATE))
+    own = F.filter("in", lambda x: (x["spare"] >= 0) & (x["rate"] >= F.col("most") * LEAST_RATE))
     kept = rated.withColumn("most", most).select("hash", F.explode(own).alias("x"))
     language = F.col("x.language")
     entries = kept.select(
@@ -151,10 +177,69 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter
         ).alias("position"),
         F.expr(f"x.language div {SLICE}").cast("int").alias("slice"),
         F.pow(F.lit(2), language % SLICE).cast("long").alias("bit"),
+        (F.col("x.spare") > 0).alias("spare"),
     )
-    for r in entries.groupBy("slice", "position").agg(F.bit_or("bit").alias("mask")).collect():
+    spare = F.bit_or(F.when(F.col("spare"), F.col("bit")).otherwise(0))
+    for r in entries.groupBy("slice", "position").agg(F.bit_or("bit").alias("mask"), spare.alias("spare")).collect():
         bits[r["slice"], r["position"]] = r["mask"]
-    return Filters(languages, bits)
+        others[r["slice"], r["position"]] = r["spare"]
+    return Filters(languages, bits), Filters(languages, others)
+
+
+def _scores(texts: list[str | None], filters: Filters, false: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the part of each text's n-grams that each language contains, how many it has)."""
+    languages, bits = filters
+    hits = np.zeros((len(texts), max(1, len(languages))))
+    total = np.zeros(len(texts))
+    for at, held in pieces(texts):
+        hashes, owner = ngrams(held)
+        document = np.array(at)[owner]
+        total += np.bincount(document, minlength=len(texts))
+        for s, plane in enumerate(bits):
+            a, *others = positions(hashes)
+            mask = plane[a]
+            for p in others:
+                mask &= plane[p]
+            for i in range(s * SLICE, min(len(languages), (s + 1) * SLICE)):
+                inside = (mask >> np.uint32(i % SLICE) & np.uint32(1)).astype(bool)
+                hits[:, i] += np.bincount(document[inside], minlength=len(texts))
+    expected = total[:, None] * false if languages else 0
+    true = np.clip((hits - expected) / (1 - false if languages else 1), 0, None)
+    return (true / np.maximum(total, 1)[:, None]).clip(0, 1), total
+
+
+def reached(sample: DataFrame, others: Filters, ngrams: int) -> dict[str, float]:
+    """The score that 99 in 100 of each language's sampled documents reach if they did not teach themselves.
+
+    ``others`` are the second filters of :func:`fit`. Documents of fewer than ``ngrams`` n-grams don't
+    count; a language that has no others gets 0. The driver gets a histogram of scores.
+    """
+    false = others.false_positives
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = {name: i for i, name in enumerate(others.languages)}
+        for batch in batches:
+            for first in range(0, len(batch), 1024):
+                part = batch.slice(first, 1024)
+                scores, total = _scores(part.column("text").to_pylist(), others, false)
+                long = np.flatnonzero(total >= max(1, ngrams))
+                mine = np.array([index[name] for name in part.column("lang").to_pylist()])[long]
+                score = (scores[long, mine] * 1000).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(mine.astype(np.int32)), pa.array(score)], ["language", "score"])
+
+    found: dict[str, list] = {name: [] for name in others.languages}
+    for r in sample.mapInArrow(own, "language int, score int").groupBy("language", "score").count().collect():
+        found[others.languages[r["language"]]].append((r["score"], r["count"]))
+    lowest = {}
+    for name, scores in found.items():
+        below = sum(n for _, n in scores) // 100
+        lowest[name] = 0.0
+        for score, n in sorted(scores):
+            lowest[name] = score / 1000
+            below -= n
+            if below < 0:
+                break
+    return lowest
 
 
 def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
@@ -164,7 +249,7 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     text, and one without letters, gets ``und`` and 0; so does every text if no language was
     learned. Where languages are level, or the letters make no n-gram, the first in order of name wins.
     """
-    languages, bits = filters
+    languages = filters.languages
     false = filters.false_positives
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"), F.col(text).alias("text"))
 
@@ -173,27 +258,12 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
             for first in range(0, len(batch), 1024):
                 part = batch.slice(first, 1024)
                 texts = part.column("text").to_pylist()
-                hits = np.zeros((len(texts), max(1, len(languages))))
-                total, lettered = np.zeros(len(texts)), np.zeros(len(texts), bool)
-                for at, held in pieces(texts):
-                    hashes, owner = ngrams(held)
-                    document = np.array(at)[owner]
-                    total += np.bincount(document, minlength=len(texts))
-                    for s, plane in enumerate(bits):
-                        a, *others = positions(hashes)
-                        mask = plane[a]
-                        for p in others:
-                            mask &= plane[p]
-                        for i in range(s * SLICE, min(len(languages), (s + 1) * SLICE)):
-                            inside = (mask >> np.uint32(i % SLICE) & np.uint32(1)).astype(bool)
-                            hits[:, i] += np.bincount(document[inside], minlength=len(texts))
+                scores, total = _scores(texts, filters, false)
                 lettered = total > 0
                 for i in np.flatnonzero(~lettered):  # too short for an n-gram, perhaps
                     lettered[i] = texts[i] is not None and any(map(str.isalpha, texts[i]))
-                expected = total[:, None] * false if languages else 0
-                true = np.clip((hits - expected) / (1 - false if languages else 1), 0, None)
-                best = true.argmax(axis=1)
-                score = np.where(total > 0, true[np.arange(len(texts)), best] / np.maximum(total, 1), 0).clip(0, 1)
+                best = scores.argmax(axis=1)
+                score = scores[np.arange(len(texts)), best]
                 named = [languages[b] if languages and l else UNKNOWN for b, l in zip(best, lettered, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("record"), pa.array(named, pa.string()), pa.array(np.where(lettered, score, 0.0)), pa.array(total.astype(np.int64))],

@@ -1,5 +1,7 @@
 import random
+import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from llm_cases import ODD
@@ -82,3 +84,34 @@ def test_long_texts_are_cut_between_words(monkeypatch):
     assert len(parts) > 5 and "".join(p for held in parts for p in held) == whole
     cut = np.concatenate([language_id.ngrams(held)[0] for held in parts])
     assert sorted(cut) == sorted(language_id.ngrams([whole])[0])
+
+
+def unspaced(rng, n=120):
+    return "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+
+
+@pytest.mark.parametrize("held", [False, True])
+@pytest.mark.parametrize("labelled", [1, 2, 5])
+def test_pipeline_keeps_languages_of_few_labelled_documents(spark, labelled, held):
+    rng = random.Random(labelled)
+    ids = [i for i in range(10_000, 11_000) if (zlib.crc32(str(i).encode()) % 4 == 2) == held]
+    few = [(ids[i], unspaced(rng), "qq") for i in range(labelled)]
+    # not labelled: mostly other n-grams, but a sentence of a labelled one
+    like = [(20_000 + i, unspaced(rng, 108) + t[40:52], None) for i, (_, t, _) in enumerate(few)]
+    many = [(i, text(rng, "xx"), "xx") for i in range(200)]
+    junk = [(30_000 + i, " ".join("".join(rng.choices("bcdfghjklmnpqrstvw", k=6)) for _ in range(40)), None) for i in range(20)]
+    docs = spark.createDataFrame(few + like + many + junk, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, docs, "").collect()}
+    assert kept == {r[0] for r in few + like + many}
+
+
+def test_scores_that_others_teach(spark):
+    rng = random.Random(4)
+    rows = [(unspaced(rng), "alone"), *[(unspaced(rng, 60) + "漢字仮名" * 20, "some") for _ in range(5)]]
+    rows += [(text(rng, "xx"), "xx") for _ in range(200)] + [("ba ko", "short")]
+    sample = language_id.draw(spark.createDataFrame(rows, "text string, lang string"))
+    filters, others = language_id.fit(sample)
+    own = language_id.reached(sample, others, 20)
+    assert own["alone"] == own["short"] == 0
+    assert 0.5 < own["some"] < 0.6 and own["xx"] > 0.9
+    assert language_id.predict(sample, filters).where("record.lang = 'alone' and score > 0.99").count() == 1
