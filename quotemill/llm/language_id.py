@@ -103,16 +103,17 @@ def positions(hashes: np.ndarray) -> list[np.ndarray]:
 def draw(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows (text, lang) of ``labelled`` that teach, written once; rows without a text or a language don't.
 
-    Of each language, the documents with the smallest text hashes are taken, about SAMPLE of
-    them (all, if fewer).
+    Equal texts of a language count once. Of each language, those with the smallest text hashes
+    are taken, about SAMPLE of them (all, if fewer).
     """
     labelled = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    hashed = labelled.withColumn("h", F.xxhash64("text"))
+    counts = {r["lang"]: r["count"] for r in hashed.select("lang", "h").distinct().groupBy("lang").count().collect()}
     if not counts:
         return labelled
     rate = F.create_map(*[F.lit(x) for k in sorted(counts) for x in (k, min(1.0, SAMPLE / counts[k]))])
-    share = F.shiftrightunsigned(F.xxhash64("text"), 33) / float(1 << 31)
-    return staged(labelled.where(share < rate[F.col("lang")]), "labelled")
+    share = F.shiftrightunsigned("h", 33) / float(1 << 31)
+    return staged(hashed.where(share < rate[F.col("lang")]).select("text", "lang").distinct(), "labelled")
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:

@@ -115,3 +115,30 @@ def test_scores_that_others_teach(spark):
     assert own["alone"] == own["short"] == 0
     assert 0.5 < own["some"] < 0.6 and own["xx"] > 0.9
     assert language_id.predict(sample, filters).where("record.lang = 'alone' and score > 0.99").count() == 1
+
+
+def test_equal_texts_teach_once(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE", 100)
+    rng = random.Random(5)
+    own = [text(rng, "xx") for _ in range(1000)]
+    # copies whose hash is drawn, and copies whose hash is not
+    hashed = spark.createDataFrame([(t,) for t in own], "text string").select("text", F.shiftrightunsigned(F.xxhash64("text"), 33).alias("h"))
+    by_hash = [r.text for r in hashed.orderBy("h").collect()]
+    rows = [(t, "xx") for t in own + 500 * by_hash[:1]] + [(by_hash[-1], "yy")] * 500
+    sample = language_id.draw(spark.createDataFrame(rows, "text string, lang string"))
+    counts = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
+    assert sample.where(F.col("text") == by_hash[0]).count() == 1
+    assert 60 < counts["xx"] < 140 and counts["yy"] == 1
+
+
+def test_copies_take_no_ngrams_from_other_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE", 100)
+    rng = random.Random(6)
+    shared, own = "漢字仮名 " * 10, [text(rng, "xx") for _ in range(400)]
+    other = [text(rng, "yy") + (" 漢字仮名" if i % 3 == 0 else "") for i in range(100)]
+    # the copies have the smallest hash, so they are drawn
+    texts = spark.createDataFrame([(f"{shared} {i}",) for i in range(300)], "text string")
+    copy = texts.orderBy(F.shiftrightunsigned(F.xxhash64("text"), 33)).first().text
+    rows = [(t, "xx") for t in own + 300 * [copy]] + [(t, "yy") for t in other]
+    got = language_id.predict(texts.limit(1), language_id.learn(spark.createDataFrame(rows, "text string, lang string"))).first()
+    assert got.lang_pred == "yy" and got.score > 0.9
