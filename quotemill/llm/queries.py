@@ -122,8 +122,8 @@ def op6_language_id(spark, sf):
 
 @query()
 def op10_token_files(spark, sf):
-    """The ids of all documents, written in ascending doc_id order and read back."""
-    path = token_files.write(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
+    """The ids of all documents, as the library's plain call gives them, written in ascending doc_id order and read back."""
+    path = token_files.write(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0, special=True)
     return token_files.read(spark, path, "ids_crc32 long", lambda ids: zlib.crc32(ids.astype("<u4", copy=False)))
 
 

@@ -73,12 +73,14 @@ class Encoder:
     KNOWN = 100_000
     _SPACES = r" [\t-\r\x{85}\p{Z}]| $"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks keep the cores busy
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
+        self.tokenizer.encode_special_tokens = not special  # their names in a text are text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added if special or not token.special]
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
         self.starts[[i for token, i in vocabulary.items() if token[0] == "Ġ"]] = True
@@ -128,7 +130,10 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; none for null."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        whole = pc.match_substring_regex(texts, self._SPACES).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, self._SPACES)
+        for token in self.added:  # also within words, or over several
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        whole = whole.to_numpy(zero_copy_only=False)
         found: list[np.ndarray] = [None] * len(texts)
         at = np.flatnonzero(whole)
         for i, ids in zip(at, self._ids(texts.take(pa.array(at)).to_pylist()), strict=True):
@@ -158,9 +163,9 @@ class Encoder:
 
 
 @functools.cache
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, special: bool = False) -> Encoder:
     """One for each worker process."""
-    return Encoder(path)
+    return Encoder(path, special)
 
 
 def _ranked(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,17 +263,19 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, pa.Array]
         yield doc_ids, pa.chunked_array(texts).combine_chunks()
 
 
-def write(docs: DataFrame, tokenizer: str, end: int = 0, path: str | None = None) -> str:
+def write(docs: DataFrame, tokenizer: str, end: int = 0, path: str | None = None, special: bool = False) -> str:
     """Encode doc_id long and text of ``docs`` and write all ids in ascending doc_id order; returns the path.
 
     ``end`` is appended to each document; a null text has only that. Null doc_ids come first;
     equal ones come in the order of their texts. Other columns are not read. ``tokenizer`` is a
-    tokenizers file that all executors can open. A document is never split over blocks.
+    tokenizers file that all executors can open. A document is never split over blocks. With
+    ``special``, the name of a special token in a text is that token, as the library has it by
+    default; otherwise it is text.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
+        encoder = _encoder(tokenizer, special)
         doc_ids, ids, held = [], [], 0
 
         def block() -> pa.RecordBatch:

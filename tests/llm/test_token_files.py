@@ -121,3 +121,16 @@ def test_damage_is_noticed(at):
     block[at] ^= 1
     with pytest.raises(ValueError):
         list(token_files.unpack_blocks(bytes(block)))
+
+
+def test_query_against_the_unmodified_library(spark, documents):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["one <|endoftext|> two three", "in<|endoftext|>side one two", "<|endoftext|><|endoftext|>", "<|endoftext|", "one two three", None]
+    got = QUERIES["op10_token_files"](spark, documents(list(enumerate(texts)))).collect()
+    want, start = [], 0
+    for i, text in enumerate(texts):
+        ids = ids_of(plain, text)
+        assert (50256 in ids) == (i < 3)
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got) == want
