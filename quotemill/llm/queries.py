@@ -33,7 +33,7 @@ def op1_sharding(spark, sf):
     docs = table(spark, sf, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 8
     place = F.col("_metadata.row_index")  # tells repeated rows of a file apart
-    keyed = docs.select("doc_id", "text", place.alias("row"))
+    keyed = docs.select("*", place.alias("row"))
     shuffled = sharding.external_shuffle(keyed, [F.col("doc_id"), F.col("row")], size, shards=24, seed=1)
     shards = spark.read.schema(shuffled.schema).parquet(sharding.write_shards(shuffled))
     text = F.coalesce(F.col("record.text"), F.lit(""))

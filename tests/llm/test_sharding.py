@@ -3,6 +3,7 @@ from collections import Counter
 
 from llm_cases import DOCUMENTS, ODD
 from pyspark.sql import functions as F
+from quotemill.llm import sharding
 from quotemill.llm.queries import QUERIES
 from quotemill.llm.sharding import external_shuffle
 
@@ -51,3 +52,13 @@ def test_order_is_uniform(spark):
     assert sum(b - a == 1 for a, b in zip(ids, ids[1:], strict=False)) < 10
     mean = sum(ids[:5000]) / 5000
     assert abs(mean - 10_000) < 5 * 20_000 / (12 * 5000) ** 0.5
+
+
+def test_shards_hold_whole_documents(spark, documents, monkeypatch):
+    written = []
+    monkeypatch.setattr(sharding, "write_shards", lambda df, write=sharding.write_shards: written.append(write(df)) or written[-1])
+    folder = documents([(i, f"text {i}", f"l{i % 3}", f"s{i % 5}") for i in range(100)] + ODD)
+    rows = QUERIES["op1_sharding"](spark, folder).collect()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    shards = spark.read.parquet(*written).select("record.*").select(*docs.columns)
+    assert len(rows) == docs.count() and Counter(shards.collect()) == Counter(docs.collect())
