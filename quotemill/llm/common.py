@@ -20,6 +20,21 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD + "+")), F.lit(0)).cast("long")
 
 
+#: Whole components stay within this, so that their products can be summed in 64 bits.
+LARGEST = 1 << 27
+
+
+def sound(vector: Column) -> Column:
+    """Whether ``vector`` is neither null nor holds a null, NaN or infinite component."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return vector.isNotNull() & F.coalesce(finite, F.lit(False))
+
+
+def whole(vector: Column, scale: int = 256) -> Column:
+    """floor(``scale`` * x) of each component x, no larger or smaller than LARGEST."""
+    return F.transform(vector, lambda x: F.greatest(F.least(F.floor(x.cast("double") * scale), F.lit(LARGEST)), F.lit(-LARGEST)))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` written once as (``row``, ``record``): a number per row, and all columns as a struct.
 

@@ -10,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staged
-from . import fingerprints, language_id, mixing, near_dedup, nearest, packing, preferences, sharding, token_files, warc
+from . import (
+    fingerprints,
+    hard_negatives,
+    language_id,
+    mixing,
+    near_dedup,
+    nearest,
+    packing,
+    preferences,
+    sharding,
+    simhash,
+    token_files,
+    vector_codes,
+    warc,
+)
 from .common import table, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -244,3 +258,95 @@ def op3_preferences(spark, sf):
         trained("chosen_spans").alias("chosen_trained"),
         trained("rejected_spans").alias("rejected_trained"),
     )
+
+
+#: Rows of ``embeddings`` whose vector is sound, as lists of whole numbers.
+_WHOLE_VECTORS = """
+select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+
+def _assignment(round_: int) -> str:
+    """SQL: the nearest entry of each part, the lower index of equal ones."""
+    return f"""
+a{round_} as (
+  select r, p, min(struct_pack(d := list_dot_product(x, x) - 2 * list_dot_product(x, y) + list_dot_product(y, y), e := e)) as best
+  from parts join b{round_} using (p) group by r, p)"""
+
+
+def _codebook(round_: int) -> str:
+    """SQL: the codebooks after a round; unused entries stay."""
+    return f"""
+m{round_} as (
+  select p, e, list(mean order by i) as y from (
+    select p, best.e as e, i, floor(sum(x[i]) / count(*)) as mean
+    from a{round_ - 1} join parts using (r, p), range(1, 5) as t(i) group by p, best.e, i)
+  group by p, e),
+b{round_} as (select b.p, b.e, coalesce(m.y, b.y) as y from b{round_ - 1} b left join m{round_} m using (p, e))"""
+
+
+@query(
+    f"""
+with whole as ({_WHOLE_VECTORS}),
+rows as (select *, row_number() over (order by vec_id nulls last, v) as r from whole),
+parts as (select r, vec_id, label, p, v[4 * p + 1:4 * p + 4] as x from rows, range(16) as t(p)),
+b0 as (select p, r - 1 as e, x as y from parts where r <= 64),
+{_assignment(0)}, {_codebook(1)}, {_assignment(1)}, {_codebook(2)}, {_assignment(2)},
+coded as (
+  select r, string_agg(printf('%02x', best.e), '' order by p) as code, sum(best.d)::bigint as error from a2 group by r),
+book as (
+  select sha256(string_agg(c, ',' order by p, e)) as digest
+  from (select p, e, array_to_string(list_transform(y, lambda c: c::bigint::varchar), ',') as c from b2))
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, digest as codebooks_sha256
+from rows join coded using (r), book
+"""
+)
+def op11_vector_codes(spark, sf):
+    """All sound embeddings as codes of 16 parts, by codebooks of 64 entries after two rounds."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    rows, books = vector_codes.compress(vectors, "embedding", ["vec_id"])
+    hexed = F.array_join(F.transform("code", lambda x: F.lpad(F.lower(F.hex(x)), 2, "0")), "")
+    coded = rows.select("record.vec_id", "record.label", hexed.alias("code"), "error")
+    # grouped as a struct, so that the join shuffles both sides, and a label with many rows can be split
+    by_label = coded.groupBy(F.struct(F.col("label").alias("of")).alias("key")).agg(F.sum("error").alias("label_error"))
+    return coded.join(by_label.select("key.of", "label_error"), F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256")
+    )
+
+
+@query(
+    f"""
+with whole as ({_WHOLE_VECTORS} and label is not null),
+rows as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, v
+  from whole),
+scored as (
+  select a.r as a, a.vec_id as anchor_id, a.label = b.label as same, b.r as b, b.vec_id, list_dot_product(a.v, b.v)::bigint as score
+  from rows a join rows b on a.r <> b.r where a.vec_id % 100 = 0),
+positives as (
+  select * from scored where same
+  qualify row_number() over (partition by a order by score desc, vec_id nulls last, b) <= 5),
+mined as (
+  select p.anchor_id, p.vec_id as positive_id,
+         row_number() over (partition by p.a, p.b order by n.score desc, n.vec_id nulls last, n.b)::int as rank,
+         n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+  from positives p join scored n on n.a = p.a and not n.same
+  where 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score)
+select * from mined where rank <= 10
+"""
+)
+def op12_hard_negatives(spark, sf):
+    """Negatives of every 100th embedding, 30 to 90 hundredths as near as each of its 5 positives."""
+    vectors = table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select("vec_id", label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op13_simhash(spark, sf):
+    """Components of the documents whose fingerprints differ in two bits at most."""
+    found = simhash.near_groups(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id")
+    )

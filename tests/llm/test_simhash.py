@@ -1,0 +1,129 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from llm_cases import ODD
+from quotemill.llm import simhash
+from quotemill.llm.queries import QUERIES
+
+
+def plain(text, width=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def grouped(prints, bits=2):
+    """The smallest place reachable from each, by comparing all pairs."""
+    least = list(range(len(prints)))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(prints)):
+            for b in range(a):
+                if (prints[a] ^ prints[b]).bit_count() <= bits and least[a] != least[b]:
+                    least[a] = least[b] = min(least[a], least[b])
+                    changed = True
+    return least
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_fingerprints_as_the_plain_definition(monkeypatch):
+    monkeypatch.setattr(simhash, "CHUNK", 7)
+    rng = random.Random(1)
+    texts = [None, "", " \t\n", "One", " one  two ", "ÄÖ Straße\vX\x0c漢字 é", "a b c d", "same same same same same", *(r[1] for r in ODD if r[1] and len(r[1]) < 99)]
+    texts += ["".join(rng.choice("aBc \t\n") for _ in range(rng.randrange(80))) for _ in range(300)]
+    for t in texts:
+        assert simhash.fingerprint(t.encode() if t is not None else None) == plain(t), t
+
+
+@pytest.mark.parametrize(("tile", "shared"), [(2048, 4), (5, 4), (3, 2), (4, 6), (7, 1)])
+def test_components_as_of_all_pairs(spark, monkeypatch, tile, shared):
+    monkeypatch.setattr(simhash, "TILE", tile)  # small ones cut lists into many parts
+    rng = random.Random(tile)
+    prints = [0, (1 << 64) - 1, 1 << 63, 7]
+    for _ in range(25):
+        prints.append(rng.getrandbits(64))
+        for _ in range(6):
+            near = rng.choice(prints)
+            for _ in range(rng.randrange(4)):
+                near ^= 1 << rng.randrange(64)
+            prints.append(near)
+    prints = list(dict.fromkeys(prints))
+    rows = spark.createDataFrame([(signed(p),) for p in prints], "fingerprint long")
+    parent = {signed(p): signed(p) for p in prints}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in simhash.links(rows, 2, shared).collect():
+        assert ((r.a ^ r.b) & ((1 << 64) - 1)).bit_count() <= 2
+        parent[root(r.a)] = root(r.b)
+    want = grouped(prints)
+    first = {}
+    got = [first.setdefault(root(signed(p)), i) for i, p in enumerate(prints)]
+    assert got == want
+
+
+def test_documents(spark, documents):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(100 + i, " ".join(rng.choices(words, k=rng.choice([1, 2, 5, 400])))) for i in range(60)]
+    rows += [(200 + i, t + " more") for i, (_, t) in enumerate(rows[:30])]
+    rows += [(d, t) for d, t in ODD if t is None or len(t) < 99]
+    folder = documents(rows)
+    prints = [plain(t) for _, t in rows]
+    least = grouped(prints)
+    ids = {}
+    for (d, _), c in zip(rows, least, strict=True):
+        ids.setdefault(c, []).append(d)
+    want = sorted((str(d), f"{p:016x}", min((x for x in ids[c] if x is not None), default=None)) for (d, _), p, c in zip(rows, prints, least, strict=True))
+    got = sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in QUERIES["op13_simhash"](spark, folder).collect())
+    assert got == want
+
+
+def test_component_without_any_id(spark):
+    rows = spark.createDataFrame([(None, "no id"), (None, "no id"), (4, "an id")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), str(r.component)) for r in simhash.near_groups(rows).collect()) == [("4", "4"), ("None", "None"), ("None", "None")]
+
+
+def test_given_documents_against_all_pairs(spark, sf_dir):
+    got = QUERIES["op13_simhash"](spark, sf_dir).collect()
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert {r.doc_id: int(r.fingerprint, 16) for r in got} == {d: plain(t) for d, t in text.items()}
+    rows = sorted(got, key=lambda r: r.doc_id)
+    prints = np.array([int(r.fingerprint, 16) for r in rows], np.uint64)
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2
+    label = np.array([r.component_id for r in rows])
+    assert (label[:, None] == label[None, :])[near].all()
+    least = np.array([r.doc_id for r in rows])
+    while (new := np.where(near, least[None, :], least[:, None]).min(1)).tolist() != least.tolist():
+        least = new
+    assert label.tolist() == least.tolist()
+
+
+def test_no_documents_and_clashing_names(spark, documents):
+    assert QUERIES["op13_simhash"](spark, documents([], files=1)).collect() == []
+    names = ["doc_id", "text", "fingerprint", "label", "first", "component", "key"]
+    rows = spark.createDataFrame([(2, "a b", *"xxxxx"), (1, "a b", *"yyyyy")], names)
+    assert {(r.doc_id, r.component) for r in simhash.near_groups(rows).collect()} == {(1, 1), (2, 1)}
+
+
+def test_equal_texts_in_a_third_of_all_rows(spark, skewed_joins, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("a b c d "), "id")).otherwise("copy of one").alias("text"))
+    simhash.near_groups(rows).select("*", F.spark_partition_id().alias("task")).write.parquet(f"{tmp_path}/found")
+    found = spark.read.parquet(f"{tmp_path}/found")
+    hot = [r["count"] for r in found.where("component = 0").groupBy("task").count().collect()]
+    assert found.count() == 60_000 and sum(hot) == 20_000 and max(hot) < 10_000

@@ -1,0 +1,123 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from quotemill.llm import vector_codes
+from quotemill.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, vector array<float>, label int, code string, error int, record string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, "clash", 1, "clash") for r in rows], SCHEMA)
+
+
+def drawn(n, d, seed=0):
+    rng = np.random.default_rng(seed)
+    return [(i, [float(x) for x in rng.normal(0, 0.1, d)], int(i % 3)) for i in range(n)]
+
+
+def brute(rows, parts, entries, rounds):
+    """Plain rounds over plain lists: every part is compared with every entry each time."""
+    kept = sorted((i, v) for i, v, _ in rows)
+    vectors = [[math.floor(256 * float(np.float32(x))) for x in v] for _, v in kept]
+    width = len(vectors[0]) // parts
+    cut = [[v[p * width : (p + 1) * width] for p in range(parts)] for v in vectors]
+    books = [[cut[r][p] for r in range(min(entries, len(cut)))] for p in range(parts)]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+    nearest = lambda x, book: min((far(x, y), e) for e, y in enumerate(book))
+    for _ in range(rounds):
+        chosen = [[nearest(v[p], books[p])[1] for p in range(parts)] for v in cut]
+        for p in range(parts):
+            for e in range(len(books[p])):
+                if own := [v[p] for v, c in zip(cut, chosen, strict=True) if c[p] == e]:
+                    books[p][e] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    final = [[nearest(v[p], books[p]) for p in range(parts)] for v in cut]
+    return {i: ([e for _, e in f], sum(d for d, _ in f)) for (i, _), f in zip(kept, final, strict=True)}, books
+
+
+@pytest.mark.parametrize(("n", "entries", "rounds"), [(300, 8, 2), (5, 8, 2), (200, 4, 5), (40, 40, 0)])
+def test_same_as_plain_rounds(spark, n, entries, rounds):
+    rows = drawn(n, 12)
+    codes, books = vector_codes.compress(frame(spark, rows).repartition(5), "vector", ["vec_id"], 4, entries, rounds)
+    want, want_books = brute(rows, 4, entries, rounds)
+    assert {r.record.vec_id: (r.code, r.error) for r in codes.collect()} == want
+    assert books.tolist() == want_books
+
+
+def test_active_entries_choose_as_a_whole_scan():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        x, entries = rng.integers(-2, 3, (50, 2)), rng.integers(-2, 3, (7, 2))  # full of ties
+        code, distance = vector_codes.assign_all(x, entries)
+        moved = rng.random(7) < rng.random()
+        after = np.where(moved[:, None], rng.integers(-2, 3, (7, 2)), entries)
+        got = vector_codes.assign_active(x, after, moved, code, distance)
+        assert all((a == b).all() for a, b in zip(got, vector_codes.assign_all(x, after), strict=True))
+
+
+def test_fixed_parts_meet_moved_entries_only(monkeypatch):
+    met = []
+    whole_scan = vector_codes.assign_all
+    monkeypatch.setattr(vector_codes, "assign_all", lambda x, e: (met.append(len(x) * len(e)), whole_scan(x, e))[1])
+    x, entries = np.arange(100).reshape(-1, 1), np.arange(0, 100, 10).reshape(-1, 1)
+    code, distance = whole_scan(x, entries)
+    vector_codes.assign_active(x, entries, np.arange(10) == 3, code, distance)
+    moved = int((code == 3).sum())
+    assert sum(met) == moved * 10 + (100 - moved) * 1
+
+
+def test_odd_rows(spark):
+    inf, nan = float("inf"), float("nan")
+    bad = [(90, None, 1), (91, [1.0, None], 1), (92, [nan, 1.0], 1), (93, [inf, 1.0], 1)]
+    rows = [(1, [0.5, -0.5], None), (1, [0.5, -0.5], None), (None, [3e9, -3e9], 2), (3, [0.25], 2), (4, [], 2)]
+    codes, books = vector_codes.compress(frame(spark, rows + bad), "vector", ["vec_id"], parts=2, entries=4, rounds=0)
+    assert books.tolist() == [[[128], [128], [64], [0]], [[-128], [-128], [0], [0]]]
+    got = sorted((r.record.vec_id is None, r.record.vec_id or 0, r.code, r.error) for r in codes.collect())
+    far = (1 << 27) - 128
+    assert got == [(False, 1, [0, 0], 0)] * 2 + [(False, 3, [2, 2], 0), (False, 4, [3, 2], 0), (True, 0, [0, 0], 2 * far * far)]
+    first = codes.first().record.asDict()
+    assert first["code"] == first["record"] == "clash" and first["error"] == 1
+
+
+def test_no_rows(spark, tmp_path):
+    codes, books = vector_codes.compress(frame(spark, []), "vector", ["vec_id"])
+    assert codes.collect() == [] and books.size == 0
+    spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert QUERIES["op11_vector_codes"](spark, str(tmp_path)).collect() == []
+
+
+def test_codes_decode_to_their_errors(spark):
+    rows = drawn(120, 8)
+    codes, books = vector_codes.compress(frame(spark, rows), "vector", ["vec_id"], 4, 6, 3)
+    given = {i: np.floor(256 * np.array(v, np.float32).astype(float)) for i, v, _ in rows}
+    for r in codes.collect():
+        back = vector_codes.decoded(np.array([r.code]), books)[0]
+        assert ((back - given[r.record.vec_id]) ** 2).sum() == r.error
+    assert vector_codes.codebooks_digest(books) == hashlib.sha256(",".join(str(int(c)) for c in books.ravel()).encode()).hexdigest()
+
+
+def test_query_sums_errors_by_label(spark, tmp_path):
+    rows = [(i, v, None if i % 2 else 5) for i, v, _ in drawn(60, 32)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["op11_vector_codes"](spark, str(tmp_path)).collect()
+    assert {r.vec_id for r in got} == set(range(60))
+    for odd in (0, 1):
+        own = [r for r in got if r.vec_id % 2 == odd]
+        assert {r.label_error for r in own} == {sum(r.error for r in own)}
+
+
+def test_a_label_with_most_rows_spreads(spark, skewed_joins, tmp_path):
+    vectors = spark.range(30_000).select(
+        F.col("id").alias("vec_id"),
+        F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: F.sin(F.col("id") * i).cast("float")).alias("embedding"),
+        F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(7).cast("int").alias("label"),
+    )
+    vectors.write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = QUERIES["op11_vector_codes"](spark, str(tmp_path))
+    found.select("*", F.spark_partition_id().alias("task")).write.parquet(f"{tmp_path}/found")
+    rows = spark.read.parquet(f"{tmp_path}/found")
+    hot = [r["count"] for r in rows.where("vec_id % 3 = 0").groupBy("task").count().collect()]
+    assert rows.count() == 30_000 and sum(hot) == 10_000 and max(hot) < 3_000
