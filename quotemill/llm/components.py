@@ -11,29 +11,25 @@ from ..session import staged
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (a, b): ``label`` is the smallest node of its component.
 
-    Each round takes the smallest label among a node and its neighbours, then the label of
-    that label, so that long chains shrink fast. Rounds are written to the shared folder.
+    Each round, a node goes up to its smallest neighbour, if that is smaller than itself, and on to where
+    that one goes; edges are kept between where their ends went to, as long as these differ. As
+    whole trees merge, a long chain takes few rounds, and the edges get fewer with each. At the
+    end the steps are followed back, from the last and smallest round to the first. Rounds are
+    written to the shared folder. An edge of a node with itself makes no component.
     """
-    both = staged(
-        edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
-        .union(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        .where("node != other")
-        .distinct(),
-        "edges",
-    )
-    labels = staged(both.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("label")), "labels")
-    while True:
-        seen = (
-            both.join(labels.select(F.col("node").alias("other"), "label"), "other")
-            .groupBy("node")
-            .agg(F.min("label").alias("near"))
-            .join(labels, "node")
-            .select("node", F.col("label").alias("was"), F.least("near", "label").alias("label"))
-        )
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = staged(
-            seen.join(jump, "label", "left").select("node", "was", F.least("label", "further").alias("label")), "labels"
-        )
-        labels = new.select("node", "label")
-        if new.where("was != label").isEmpty():
-            return labels
+    edges = edges.select("a", "b").union(edges.select("b", "a")).where("a != b").distinct()
+    edges = staged(edges, "edges")
+    labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label")).where(F.lit(False))
+    steps = []
+    while not edges.isEmpty():
+        up = staged(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")).select("node", F.least("node", "up").alias("up")), "up")
+        further = up.select(F.col("node").alias("up"), F.col("up").alias("further"))
+        up = staged(up.join(further, "up").select("node", F.col("further").alias("up")), "up")
+        steps.append(up)
+        of = lambda end, up=up: up.select(F.col("node").alias(end), F.col("up").alias(f"up_{end}"))
+        edges = edges.join(of("a"), "a").join(of("b"), "b").where("up_a != up_b")
+        edges = staged(edges.select(F.col("up_a").alias("a"), F.col("up_b").alias("b")).distinct(), "edges")
+    for up in reversed(steps):
+        later = labels.select(F.col("node").alias("up"), "label")
+        labels = staged(up.join(later, "up", "left").select("node", F.coalesce("label", "up").alias("label")), "labels")
+    return labels

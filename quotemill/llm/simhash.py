@@ -110,23 +110,17 @@ def _entries(prints: DataFrame, bits: int, shared: int) -> DataFrame:
     return prints.mapInArrow(entered, "key long, fingerprint long")
 
 
-class _Forest:
-    """Joins fingerprints into trees, and remembers the links that joined two."""
-
-    def __init__(self) -> None:
-        self.parent: dict[int, int] = {}
-        self.links: list[tuple[int, int]] = []
+class _Trees(dict):
+    """Joins fingerprints into trees, the smallest of each at its root."""
 
     def root(self, x: int) -> int:
-        while (up := self.parent.setdefault(x, x)) != x:
-            self.parent[x] = x = self.parent[up]
+        while (up := self.setdefault(x, x)) != x:
+            self[x] = x = self[up]
         return x
 
     def link(self, a: int, b: int) -> None:
-        x, y = self.root(a), self.root(b)
-        if x != y:
-            self.parent[y] = x
-            self.links.append((a, b))
+        a, b = sorted((self.root(a), self.root(b)))
+        self[b] = a
 
 
 def alike(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -141,13 +135,13 @@ def alike(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray, n
 
 
 def _links_in(bits: int):
-    """Links of the lists of a group, or of the two sides of a tile; enough to connect what is connected."""
+    """Links of the lists of a group, or of the two sides of a tile: of what they connect, each to the smallest."""
 
     def found(rows: pa.Table) -> pa.Table:
         key, prints = np.asarray(rows["key"]), np.asarray(rows["fingerprint"])
         is_left, is_right = (np.asarray(rows[c]) for c in ("left", "right"))
         order = np.argsort(key, kind="stable")
-        forest = _Forest()
+        trees = _Trees()
         for members in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
             left, right = prints[members[is_left[members]]], prints[members[is_right[members]]]
             for first in range(0, len(left), 256):
@@ -155,9 +149,9 @@ def _links_in(bits: int):
                 i, j = alike(part, right, bits)
                 for a, b in zip(part[i].tolist(), right[j].tolist(), strict=True):
                     if a != b:
-                        forest.link(a, b)
-        a, b = zip(*forest.links, strict=True) if forest.links else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                        trees.link(a, b)
+        members = [x for x in trees if trees.root(x) != x]
+        return pa.table({"a": pa.array(map(trees.root, members), pa.int64()), "b": pa.array(members, pa.int64())})
 
     return found
 

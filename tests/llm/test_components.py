@@ -1,0 +1,41 @@
+import random
+
+import pytest
+from quotemill.llm.components import components
+
+
+def plain(edges):
+    label = {x: x for e in edges if e[0] != e[1] for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            if a != b and label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    return label
+
+
+def shuffled_path(n, rng):
+    names = list(range(n))
+    rng.shuffle(names)
+    return list(zip(names, names[1:], strict=False))
+
+
+@pytest.mark.parametrize(
+    "edges",
+    [
+        [],
+        [(1, 1)],
+        [(5, 9), (9, 5), (5, 9), (7, 7)],
+        [(i, i + 1) for i in range(200)],
+        shuffled_path(300, random.Random(1)),
+        [(1000, i) for i in range(300)],  # a hub larger than its leaves
+        [(0, i) for i in range(300)] + [(1000, i) for i in range(301, 400)],
+        [tuple(random.Random(i).sample(range(400), 2)) for i in range(250)],
+    ],
+)
+def test_smallest_node_of_each_component(spark, edges):
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(found) == len({r.node for r in found})
+    assert {r.node: r.label for r in found} == plain(edges)
