@@ -44,6 +44,16 @@ def keyed(docs: DataFrame) -> DataFrame:
     return staged(docs.select(F.monotonically_increasing_id().alias("row"), record.alias("record")), "rows")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores before it where ``df`` has a column of that name."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        free.append(name)
+    return free
+
+
 def running_sum(
     df: DataFrame, by: list[str], order: list[str], value: Column, name: str, ties: list[str] = (), slice_rows: int = 50_000
 ) -> DataFrame:
@@ -56,17 +66,22 @@ def running_sum(
     No task gets a whole group: the hash range is cut into slices, and each slice is summed
     in its own window. What the slices before it add up to is one row per group and
     slice, which goes into the window ahead of the slice's rows; so rows are shuffled once.
+
+    Null keys are a group, nulls come first in ``order``, and null values add nothing. Other columns may have any
+    names but ``name``. An empty ``df`` stays empty.
     """
     slices = df.count() // slice_rows + 64
-    hashed = df.select("*", F.xxhash64(*order).alias("_h"), value.cast("long").alias("_value"), F.lit(1).alias("_real"))
-    hashed = hashed.withColumn("_slice", F.expr(f"shiftrightunsigned(_h, 33) * {slices} div {1 << 31}"))
-    keys = [*by, "_slice"]
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    h, summand, real, slice_ = unused(df, "_h", "_value", "_real", "_slice")
+    quoted = [f"`{c}`" for c in df.columns]
+    hashed = df.select(*quoted, F.xxhash64(*order).alias(h), value.cast("long").alias(summand), F.lit(1).alias(real))
+    hashed = hashed.withColumn(slice_, F.expr(f"shiftrightunsigned({h}, 33) * {slices} div {1 << 31}"))
+    keys = [*by, slice_]
+    before = Window.partitionBy(*by).orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         hashed.groupBy(*keys)
-        .agg(F.sum("_value").alias("_sum"))
-        .select(*keys, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_value"), F.lit(0).alias("_real"))
+        .agg(F.sum(summand).alias("sum"))
+        .select(*keys, F.coalesce(F.sum("sum").over(before), F.lit(0)).alias(summand), F.lit(0).alias(real))
     )
-    within = Window.partitionBy(*keys).orderBy("_real", "_h", *order, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    summed = hashed.unionByName(starts, allowMissingColumns=True).withColumn(name, F.sum("_value").over(within))
-    return summed.where("_real = 1").select(*df.columns, name)
+    within = Window.partitionBy(*keys).orderBy(real, h, *order, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    summed = hashed.unionByName(starts, allowMissingColumns=True).withColumn(name, F.sum(summand).over(within))
+    return summed.where(F.col(real) == 1).select(*quoted, name)

@@ -15,13 +15,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import WORD, keyed, running_sum, word_count
+from .common import keyed, running_sum, word_count
 
 WEIGHTS = (5, 2, 1)
 #: The range of the uniform draws is cut into so many cells, to find a draw's source by an equi-join.
 CELLS = 1024
 #: Rounds of the permutation of block indices.
 ROUNDS = 12
+#: Slots that a task makes.
+TASK_SLOTS = 50_000
+#: What stands between words.
+_SPACE = " \t\n\x0b\x0c\r"
 
 
 class Mix(NamedTuple):
@@ -109,9 +113,10 @@ def _drawn_slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
         draws.join(ranges, "cell").where("u >= lo and u < hi").groupBy("shard", "source_no").agg(F.count(F.lit(1)).alias("n")),
         "mix-counts",
     )
-    earlier = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    # where a shard's slots of a source begin among all of them, summed in slices; then every task makes its share
+    first = running_sum(counts, ["source_no"], ["shard"], F.col("n"), "first")
     drawn = (
-        counts.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        first.repartition(max(1, -(-total // TASK_SLOTS)), "shard", "source_no")
         .join(sources.select("source_no", "slots"), "source_no")
         .select("shard", "source_no", "slots", F.explode(F.expr("sequence(first, first + n - 1)")).alias("ordinal"))
     )
@@ -139,18 +144,27 @@ def _drawn_slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
 
 
 def mix(
-    rows: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: int = 2, block_words: int = 64, shard_slots: int = 4096, seed: int = 0
+    rows: DataFrame,
+    weights=WEIGHTS,
+    share: float = 1.5,
+    cap: int = 2,
+    block_words: int = 64,
+    shard_slots: int = 4096,
+    seed: int = 0,
+    ties: list[str] = ("row",),
 ) -> Mix:
     """Plan the mix of ``rows`` (row, doc_id, source, size in words; ``row`` tells all rows apart).
 
+    Documents of a source come in the order of a hash of doc_id, equal ones by the columns ``ties``.
+
     A source's slots come to its target but for less than a block, and no document is taken
     more than ``cap`` times. Null sources are one source; a document without words is never
     taken. The same input gives the same mix.
     """
     sources = staged(source_targets(rows, weights, share, cap, block_words), "mix-sources")
     numbers = sources.select(F.col("source").alias("_source"), "source_no")
-    rows = rows.join(numbers, F.col("source").eqNullSafe(F.col("_source"))).select("row", "doc_id", "source_no", "size")
-    placed = running_sum(rows.where("size > 0"), ["source_no"], ["doc_id"], F.col("size"), "start", ties=["row"])
+    rows = rows.join(numbers, F.col("source").eqNullSafe(F.col("_source"))).select(*dict.fromkeys(["row", "doc_id", "source_no", "size", *ties]))
+    placed = running_sum(rows.where("size > 0"), ["source_no"], ["doc_id"], F.col("size"), "start", ties=list(ties))
     b = block_words
     pieces = placed.withColumn("block", F.explode(F.expr(f"sequence(start div {b}, (start + size - 1) div {b})"))).select(
         "source_no",
@@ -172,28 +186,51 @@ def mix(
     return Mix(sources, rows, spans)
 
 
+def runs(parts: Column) -> Column:
+    """Stretches of words that follow each other as one, of ``parts`` (first_word, words) in ascending order."""
+    none = F.array().cast("array<struct<first_word:bigint,words:bigint>>")
+
+    def joined(found, part):
+        last = F.element_at(found, -1)
+        follows = F.coalesce(F.try_element_at(found, F.lit(-1))["first_word"] + F.try_element_at(found, F.lit(-1))["words"] == part["first_word"], F.lit(False))
+        longer = F.struct(last["first_word"].alias("first_word"), (last["words"] + part["words"]).alias("words"))
+        return F.when(follows, F.concat(F.slice(found, 1, F.size(found) - 1), F.array(longer))).otherwise(
+            F.concat(found, F.array(F.struct(part["first_word"].alias("first_word"), part["words"].alias("words"))))
+        )
+
+    return F.aggregate(parts, none, joined)
+
+
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """The documents of the mix, with the columns of ``docs`` (doc_id, text and source among them).
+    """The texts of the mix, with the columns of ``docs`` (doc_id, text and source among them).
 
-    A document has one row for each time the mix takes words of it, at most ``cap``. Where it
-    takes all words the text is as it was; else ``text`` holds the words taken, in their
-    order, with single spaces, and ``n_chars`` (if there is such a column) their length.
+    A row for each stretch of a document that the mix takes in one go, at most ``cap`` times the whole. Where
+    that is all its words, the text is as it was. Else it is cut out of the text from the stretch's first
+    word to its last, with the white space between as it was; n_chars (if there is such a column) is its
+    length. Null, empty and blank texts are never taken. Columns may have any names.
     """
     rows = keyed(docs)
-    sizes = staged(rows.select("row", "record.doc_id", "record.source", word_count(F.col("record.text")).alias("size")), "sizes")
+    words = word_count(F.col("record.text"))
+    sizes = staged(
+        rows.select("row", "record.doc_id", "record.source", words.alias("size"), F.xxhash64("record.text").alias("content")), "sizes"
+    )
     taken = (
-        mix(sizes, **how)
+        mix(sizes, ties=["content", "row"], **how)
         .spans.groupBy("row", "epoch")
-        .agg(F.sum("words").alias("taken"), F.collect_list(F.struct("first_word", "words")).alias("parts"))
+        .agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list(F.struct("first_word", "words"))).alias("parts"))
         .join(sizes.select("row", "size"), "row")
-        .select("row", "epoch", F.when(F.col("taken") < F.col("size"), F.array_sort("parts")).alias("parts"))
+        .select("row", F.when(F.col("taken") < F.col("size"), runs(F.col("parts"))).alias("runs"))
     )
     joined = rows.join(taken, "row")
-    words = F.regexp_extract_all("record.text", F.lit(WORD), F.lit(0))
-    joined = joined.withColumn("words", F.when(F.col("parts").isNotNull(), words))
-    cut = F.array_join(F.expr("flatten(transform(parts, p -> slice(words, int(p.first_word + 1), int(p.words))))"), " ")
-    # the size asked for outside of the lambda keeps the optimizer from splitting the text once for each part
-    cut = F.when(F.size("words") > 0, cut)
-    joined = joined.withColumn("text", F.when(F.col("parts").isNull(), F.col("record.text")).otherwise(cut))
-    changed = {"text": F.col("text"), "n_chars": F.when(F.col("parts").isNull(), F.col("record.n_chars")).otherwise(F.length("text")) if "n_chars" in docs.columns else None}
+    # every word with the white space after it, so that what is cut out is as it stands in the text
+    words = F.regexp_extract_all("record.text", F.lit(r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"), F.lit(0))
+    joined = joined.withColumn("words", F.when(F.col("runs").isNotNull(), words))
+    cut = F.expr("transform(runs, r -> array_join(slice(words, int(r.first_word + 1), int(r.words)), ''))")
+    cut = F.transform(cut, lambda text: F.rtrim(text, F.lit(_SPACE)))
+    # the size asked for outside of the lambda keeps the optimizer from splitting the text once for each run
+    texts = F.when(F.col("runs").isNull(), F.array("record.text")).when(F.size("words") > 0, cut)
+    joined = joined.select("record", F.col("runs").isNull().alias("all"), F.explode(texts).alias("text"))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("all"), F.col("record.n_chars")).otherwise(F.length("text"))
     return joined.select(*[changed.get(c, F.col(f"record.`{c}`")).alias(c) for c in docs.columns])

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .common import unused
 from .components import components
 
 #: Values of a sketch, for the estimate.
@@ -168,7 +169,7 @@ def _tile_links(percent: int):
         _, value, seen = np.unique(flat, return_inverse=True, return_counts=True)
         useful = seen[value] > 1
         owner, value = owner[useful], np.unique(value[useful], return_inverse=True)[1]
-        overlap = np.zeros((len(left), len(right)), np.float32)
+        overlap = np.zeros((len(left), len(right)))  # sums of whole numbers, exact
         row_of = np.full(len(sizes), -1)
         for start in range(0, int(value.max(initial=-1)) + 1, 4096):
             here = (value >= start) & (value < start + 4096)
@@ -302,19 +303,20 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     document without shingles stays. All columns are as they were.
     """
     documents, groups = near_duplicates(docs, words, percent)
+    own, text, is_first, rows = unused(docs, "_id", "_hash", "_first", "_rows")
     first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
     marked = (
         documents.join(groups, "group")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), first.alias("_first"))
-        .groupBy("_id", "_hash")
-        .agg(F.first("_first").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        .where(~F.col("_first") | (F.col("_rows") > 1))
+        .select(F.col("doc_id").alias(own), F.col("text_hash").alias(text), first.alias(is_first))
+        .groupBy(own, text)
+        .agg(F.first(is_first).alias(is_first), F.count(F.lit(1)).alias(rows))
+        .where(~F.col(is_first) | (F.col(rows) > 1))
     )
     marked = staged(marked, "marked")
     if marked.count() <= BROADCAST_ROWS:
         marked = F.broadcast(marked)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    found = docs.join(marked, same, "left")
-    once = found.where("_first is null").select(*docs.columns)
-    repeated = found.where("_first and _rows > 1").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(text))
+    found, columns = docs.join(marked, same, "left"), [f"`{c}`" for c in docs.columns]
+    once = found.where(F.col(is_first).isNull()).select(*columns)
+    repeated = found.where(F.col(is_first) & (F.col(rows) > 1)).dropDuplicates(["doc_id", text]).select(*columns)
     return once.unionByName(repeated)

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import running_sum
+from .common import running_sum, unused
 
 #: Lengths up to here are told apart exactly; above, only to one part in EXACT / 2.
 #: That bounds the histogram: EXACT entries, and EXACT / 2 more each time the longest length doubles.
@@ -88,12 +88,13 @@ def pack(df: DataFrame, length: str, order: list[str], buckets: int = 8, budget:
         bucket = F.when(F.col(length) <= bound, b).otherwise(bucket)
     bucket = F.when(F.col(length) > 0, bucket)
     of = lambda k: F.get(F.array(*[F.lit(t[k]).cast("long") for t in table]), F.col("bucket")) if table else F.lit(None).cast("long")
-    placed = running_sum(df.withColumn("bucket", bucket), ["bucket"], order, F.lit(1), "_position", ties=ties)
+    position, room = unused(df, "_position", "_room")
+    placed = running_sum(df.withColumn("bucket", bucket), ["bucket"], order, F.lit(1), position, ties=ties)
     return (
         placed.withColumn("padded_length", of(1))
-        .withColumn("_room", of(2))
-        .withColumn("batch", of(3) + F.expr("_position div _room"))
-        .withColumn("slot", F.when(F.col("batch").isNotNull(), F.col("_position") % F.col("_room")))
+        .withColumn(room, of(2))
+        .withColumn("batch", of(3) + F.expr(f"{position} div {room}"))
+        .withColumn("slot", F.when(F.col("batch").isNotNull(), F.col(position) % F.col(room)))
         .withColumn("padding", (F.col("padded_length") - F.col(length)).cast("long"))
-        .select(*df.columns, *added)
+        .select(*[f"`{c}`" for c in df.columns], *added)
     )

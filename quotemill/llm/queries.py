@@ -66,8 +66,9 @@ def op1_sharding(spark, sf):
 def op4_mixing(spark, sf):
     """The words that the mix takes of each document."""
     docs = table(spark, sf, "documents")
-    sizes = staged(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
-    sources, rows, spans = mixing.mix(sizes)
+    text = F.xxhash64("text").alias("content")
+    sizes = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", word_count(F.col("text")).alias("size"), text)
+    sources, rows, spans = mixing.mix(staged(sizes, "sizes"), ties=["content", "row"])
     taken = spans.groupBy("row").agg(F.sum("words").alias("taken"))
     return (
         rows.join(sources.select("source_no", "source_size", "target"), "source_no")

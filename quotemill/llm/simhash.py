@@ -157,7 +157,8 @@ def _links_in(bits: int):
 
 
 def links(prints: DataFrame, bits: int = BITS, shared: int = SHARED) -> DataFrame:
-    """Edges (a, b) between the different ``prints``, enough to connect all that differ in ``bits`` at most.
+    """Edges (a, b) between the different ``prints``: they connect all that differ in ``bits`` at most, and what
+    is reached through such pairs, but nothing else. An edge itself may skip steps.
 
     Up to 7 bits; ``shared`` and ``bits`` together are 8 at most.
     """

@@ -87,3 +87,10 @@ def test_long_chain_is_one_component(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (7, 7)]
     got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 101: 100, 102: 100}
+
+
+def test_one_of_each_with_any_column_names(spark):
+    names = ["doc_id", "text", "_id", "_hash", "_first", "_rows", "group", "node", "record"]
+    rows = [(i, "a b c d e f g" if i % 2 else f"text number {i} alone", *"abcdefg") for i in range(8)] + [(1, "a b c d e f g", *"hijklmn")]
+    kept = near_dedup.one_of_each(spark.createDataFrame(rows, names))
+    assert kept.columns == names and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 4, 6]

@@ -77,3 +77,11 @@ def test_query_on_odd_rows(spark, documents):
 def test_empty_table(spark, documents):
     assert QUERIES["op8_packing"](spark, documents([], files=1)).collect() == []
     assert len(QUERIES["op8_packing"](spark, documents([(1, None)], files=1, name="blank")).collect()) == 1
+
+
+def test_any_other_column_names(spark):
+    names = ["doc_id", "length", "_h", "_value", "_real", "_slice", "_position", "_room", "row", "record"]
+    rows = [(i, i % 30, *"abcdefgh") for i in range(100)]
+    packed = packing.pack(spark.createDataFrame(rows, names), "length", ["doc_id"])
+    assert packed.columns[:10] == names
+    assert sorted(tuple(r)[:10] for r in packed.collect()) == rows
