@@ -1,7 +1,8 @@
 """Exports and intakes that do only the missing work.
 
 What is done is written in a manifest table after the data: an interrupted run
-leaves nothing there and is repeated.
+leaves nothing there and is repeated. Of runs that overlap and did the same work, the first
+to finish counts: readers elect it from the manifest, and what the others wrote is never read.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import datetime as dt
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
@@ -28,17 +29,34 @@ _DONE = [
     StructField("n_rows", LongType()),
     StructField("finished_at", TimestampType()),
 ]
+_COMMITTED = "committed_at"
 _UNIT = ["destination", "title"]
 _LANDED = "destination string, title string, intake string, n_rows bigint, finished_at timestamp"
 
 
+def _first_finished(manifest: DataFrame, key: list[str], run: str) -> DataFrame:
+    """One row per key: that of the run which wrote its manifest first, the smaller ``run`` of equal ones.
+
+    Rows without a time of commitment are from before there was one, and come first.
+    """
+    rest = [c for c in manifest.columns if c not in (*key, _COMMITTED)]
+    first = F.min_by(F.struct(*rest), F.struct(_COMMITTED, run)).alias("first")
+    return manifest.groupBy(*key).agg(first).select(*key, "first.*")
+
+
+def _committed_now() -> Column:
+    """When the manifest of a run is written, by the clock; ``finished_at`` is what the caller says."""
+    return F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp").alias(_COMMITTED)
+
+
 def read_manifest(df: DataFrame, key: str, path: str) -> DataFrame:
-    schema = StructType([df.schema[key], *_DONE])
-    return read_or_empty(df.sparkSession, f"{path}/manifest", schema)
+    """key, run, n_rows, finished_at: a row for each key that is done, of the run that counts."""
+    schema = StructType([df.schema[key], *_DONE, StructField(_COMMITTED, TimestampType())])
+    return _first_finished(read_or_empty(df.sparkSession, f"{path}/manifest", schema), [key], "run")
 
 
 def read_export(df: DataFrame, key: str, path: str) -> DataFrame:
-    """The exported rows, with the columns and types of ``df``: those of runs in the manifest."""
+    """The exported rows, with the columns and types of ``df``: of each key, those of the run that counts."""
     schema = StructType([*df.schema.fields, StructField("run", StringType())])
     rows = read_or_empty(df.sparkSession, f"{path}/data", schema)
     return present(rows, read_manifest(df, key, path), ["run", key]).select(*df.columns)
@@ -49,7 +67,7 @@ def export_missing(
 ) -> DataFrame:
     """Write one partition per key, for the keys that are not in the manifest yet.
 
-    Returns the manifest rows of this run. Each run has a folder of its own, which counts
+    Returns the manifest rows of this run, without keys that another run finished before it. Each run has a folder of its own, which counts
     through the manifest only; rows are counted there, not in what was exported before.
     A rerun with nothing to do reads the key column only, or nothing if ``wanted`` names
     the keys. REBALANCE gives every key few files, and AQE splits a key that is too
@@ -81,6 +99,7 @@ def _export_run(rows: DataFrame, todo: DataFrame, key: str, path: str, as_of: dt
         F.lit(run).alias("run"),
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.lit(as_of).alias("finished_at"),
+        _committed_now(),
     ).write.mode("append").parquet(f"{path}/manifest")
     return read_manifest(rows, key, path).where(F.col("run") == run)
 
@@ -128,8 +147,9 @@ def select_for(catalog: DataFrame, needles: list[tuple[str, str]]) -> DataFrame:
 
 
 def read_landings(spark: SparkSession, dst: str) -> DataFrame:
-    """The manifest: one row per destination and title that landed whole."""
-    return read_or_empty(spark, f"{dst}/manifest", _LANDED)
+    """The manifest: one row per destination and title that landed whole, of the intake that counts."""
+    manifest = read_or_empty(spark, f"{dst}/manifest", f"{_LANDED}, {_COMMITTED} timestamp")
+    return _first_finished(manifest, _UNIT, "intake")
 
 
 def _rows_of_landed(spark: SparkSession, dst: str) -> DataFrame:
@@ -157,7 +177,8 @@ def land(
     Archives are opened by their paths in the tasks. The batch has a folder of its own,
     which counts only through the manifest. An archive that cannot be opened or is damaged
     is left out there, so that the next run takes it again, and the others land; so do the
-    other members beside one that is no text in ``encoding``.
+    other members beside one that is no text in ``encoding``. Archives that another intake landed
+    meanwhile are not in the outcome.
     """
     spark = units.sparkSession
     intake = uuid.uuid4().hex
@@ -183,10 +204,10 @@ def land(
         REASON,
     )
     outcome = staged(outcome, "intake-outcome")
-    outcome.where(F.col(REASON).isNull()).drop(REASON).coalesce(1).write.mode("append").parquet(
-        f"{dst}/manifest"
-    )
-    return outcome
+    whole = outcome.where(F.col(REASON).isNull())
+    whole.drop(REASON).withColumn(_COMMITTED, _committed_now()).coalesce(1).write.mode("append").parquet(f"{dst}/manifest")
+    own = read_landings(spark, dst).where(F.col("intake") == intake)
+    return rejected(outcome).unionByName(present(whole, own, _UNIT))
 
 
 def intake(

@@ -1,7 +1,9 @@
 import datetime as dt
 import os
 import random
+import threading
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,6 +162,29 @@ def test_archives_are_not_loaded_whole(spark, tmp_path):
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
+def test_one_archive_is_read_in_many_tasks(spark, tmp_path):
+    archive(tmp_path / "one.zip", **{f"{i:03}.csv": f"{i},{'x' * i}\n" * 3 for i in range(200)})
+    (tmp_path / "none.zip").write_bytes(b"PK no archive")
+    found = archive_rows(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    good = [r for r in found if r.reject_reason is None]
+    assert sorted((r.member, r.row_pos) for r in good) == [(f"{i:03}.csv", n) for i in range(200) for n in range(3)]
+    assert all(r.cells == [str(int(r.member[:3])), "x" * int(r.member[:3])] for r in good)
+    assert len({r.task for r in good}) == 8
+    assert [(r.archive.split("/")[-1], r.member) for r in found if r.reject_reason] == [("none.zip", None)]
+
+
+def test_a_damaged_member_does_not_hide_those_of_other_archives(spark, tmp_path):
+    archive(tmp_path / "good.zip", **{f"{i}.csv": f"{i}\n" for i in range(20)})
+    damaged = archive(tmp_path / "damaged.zip", **{f"{i}.csv": f"{i} {'y' * 2000}\n" for i in range(20)})
+    content = bytearray(damaged.read_bytes())
+    content[60:64] = b"\xff\xff\xff\xff"  # in the first member
+    damaged.write_bytes(content)
+    rows = archive_rows(spark, str(tmp_path))
+    bad = rejected(rows).select("archive", "member").collect()
+    assert bad and {(r.archive.split("/")[-1], r.member) for r in bad} == {("damaged.zip", None)}
+    assert accepted(rows).where(F.col("archive").endswith("good.zip")).count() == 20
+
+
 def test_catalog_does_not_read_content(spark, folder):
     os.utime(folder / "a.zip", (1704153600, 1704153600))
     catalog = snapshot_catalog(spark, str(folder), "[ab].zip")
@@ -208,6 +233,67 @@ def test_an_interrupted_export_is_repeated(spark, tmp_path):
     assert exports.read_export(df, "k", str(tmp_path)).count() == 10
 
 
+def both_at_once(*work):
+    """Run all of ``work`` in threads, each stopped at the barrier it is given until all have come there."""
+    barrier = threading.Barrier(len(work))
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [f.result() for f in [pool.submit(w, barrier) for w in work]]
+
+
+def test_of_overlapping_exports_the_first_to_finish_counts(spark, tmp_path, monkeypatch):
+    df = spark.range(20).select("id", F.concat(F.lit("k"), F.col("id") % 4).alias("k"))
+    export_run = exports._export_run
+    barrier = {}
+
+    def after_both_have_looked(*args):
+        barrier["at"].wait(60)
+        return export_run(*args)
+
+    monkeypatch.setattr(exports, "_export_run", after_both_have_looked)
+
+    def run(rows):
+        def work(b):
+            barrier["at"] = b
+            return exports.export_missing(rows, "k", str(tmp_path), AS_OF).collect()
+
+        return work
+
+    one, two = both_at_once(run(df), run(df.where("k < 'k2'")))
+    assert len(list((tmp_path / "data").glob("run=*"))) == 2  # both wrote
+    manifest = {r.k: r for r in exports.read_manifest(df, "k", str(tmp_path)).collect()}
+    assert {k: r.n_rows for k, r in manifest.items()} == {f"k{i}": 5 for i in range(4)}
+    assert sorted(r.id for r in exports.read_export(df, "k", str(tmp_path)).collect()) == list(range(20))
+    assert {(r.k, r.run) for r in one} >= {("k2", manifest["k2"].run), ("k3", manifest["k3"].run)}
+    assert exports.read_manifest(df, "k", str(tmp_path)).collect() == exports.read_manifest(df, "k", str(tmp_path)).collect()
+    monkeypatch.setattr(exports, "_export_run", export_run)
+    assert exports.export_missing(df, "k", str(tmp_path), AS_OF).collect() == []
+
+
+def test_a_later_run_takes_nothing_from_an_earlier_one(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
+    todo = df.select("k")
+    first = exports._export_run(df, todo, "k", str(tmp_path), AS_OF).collect()
+    # as_of is what the caller says; the clock decides
+    again = exports._export_run(df, todo, "k", str(tmp_path), AS_OF - dt.timedelta(days=9)).collect()
+    assert len(first) == 2 and again == []
+    assert sorted(map(tuple, exports.read_export(df, "k", str(tmp_path)).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_of_overlapping_intakes_the_first_to_finish_counts(spark, tmp_path):
+    archive(tmp_path / "x.zip", **{"a.csv": "1\n2\n"})
+    archive(tmp_path / "y.zip", **{"b.csv": "3\n"})
+    (tmp_path / "z.zip").write_bytes(b"PK no archive")
+    dst = str(tmp_path / "landed")
+    units = lambda *names: spark.createDataFrame([("d", n, f"file:{tmp_path}/{n}") for n in names], "destination string, title string, path string")
+    first = exports.land(units("x.zip", "z.zip"), dst, AS_OF).collect()
+    second = exports.land(units("x.zip", "y.zip", "z.zip"), dst, AS_OF - dt.timedelta(days=1)).collect()
+    assert sorted((r.title, r.n_rows, r.reject_reason is None) for r in first) == [("x.zip", 2, True), ("z.zip", 0, False)]
+    assert sorted((r.title, r.n_rows, r.reject_reason is None) for r in second) == [("y.zip", 1, True), ("z.zip", 0, False)]
+    rows = exports.landed_rows(spark, dst).collect()
+    assert sorted((r.title, r.cells[0]) for r in rows) == [("x.zip", "1"), ("x.zip", "2"), ("y.zip", "3")]
+    assert exports.read_landings(spark, dst).count() == 2
+
+
 def test_counting_reads_the_run_only(spark, tmp_path):
     df = spark.range(20).select("id", F.concat(F.lit("k"), F.col("id") % 4).alias("k"))
     for part in (df.where("k < 'k2'"), df):
