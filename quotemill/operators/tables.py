@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import csv_line
 from ..schemas import BROKERAGE_AVG_PRICE, LISTING_FIELDS, REPORT_SUFFIX, TDCC
+from .batches import append_once
 from .columns import require
 
 
@@ -63,8 +66,28 @@ def write_report(df: DataFrame, path: str) -> str:
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """Drop and recreate ``table`` with the columns of ``df``."""
-    df.write.mode("overwrite").saveAsTable(table)
+    """Drop and recreate ``table`` with the columns of ``df``, which may read the table itself.
+
+    The rows are written beside the table; only then the names are changed. A write that fails leaves
+    the table as it was. For the moment between the two changes of names there is no table; a run lost in
+    it leaves the old one as ``<table>__old``, from where the next replacement takes it back.
+    """
+    spark, old, new = df.sparkSession, f"{table}__old", f"{table}__{uuid.uuid4().hex}"
+    exists = spark.catalog.tableExists
+    if exists(old):
+        if exists(table):
+            drop_table(spark, old)
+        else:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+    try:
+        df.write.saveAsTable(new)
+    except BaseException:
+        drop_table(spark, new)
+        raise
+    if exists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    drop_table(spark, old)
 
 
 def append_rows(
@@ -72,9 +95,14 @@ def append_rows(
     table: str,
     schema: StructType | None = None,
     cluster_by: list[str] | None = None,
-) -> None:
+    batch: str | None = None,
+) -> bool:
     """Append by position. Wrong arity and values that do not fit raise.
 
+    With ``batch``, a name for what is appended, its rows come into the table once, however
+    often that is repeated: False says that they were there already. A run that is lost
+    leaves either none of them, or all after the next append.
+
     With ``schema``, a NULL in a column declared NOT NULL raises too: Parquet
     tables do not check that. ``cluster_by`` writes the batch in ranges of these
     columns, so that a lookup by them skips row groups by their min and max; a hash of
@@ -92,7 +120,10 @@ def append_rows(
     if cluster_by:
         row = F.xxhash64(*df.columns)
         df = df.repartitionByRange(*cluster_by, row).sortWithinPartitions(*cluster_by)
+    if batch is not None:
+        return append_once(df, table, batch)
     df.write.insertInto(table)
+    return True
 
 
 def _not_null(col: Column, name: str) -> Column:
@@ -107,7 +138,9 @@ def _create(spark: SparkSession, table: str, schema: StructType, buckets: int |
     layout = (
         f"CLUSTERED BY (stock) SORTED BY (stock) INTO {int(buckets)} BUCKETS" if buckets else ""
     )
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout}")
+    # Bloom filters, as large as each file needs: a lookup of a stock that a row group lacks does not read it
+    filters = "OPTIONS ('parquet.bloom.filter.enabled#stock'='true', 'parquet.bloom.filter.adaptive.enabled'='true')"
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {filters} {layout}")
 
 
 def create_brokerage_avg_price(spark: SparkSession, table: str = "BrokerageAvgPrice") -> None:
@@ -115,7 +148,7 @@ def create_brokerage_avg_price(spark: SparkSession, table: str = "BrokerageAvgPr
 
 
 def create_tdcc(spark: SparkSession, table: str = "TDCC", buckets: int | None = None) -> None:
-    """``stock`` is the lookup column: append with ``cluster_by=["stock", "date"]``.
+    """``stock`` is the lookup column: it has Bloom filters; append with ``cluster_by=["stock", "date"]``.
 
     ``buckets`` fixes a hash layout instead, for joins by stock. All rows of a
     stock then share a bucket, so use it only where no stock dominates.

@@ -24,18 +24,21 @@ def reset_fact_tables(
     create_tdcc(spark, tdcc)
 
 
-def load_brokerage(df: DataFrame, table: str = "BrokerageAvgPrice") -> DataFrame:
-    """Append the rows that fit the table, laid out by stock and date; returns the others."""
-    return _load(df, table, BROKERAGE_AVG_PRICE)
+def load_brokerage(df: DataFrame, table: str = "BrokerageAvgPrice", batch: str | None = None) -> DataFrame:
+    """Append the rows that fit the table, laid out by stock and date; returns the others.
 
+    With ``batch``, a name, a repeated load of it appends nothing (see ``append_rows``).
+    """
+    return _load(df, table, BROKERAGE_AVG_PRICE, batch)
 
-def load_tdcc(df: DataFrame, table: str = "TDCC") -> DataFrame:
-    return _load(df, table, TDCC)
 
+def load_tdcc(df: DataFrame, table: str = "TDCC", batch: str | None = None) -> DataFrame:
+    return _load(df, table, TDCC, batch)
 
-def _load(df: DataFrame, table: str, schema) -> DataFrame:
+
+def _load(df: DataFrame, table: str, schema, batch: str | None) -> DataFrame:
     rows = staged(conform(df, schema), "conformed")  # read for the ranges, the write, and the rejects
-    append_rows(accepted(rows), table, schema, cluster_by=["stock", "date"])
+    append_rows(accepted(rows), table, schema, cluster_by=["stock", "date"], batch=batch)
     return rejected(rows)
 
 

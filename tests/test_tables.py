@@ -1,11 +1,14 @@
 import datetime as dt
+import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from quotemill.operators import columns, tables
+from quotemill.operators import batches, columns, tables
 from quotemill.operators.rejects import accepted, rejected
 from quotemill.plans import facts
 from quotemill.schemas import BROKERAGE_AVG_PRICE, TDCC
@@ -115,6 +118,157 @@ def test_replace_takes_the_new_columns(spark, database):
     assert not spark.catalog.tableExists(name)
 
 
+def test_a_table_replaced_by_a_query_on_itself(spark, database):
+    name = f"{database}.t"
+    tables.replace_table(spark.range(10), name)
+    tables.replace_table(spark.table(name).select((F.col("id") * 2).alias("twice")), name)
+    assert sorted(r.twice for r in spark.table(name).collect()) == list(range(0, 20, 2))
+    assert [t.name for t in spark.catalog.listTables(database)] == ["t"]
+
+
+def test_a_failing_replacement_leaves_the_table(spark, database):
+    name = f"{database}.t"
+    tables.replace_table(spark.range(10), name)
+    bad = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(PySparkException, match="lost"):
+        tables.replace_table(bad, name)
+    assert spark.table(name).count() == 10
+    assert [t.name for t in spark.catalog.listTables(database)] == ["t"]
+
+
+def test_a_replacement_lost_between_the_names_is_taken_back(spark, database):
+    name = f"{database}.t"
+    tables.replace_table(spark.range(10), name)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
+    bad = spark.range(1).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+    with pytest.raises(PySparkException, match="lost"):
+        tables.replace_table(bad, name)
+    assert spark.table(name).count() == 10
+    tables.replace_table(spark.range(3), name)
+    assert spark.table(name).count() == 3 and [t.name for t in spark.catalog.listTables(database)] == ["t"]
+
+
+def batch_table(spark, database):
+    name = f"{database}.prices"
+    tables.create_brokerage_avg_price(spark, name)
+    return name
+
+
+def batch_of(spark, first, n):
+    kind = "stock string, date date, avg_buy_price decimal(6,2), avg_sell_price decimal(6,2), rate decimal(3,2)"
+    rows = [(str(i), DAY, Decimal(i), Decimal(1), Decimal(1)) for i in range(first, first + n)]
+    return spark.createDataFrame(rows, kind).repartition(3)
+
+
+def stocks(spark, name):
+    return sorted(int(r.stock) for r in spark.table(name).collect())
+
+
+def test_a_batch_is_appended_once(spark, database):
+    name = batch_table(spark, database)
+    append = lambda first, n, batch: tables.append_rows(batch_of(spark, first, n), name, BROKERAGE_AVG_PRICE, ["stock"], batch)
+    assert [append(0, 5, "a"), append(0, 5, "a"), append(5, 5, "b"), append(0, 5, "a"), append(10, 0, "none"), append(10, 0, "none")] == [
+        True, False, True, False, True, False
+    ]
+    assert stocks(spark, name) == list(range(10))
+    tables.append_rows(batch_of(spark, 0, 1), name)  # without a batch: as often as it is called
+    assert stocks(spark, name) == [0, *range(10)]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["prices"]
+
+
+def test_a_batch_lost_while_it_is_written_leaves_nothing(spark, database):
+    name = batch_table(spark, database)
+    tables.append_rows(batch_of(spark, 0, 3), name, batch="a")
+    last = F.when(F.col("stock") == "99", F.raise_error(F.lit("lost"))).otherwise(F.col("stock")).alias("stock")
+    lost = batch_of(spark, 50, 50).select(last, "date", "avg_buy_price", "avg_sell_price", "rate")
+    for rows in (lost, batch_of(spark, 50, 2).withColumn("rate", F.lit(10).cast("decimal(5,2)"))):
+        with pytest.raises(PySparkException):
+            tables.append_rows(rows, name, batch="b")
+        assert stocks(spark, name) == [0, 1, 2]
+    assert tables.append_rows(batch_of(spark, 50, 2), name, batch="b")
+    assert stocks(spark, name) == [0, 1, 2, 50, 51]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["prices"]
+
+
+@pytest.mark.parametrize("moved", [0, 1, 99])
+def test_a_batch_lost_after_its_commit_is_finished_later(spark, database, monkeypatch, moved):
+    name = batch_table(spark, database)
+    listed = batches._listed
+
+    def lost_on_the_way(session, folder):
+        names = listed(session, folder)
+        if not folder.endswith(batches._FOLDER):  # the folder of the batch: some files are moved, then the run is lost
+            location = folder.split(f"/{batches._FOLDER}/")[0]
+            key = folder.split("/")[-1].split("-")[0]
+            path, fs = batches._files(session, folder)
+            for n in [n for n in names if n.startswith("part-")][:moved]:
+                fs.rename(*[batches._files(session, f)[0] for f in (f"{folder}/{n}", f"{location}/{key}-{n}")])
+            raise KeyboardInterrupt
+        return names
+
+    monkeypatch.setattr(batches, "_listed", lost_on_the_way)
+    with pytest.raises(KeyboardInterrupt):
+        tables.append_rows(batch_of(spark, 0, 9), name, batch="a")
+    monkeypatch.setattr(batches, "_listed", listed)
+    if moved == 1:
+        batches.finish_appends(spark, name)
+    else:
+        assert not tables.append_rows(batch_of(spark, 0, 9), name, batch="a")
+    assert stocks(spark, name) == list(range(9))
+    batches.finish_appends(spark, name)
+    assert stocks(spark, name) == list(range(9))
+
+
+def test_a_commit_without_a_folder_is_none(spark, database, monkeypatch):
+    monkeypatch.setattr(batches, "_GRACE", 0)
+    name = batch_table(spark, database)
+    key = hashlib.sha256(b"a").hexdigest()[:32]
+    assert batches._created(spark, f"{batches._location(spark, name)}/{batches._FOLDER}/{key}.commit", "")
+    assert tables.append_rows(batch_of(spark, 0, 2), name, batch="a")
+    assert stocks(spark, name) == [0, 1]
+
+
+def test_one_batch_appended_by_two_at_once(spark, database):
+    name = batch_table(spark, database)
+    with ThreadPoolExecutor(3) as pool:
+        done = list(pool.map(lambda _: tables.append_rows(batch_of(spark, 0, 20), name, batch="a"), range(3)))
+    assert sorted(done) == [False, False, True] and stocks(spark, name) == list(range(20))
+
+
+def test_batches_are_for_plain_tables(spark, database):
+    tables.create_tdcc(spark, f"{database}.tdcc", 4)
+    with pytest.raises(ValueError, match="buckets"):
+        tables.append_rows(spark.table(f"{database}.tdcc"), f"{database}.tdcc", batch="a")
+
+
+def test_a_lookup_of_an_absent_stock_reads_no_row_group(spark, database):
+    name = batch_table(spark, database)
+    # too many different stocks for a dictionary, of one range: only the filter can tell
+    rows = spark.range(1_200_000).select(
+        F.concat(F.lit("s"), F.lpad((F.col("id") * 2).cast("string"), 9, "0")).alias("stock"),
+        F.lit(DAY).alias("date"),
+        *[F.lit(1).cast(t).alias(c) for c, t in spark.table(name).dtypes[2:]],
+    )
+    tables.append_rows(rows, name, BROKERAGE_AVG_PRICE, ["stock", "date"])
+
+    files = f"{batches._location(spark, name).removeprefix('file:')}/*.parquet"
+    chunks = duckdb.sql(f"select path_in_schema, bloom_filter_offset, encodings from parquet_metadata('{files}')").fetchall()
+    assert all((offset is not None) == (column == "stock") for column, offset, _ in chunks)
+    assert all("PLAIN" in encodings.split(", ") for column, _, encodings in chunks if column == "stock")
+
+    def rows_read(stock):
+        found = scan(spark, name, ["rate"], f"stock = '{stock}'")
+        plan = found._jdf.queryExecution().executedPlan()
+        n = found._jdf.queryExecution().executedPlan().executeCollect()
+        while plan.children().size():
+            plan = plan.children().head()
+        return len(list(n)), plan.metrics().get("numOutputRows").get().value()
+
+    assert rows_read("s000200000")[0] == 1
+    misses = [rows_read(f"s{200_001 + 2 * i:09}")[1] for i in range(10)]
+    assert sorted(misses)[8] == 0  # a filter errs now and then
+
+
 def test_scan_prunes_and_pushes(spark, database):
     name = f"{database}.s"
     tables.replace_table(spark.range(100).selectExpr("id", "id * 2 AS v", "id AS w"), name)

@@ -725,6 +725,31 @@ def brokerage_prices(spark, sf):
     return scan(spark, name, BROKERAGE_AVG_PRICE.fieldNames())
 
 
+@query(f"""
+select stock, date, avg_buy_price, avg_sell_price, rate from ({_PRICES_SQL}) where avg_buy_price is not null
+""")
+def brokerage_batches(spark, sf):
+    """The same rows in four batches, each of them loaded twice."""
+    name = f"{_database(spark)}.BrokerageBatches"
+    tables.drop_table(spark, name)
+    tables.create_brokerage_avg_price(spark, name)
+    rows = _prices(spark, sf)
+    for part in (0, 1, 1, 0, 2, 3, 3, 2):
+        facts.load_brokerage(rows.where(F.pmod(F.xxhash64("stock"), F.lit(4)) == part), name, batch=f"part {part}")
+    return scan(spark, name, BROKERAGE_AVG_PRICE.fieldNames())
+
+
+@query("select o_orderkey, o_orderstatus, count(*) over (partition by o_orderstatus) as of_status from orders")
+def table_replaced_by_itself(spark, sf):
+    """A table replaced by a query on itself."""
+    name = f"{_database(spark)}.orders"
+    tables.replace_table(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), name)
+    rows = spark.table(name)
+    counts = rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("of_status"))
+    tables.replace_table(rows.join(counts, "o_orderstatus").select("o_orderkey", "o_orderstatus", "of_status"), name)
+    return spark.table(name)
+
+
 def _tdcc_value(i: int, measure: str) -> str:
     return f"p_size + {i}" if measure != "Proportion" else f"(p_size + {i}) / 4.0"
 
