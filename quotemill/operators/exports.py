@@ -49,10 +49,15 @@ def _committed_now() -> Column:
     return F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp").alias(_COMMITTED)
 
 
+def _manifest_rows(df: DataFrame, key: str, path: str) -> DataFrame:
+    """What all runs wrote, also several for one key."""
+    schema = StructType([df.schema[key], *_DONE, StructField(_COMMITTED, TimestampType())])
+    return read_or_empty(df.sparkSession, f"{path}/manifest", schema)
+
+
 def read_manifest(df: DataFrame, key: str, path: str) -> DataFrame:
     """key, run, n_rows, finished_at: a row for each key that is done, of the run that counts."""
-    schema = StructType([df.schema[key], *_DONE, StructField(_COMMITTED, TimestampType())])
-    return _first_finished(read_or_empty(df.sparkSession, f"{path}/manifest", schema), [key], "run")
+    return _first_finished(_manifest_rows(df, key, path), [key], "run")
 
 
 def read_export(df: DataFrame, key: str, path: str) -> DataFrame:
@@ -78,7 +83,7 @@ def export_missing(
     keys = (df if wanted is None else wanted).select(
         F.when(named, F.col(key)).otherwise(F.raise_error(F.lit(f"no {key}"))).alias(key)
     )
-    todo = staged(missing(keys.distinct(), read_manifest(df, key, path), key), "export-keys")
+    todo = staged(missing(keys.distinct(), _manifest_rows(df, key, path), key), "export-keys")
     if todo.isEmpty():
         return read_manifest(df, key, path).where(F.lit(False))
     return _export_run(present(df, todo, key).hint("rebalance", key), todo, key, path, as_of)
@@ -108,7 +113,7 @@ def _export_labelled(df: DataFrame, label: str, path: str, as_of: dt.datetime) -
     """All rows under one label. Nothing is to be brought together by key, so nothing is shuffled."""
     rows = df.withColumn(LABEL, F.lit(label))
     manifest = read_manifest(rows, LABEL, path)
-    if not manifest.where(F.col(LABEL) == label).isEmpty():
+    if not _manifest_rows(rows, LABEL, path).where(F.col(LABEL) == label).isEmpty():
         return manifest.where(F.lit(False))
     todo = df.sparkSession.createDataFrame([(label,)], f"{LABEL} string")
     return _export_run(rows, todo, LABEL, path, as_of)

@@ -108,45 +108,46 @@ def records(spark: SparkSession, path: str, snapshot: Column | None = None, line
 
     # how blocks end, and from that how they start
     ends = lines.groupBy(*block).agg(
-        F.max_by(F.struct(sets.alias("set"), F.col("set").alias("earlier"), (F.col("changed") + changes).alias("changed")), "row").alias("last")
+        F.max_by(F.struct(sets.alias("set"), F.col("set").alias("earlier"), (F.col("changed") + changes).alias("changed")), "row").alias("last"),
+        F.max(F.trim("value") != "").alias("text"),
     )
     last_set = F.coalesce("last.set", "last.earlier")
     in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = ends.select(*block, F.col("last.changed").alias("n"), last_set.alias("set")).withColumn(
+    blocks = ends.select(*block, "text", F.col("last.changed").alias("n"), last_set.alias("set")).withColumn(
         "so_far", F.coalesce(F.sum("n").over(in_file), none)
     )
+    earlier_text = F.coalesce(F.max("text").over(in_file), F.lit(False))
     known = F.when(F.col("set").isNotNull(), F.struct(F.col("set.to").alias("to"), (F.col("so_far") + F.col("set.at")).alias("at")))
     blocks = blocks.withColumn("known", F.last(known, ignorenulls=True).over(in_file))
     inside = lambda known, n: F.coalesce(known["to"], F.lit(False)) != odd(n - F.coalesce(known["at"], none))
-    starts = blocks.select(F.struct(*block).alias("of"), inside(F.col("known"), F.col("so_far")).alias("starts_inside"))
+    starts = blocks.select(*block, inside(F.col("known"), F.col("so_far")).alias("starts_inside"), earlier_text.alias("late"))
 
-    lines = lines.join(starts, F.struct(*block) == F.col("of")).withColumn(
+    # a block is no larger than a task reads, and its lines are together already
+    lines = lines.join(starts, block).withColumn(
         "inside",
         F.when(F.col("set").isNotNull(), inside(F.col("set"), F.col("changed"))).otherwise(F.col("starts_inside") != odd(F.col("changed"))),
     )
     up_to = Window.partitionBy(*block).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     lines = lines.withColumn("record_no", F.sum((~F.col("inside")).cast("long")).over(up_to))
-    lines = staged(lines.select(*block, "row", "value", "opens", "inside", "record_no"), "csv-lines")
+    first = F.min(F.when(F.trim("value") != "", F.col("record_no"))).over(Window.partitionBy(*block))
+    lines = lines.withColumn("header", ~F.col("late") & F.coalesce(F.col("record_no") == first, F.lit(False)))
+    lines = staged(lines.select(*block, "row", "value", "opens", "inside", "record_no", "header"), "csv-lines")
     # a block may begin with the rest of a record that began in an earlier one
     counts = lines.groupBy(*block).agg(F.max("record_no").alias("records"))
     owners = counts.withColumn(
         "owner", F.last(F.when(F.col("records") > 0, F.struct("block", "records")), ignorenulls=True).over(in_file)
     ).select(F.struct(*block).alias("of_block"), "owner")
     rest = lines.where("record_no = 0").join(owners, F.struct(*block) == F.col("of_block"))
-    rest = rest.select("file", F.col("owner.block").alias("own"), F.col("owner.records").alias("record_no"), "block", "row", "value")
-    alone = lines.where("not inside and not opens").select("file", "block", "record_no", F.col("value").alias("record"))
-    parts = lines.where("record_no > 0 and (inside or opens)").select("file", F.col("block").alias("own"), "record_no", "block", "row", "value")
+    rest = rest.select("file", F.col("owner.block").alias("own"), F.col("owner.records").alias("record_no"), "header", "block", "row", "value")
+    alone = lines.where("not inside and not opens").select("file", "block", "record_no", "header", F.col("value").alias("record"))
+    parts = lines.where("record_no > 0 and (inside or opens)").select("file", F.col("block").alias("own"), "record_no", "header", "block", "row", "value")
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "row", "value"))), lambda part: part["value"]), "\n")
-    joined = parts.unionByName(rest).groupBy("file", F.col("own").alias("block"), "record_no").agg(text.alias("record"))
+    joined = parts.unionByName(rest).groupBy("file", F.col("own").alias("block"), "record_no").agg(F.max("header").alias("header"), text.alias("record"))
     found = alone.unionByName(joined)
     if line_sep is None:
         found = found.withColumn("record", F.regexp_replace(F.replace("record", F.lit("\r\n"), F.lit("\n")), r"\r\z", ""))
-    found = found.where(F.trim("record") != "")
-    first = found.groupBy("file").agg(F.min(F.struct("block", "record_no")).alias("first")).withColumnRenamed("file", "of_file")
     order = F.struct("file.*", "block", F.col("record_no").alias("row"))
-    return found.join(first, F.col("file") == F.col("of_file")).select(
-        "record", (F.struct("block", "record_no") == F.col("first")).alias("header"), order.alias(ORDER)
-    )
+    return found.where(F.trim("record") != "").select("record", "header", order.alias(ORDER))
 
 
 def _read_lines(rows: DataFrame, schema: StructType, named: bool, options: dict[str, str]) -> DataFrame:

@@ -140,6 +140,12 @@ def test_lines_put_together_are_what_a_whole_read_gives(spark, tmp_path, small_b
     assert read(rows) == read(whole)
 
 
+def test_header_after_blank_lines(spark, tmp_path, small_blocks):
+    write(tmp_path / "m.csv", *[""] * 500, HEADER, 't,1,"two\nlines",i,s,m,g,c', "", "t,2,b,i,s,m,g,c", sep="\n")
+    rows = read_master(spark, str(tmp_path), "twse")
+    assert [(r.code, r.name) for r in rows.orderBy(ORDER).collect()] == [("1", "two\nlines"), ("2", "b")]
+
+
 def test_capital_with_names_over_lines(spark, tmp_path, small_blocks):
     header = "代號,名稱,股本(億)"
     rows = [f'="{i:04}","name\nof {i}","1,{i:03}.5",' for i in range(100)]
