@@ -50,9 +50,12 @@ def _committed_now() -> Column:
 
 
 def _manifest_rows(df: DataFrame, key: str, path: str) -> DataFrame:
-    """What all runs wrote, also several for one key."""
+    """What all runs wrote, also several for one key.
+
+    Every run writes to a folder of its own: two writes to one folder at a time take away each other's files.
+    """
     schema = StructType([df.schema[key], *_DONE, StructField(_COMMITTED, TimestampType())])
-    return read_or_empty(df.sparkSession, f"{path}/manifest", schema)
+    return read_or_empty(df.sparkSession, f"{path}/manifest", schema, recursiveFileLookup=True)
 
 
 def read_manifest(df: DataFrame, key: str, path: str) -> DataFrame:
@@ -105,7 +108,7 @@ def _export_run(rows: DataFrame, todo: DataFrame, key: str, path: str, as_of: dt
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
         F.lit(as_of).alias("finished_at"),
         _committed_now(),
-    ).write.mode("append").parquet(f"{path}/manifest")
+    ).write.parquet(f"{path}/manifest/{run}")
     return read_manifest(rows, key, path).where(F.col("run") == run)
 
 
@@ -153,7 +156,7 @@ def select_for(catalog: DataFrame, needles: list[tuple[str, str]]) -> DataFrame:
 
 def read_landings(spark: SparkSession, dst: str) -> DataFrame:
     """The manifest: one row per destination and title that landed whole, of the intake that counts."""
-    manifest = read_or_empty(spark, f"{dst}/manifest", f"{_LANDED}, {_COMMITTED} timestamp")
+    manifest = read_or_empty(spark, f"{dst}/manifest", f"{_LANDED}, {_COMMITTED} timestamp", recursiveFileLookup=True)
     return _first_finished(manifest, _UNIT, "intake")
 
 
@@ -210,7 +213,7 @@ def land(
     )
     outcome = staged(outcome, "intake-outcome")
     whole = outcome.where(F.col(REASON).isNull())
-    whole.drop(REASON).withColumn(_COMMITTED, _committed_now()).coalesce(1).write.mode("append").parquet(f"{dst}/manifest")
+    whole.drop(REASON).withColumn(_COMMITTED, _committed_now()).coalesce(1).write.parquet(f"{dst}/manifest/{intake}")
     own = read_landings(spark, dst).where(F.col("intake") == intake)
     return rejected(outcome).unionByName(present(whole, own, _UNIT))
 

@@ -80,10 +80,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame:
     """The Parquet table at ``path``, or no rows if nothing was written there yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).options(**options).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
