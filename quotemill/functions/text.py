@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import html
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 IDEOGRAPHIC_SPACE = "　"
 
-# Entities that occur in listing markup.
-_PLAIN_ENTITIES = [
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-]
+# All names of HTML that end with a semicolon, as "name;" and what they stand for. What they have of the
+# markup's own characters stays escaped, which is decoded last.
+_PAIR, _IS = "\u0001", "\u0002"
+_NAMED_ENTITIES = _PAIR.join(
+    f"{name}{_IS}{html.escape(chars, quote=False)}" for name, chars in html5.items() if name.endswith(";")
+)
+_NAMED_ENTITY = "&([a-zA-Z][a-zA-Z0-9]*;)"
 _NUMERIC_ENTITY = "&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
 # These stand for characters of the markup itself. The ampersand comes last, so
 # that "&amp;lt;" yields "&lt;".
@@ -105,9 +109,22 @@ def _numeric_decoded(col: Column) -> Column:
     return F.when(F.contains(col, F.lit("&#")), F.aggregate(numbers, col, replaced)).otherwise(col)
 
 
+def _named_decoded(col: Column) -> Column:
+    """Entities by name as characters, but for those of the markup's own characters."""
+    known = F.str_to_map(F.lit(_NAMED_ENTITIES), F.lit(_PAIR), F.lit(_IS))
+
+    def replaced(text: Column, name: Column) -> Column:
+        entity = F.concat(F.lit("&"), name)
+        return F.replace(text, entity, F.coalesce(F.try_element_at(known, name), entity))
+
+    names = F.array_distinct(F.regexp_extract_all(col, F.lit(_NAMED_ENTITY), 1))
+    names = F.filter(names, lambda name: ~name.isin("lt;", "gt;", "amp;"))
+    return F.when(F.contains(col, F.lit("&")), F.aggregate(names, col, replaced)).otherwise(col)
+
+
 def decode_plain_entities(col: Column) -> Column:
-    """Decode what is no markup: can be done on a whole page before it is parsed."""
-    return _decoded(_numeric_decoded(col), _PLAIN_ENTITIES)
+    """Decode what is no markup; names are those of HTML, with a semicolon."""
+    return _named_decoded(_numeric_decoded(col))
 
 
 def decode_markup_entities(col: Column) -> Column:
@@ -115,6 +132,11 @@ def decode_markup_entities(col: Column) -> Column:
     return _decoded(col, _MARKUP_ENTITIES)
 
 
+def decode_entities(col: Column) -> Column:
+    """All entities of an element's text, each once: ``&amp;lt;`` becomes ``&lt;``."""
+    return F.when(F.contains(col, F.lit("&")), decode_markup_entities(decode_plain_entities(col))).otherwise(col)
+
+
 def csv_line(cols: list[Column]) -> Column:
     """One CSV record without its line end: quoted only where needed, quotes doubled, NULL empty."""
 

@@ -1,5 +1,6 @@
 import pathlib
 import random
+from html.parser import HTMLParser
 
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -61,6 +62,87 @@ def test_comments_are_dropped(spark):
     assert [(r.code, r.start, r.reject_reason) for r in got] == [("1", "s", None), ("2", "s", None)]
 
 
+def test_quoted_attributes_tables_in_rows_and_entities(spark):
+    cells = "<td>v<td>v<td>v<td>v<td>v<td>".replace
+    page = (
+        "<table><tr><th>header</th></tr>"
+        "<tr title='a > b <tr>' data-x = \"</table>\"><td>1　caf&eacute;&AMP;&nosuch;" + cells("v", "a < b") + "</tr>"
+        "<tr><td>2　x<table><tr><td>3　y" + cells("v", "w") + "</tr></table><td>after</tr>"
+        "<tr title=it's><td>4　&quot;z&quot;" + cells("v", "&amp;lt;") + "</table><p>no row</p>"
+        "<script>if (a < b) document.write('<tr><td>no')</script>"
+        "<TABLE><TBODY><tr><td>5　u" + cells("v", "w") + "</tbody><tr><td>6　u" + cells("v", "w")
+    )
+    got = parse(spark, page).orderBy("pos").collect()
+    assert [(r.pos, r.code, r.name, r.ISIN, r.reject_reason) for r in got] == [
+        (2, "1", "café&&nosuch;", "a<b".replace("<", " < "), None),
+        (3, None, None, None, "cells: 12"),
+        (4, "3", "y", "w", None),
+        (5, "4", '"z"', "&lt;", None),
+        (6, "5", "u", "w", None),
+        (7, "6", "u", "w", None),
+    ]
+    assert got[1].cells[1] == "2　x" and got[1].cells[-1] == "after"
+
+
+class Nested(HTMLParser):
+    """Element texts of all rows, by an explicit stack of open rows."""
+
+    def __init__(self):
+        super().__init__()
+        self.rows, self.open = [], [None]
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            self.open.append(None)
+        if tag == "tr":
+            self.open[-1] = len(self.rows)
+            self.rows.append([])
+        if tag != "table" or any(r is not None for r in self.open):
+            for row in {r for r in self.open if r is not None}:
+                self.rows[row].append("")
+        self.fresh = True
+
+    def handle_endtag(self, tag):
+        if tag == "tr":
+            self.open[-1] = None
+        if tag == "table":
+            self.open[-1] = None
+            if len(self.open) > 1:
+                self.open.pop()
+        self.fresh = False
+
+    def handle_data(self, data):
+        if self.fresh:
+            for row in {r for r in self.open if r is not None}:
+                self.rows[row][-1] += data
+
+
+def test_random_nested_tables_against_a_parser(spark):
+    rng = random.Random(5)
+
+    def table(depth):
+        rows = []
+        for _ in range(rng.randint(0, 3)):
+            cells = [
+                table(depth + 1) if depth < 4 and rng.random() < 0.3 else f"<td a='>'>{rng.randint(0, 99)}&eacute;"
+                for _ in range(rng.randint(0, 4))
+            ]
+            rows.append("<tr>" + "".join(cells) + rng.choice(["</tr>", "", "</td></tr>\n"]))
+        return "<table b=\"<tr>\">" + "".join(rows) + rng.choice(["</table>", "</table>", "</table>x", ""])
+
+    pages, expect = [], set()
+    for i in range(80):
+        pages.append("".join(table(0) for _ in range(3)))
+        parser = Nested()
+        parser.feed(pages[-1])
+        parser.close()
+        for pos, cells in enumerate(parser.rows[1:], 2):
+            if len(cells) != 4:
+                expect.add((i, pos, tuple(cells)))
+    got = parse(spark, *pages).select("page", "pos", "cells").collect()
+    assert {(r.page, r.pos, tuple(r.cells)) for r in got} == expect and len(expect) > 300
+
+
 def test_random_pages_against_brute_force(spark):
     rng = random.Random(3)
     expect, pages = set(), []
