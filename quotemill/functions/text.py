@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 IDEOGRAPHIC_SPACE = "　"
 
-# All names of HTML that end with a semicolon, as "name;" and what they stand for. What they have of the
-# markup's own characters stays escaped, which is decoded last.
+# All names of HTML that end with a semicolon, as "name;" and what they stand for, short ones first as a map is
+# searched from its start. What they have of the markup's own characters stays escaped, which is decoded last.
 _PAIR, _IS = "\u0001", "\u0002"
 _NAMED_ENTITIES = _PAIR.join(
-    f"{name}{_IS}{html.escape(chars, quote=False)}" for name, chars in html5.items() if name.endswith(";")
+    f"{name}{_IS}{html.escape(html5[name], quote=False)}" for name in sorted(html5, key=len) if name.endswith(";")
 )
 _NAMED_ENTITY = "&([a-zA-Z][a-zA-Z0-9]*;)"
 _NUMERIC_ENTITY = "&#([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"

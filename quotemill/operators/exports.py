@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.dates import snap_label
-from ..session import read_or_empty, staged
+from ..session import read_or_empty, staged, staging
 from ..sources.archives import MEMBER_ROWS, expand_archives, spread
 from .columns import require
 from .keys import missing, present
@@ -86,10 +86,11 @@ def export_missing(
     keys = (df if wanted is None else wanted).select(
         F.when(named, F.col(key)).otherwise(F.raise_error(F.lit(f"no {key}"))).alias(key)
     )
-    todo = staged(missing(keys.distinct(), _manifest_rows(df, key, path), key), "export-keys")
-    if todo.isEmpty():
-        return read_manifest(df, key, path).where(F.lit(False))
-    return _export_run(present(df, todo, key).hint("rebalance", key), todo, key, path, as_of)
+    with staging(df.sparkSession):
+        todo = staged(missing(keys.distinct(), _manifest_rows(df, key, path), key), "export-keys")
+        if todo.isEmpty():
+            return read_manifest(df, key, path).where(F.lit(False))
+        return _export_run(present(df, todo, key).hint("rebalance", key), todo, key, path, as_of)
 
 
 def run_counts(rows: DataFrame, key: str, folder: str) -> DataFrame:

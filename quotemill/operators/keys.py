@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged, staging
+
 
 def _names(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -80,40 +82,63 @@ def containing(catalog: DataFrame, needles: list[str], col: str = "title") -> Da
     return catalog.where(reduce(Column.__or__, [title_has(F.col(col), n) for n in needles], F.lit(False)))
 
 
-def matching(catalog: DataFrame, needles: DataFrame, col: str = "title") -> DataFrame:
+def matching(catalog: DataFrame, needles: DataFrame, col: str = "title", piece: int = 8) -> DataFrame:
     """Rows of ``catalog`` whose ``col`` contains any value of the one-column ``needles``.
 
-    The different titles are taken apart into their pieces of the needles' lengths, and
-    a piece that equals a needle is a hit: an equi-join, for any number of needles and
-    titles as short as file names. For a few needles that are known, see ``containing``.
+    An index of pieces: each needle is entered by one piece of ``piece`` characters, the rarest of its
+    own in the titles; a shorter needle is its own piece. The different titles are cut into their pieces of
+    that length (and of those of shorter needles, if there are any), of which only those of needles are
+    kept. Titles and needles that meet by an equi-join on the piece are then tested as a whole.
+    A title of n characters makes n pieces, however many lengths the needles have. For a few
+    needles that are known, see ``containing``.
+
+    NULLs match nothing, an empty needle every title.
     """
-    name = needles.columns[0]
-    needles = needles.select(F.col(name).alias("needle")).where("needle is not null").distinct()
-    longest = catalog.agg(F.max(F.char_length(col))).first()[0]
-    lengths = needles.select(F.char_length("needle").alias("n")).where(F.col("n") <= longest)
-    lengths = sorted(r.n for r in lengths.distinct().collect())
-    if not lengths:
-        return catalog.where(F.lit(False))
-    if lengths[0] == 0:
-        return catalog.where(F.col(col).isNotNull())
-
-    title = F.col("title")
-
-    def pieces_of(length):
-        starts = F.sequence(F.lit(1), F.char_length(title) - length + 1)
-        pieces = F.transform(starts, lambda start: F.substr(title, start, length))
-        return F.when(F.char_length(title) >= length, pieces).otherwise(F.array().cast("array<string>"))
-
-    pieces = F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), pieces_of))
-    pieces = catalog.select(F.col(col).alias("title")).distinct().select(
-        "title", F.explode(F.array_distinct(pieces)).alias("piece")
-    )
-    needles = distinct_keys(needles, "needle")
-    hits = pieces.join(needles, pieces["piece"] == needles["needle"], "left_semi")
-    hits = distinct_keys(hits.select(F.col("title").alias("hit")), "hit")
+    if piece < 1:
+        raise ValueError(f"pieces of {piece} characters")
+    spark, name = catalog.sparkSession, needles.columns[0]
+    with staging(spark) as scope:
+        needles = staged(needles.select(F.col(name).alias("needle")).where("needle is not null").distinct(), "needles")
+        size = F.least(F.char_length("needle"), F.lit(piece))
+        sizes = sorted(r.n for r in needles.select(size.alias("n")).distinct().collect())  # ``piece`` + 1 at most
+        if not sizes:
+            return catalog.where(F.lit(False))
+        if sizes[0] == 0:
+            return catalog.where(F.col(col).isNotNull())
+
+        entries = needles.select("needle", _pieces(F.col("needle"), size, sizes))
+        known = distinct_keys(entries.select(F.col("piece").alias("known")), "known")
+        # numbers stand for the titles until they are tested
+        titles = catalog.select(F.col(col).alias("title")).where("title is not null").distinct()
+        titles = staged(titles.select("title", F.monotonically_increasing_id().alias("id")), "titles")
+        found = titles.select("id", _pieces(F.col("title"), None, sizes))
+        found = staged(found.join(known, found["piece"] == known["known"], "left_semi"), "title-pieces")
+
+        counts = found.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+        # needles of which the titles lack a piece cannot be in them
+        rarest = entries.join(counts.select(F.struct("piece").alias("of"), "n").select("of.piece", "n"), "piece", "left")
+        rarest = rarest.groupBy("needle").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("r"))
+        rarest = rarest.where("r.n > 0").select("needle", F.col("r.piece").alias("piece"))
+
+        meet = found.join(rarest, "piece").select("id", "needle")
+        hits = meet.join(titles, "id").where(F.contains("title", "needle"))
+        hits = scope.keep(distinct_keys(hits.select(F.col("title").alias("hit")), "hit"), "hits")
     return catalog.join(hits, catalog[col] == hits["hit"], "left_semi")
 
 
+def _pieces(text: Column, size: Column | None, sizes: list[int]) -> Column:
+    """A row ``piece`` for each different piece of ``text``, of ``size`` or else of all ``sizes`` characters.
+
+    One pass over the text for each size: ``substr`` would count characters from the start for each piece.
+    """
+
+    def of(n):
+        pieces = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
+        return pieces if size is None else F.when(size == n, pieces).otherwise(F.array().cast("array<string>"))
+
+    return F.explode(F.array_distinct(F.concat(*map(of, sizes)))).alias("piece")
+
+
 def lookup(df: DataFrame, master: DataFrame, on: str = "code", how: str = "inner") -> DataFrame:
     """Rows of ``df`` with the columns of the one ``master`` row of the same code.
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -61,15 +64,55 @@ def _staging_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/quotemill/{spark.conf.get('spark.app.id', 'session')}"
 
 
+class Staging:
+    """What is staged while a scope is open, and where its result goes."""
+
+    def __init__(self, folder: str, outer: Staging | None):
+        self.folder, self.outer = folder, outer
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written beyond this scope: to the one around it, or to the application's folder."""
+        token = _SCOPE.set(self.outer)
+        try:
+            return staged(df, name)
+        finally:
+            _SCOPE.reset(token)
+
+
+_SCOPE: contextvars.ContextVar[Staging | None] = contextvars.ContextVar("staging", default=None)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[Staging]:
+    """A scope that owns what is staged within it, by jobs called there as well: it is deleted at the end.
+
+    Write results before the scope is left, or ``keep`` them. Scopes nest; an inner one that
+    fails takes what it staged with it. Each thread has scopes of its own.
+    """
+    outer = _SCOPE.get()
+    scope = Staging(f"{outer.folder if outer else _staging_dir(spark)}/scope-{uuid.uuid4().hex}", outer)
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        _delete(spark, scope.folder)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the application's part of the shared folder."""
-    return f"{_staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path: in the folder of the open scope, or else of the application."""
+    scope = _SCOPE.get()
+    return f"{scope.folder if scope else _staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remove_staged(spark: SparkSession) -> None:
     """Delete what the application has staged. DataFrames that are still read from it are lost."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_staging_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _staging_dir(spark))
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

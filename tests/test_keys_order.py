@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quotemill import session
 from quotemill.operators import keys, order
 
 
@@ -59,6 +60,36 @@ def test_matching_against_brute_force(spark, n_needles):
     assert column(keys.matching(ids(spark, titles, "title"), ids(spark, needles))) == expect
 
 
+@pytest.mark.parametrize("piece", [1, 3, 8, 40])
+def test_matching_long_and_short_needles(spark, piece):
+    """Needles beside each other that share most of their pieces, and some that are not in the titles."""
+    rng = random.Random(piece)
+    word = lambda lo, hi: "".join(rng.choice("ab𝄞台\n") for _ in range(rng.randint(lo, hi)))
+    titles = [word(0, 60) for _ in range(600)] + ["a" * 30] * 300
+    cut = lambda t, n: t[(i := rng.randint(0, len(t))) : i + n]
+    needles = [cut(rng.choice(titles), rng.randint(6, 30)) + rng.choice(["", "", "b"]) for _ in range(150)]
+    needles = [n for n in needles if len(n) > 5] + ["台𝄞台𝄞b", "?", "z" * 50]
+    expect = sorted(t for t in titles if any(n in t for n in needles))
+    got = keys.matching(ids(spark, titles, "title"), ids(spark, needles), piece=piece)
+    assert column(got) == expect and 0 < len(expect) < len(titles)
+
+
+def test_matching_in_very_long_texts(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh台") for _ in range(100_000)) for _ in range(4)]
+    needles = [texts[0][50_000:50_040], texts[1][-25:], texts[2][:11] + "z", "no" * 10, texts[3][99_000:99_009] + "#"]
+    got = keys.matching(ids(spark, texts + ["short", None], "title"), ids(spark, needles))
+    assert column(got) == sorted(texts[:2])
+
+
+def test_matching_many_titles_of_one_piece(spark):
+    """A piece that all titles and needles have is not what they meet by."""
+    titles = [f"集保_{i:07d}.zip" for i in range(3000)]
+    needles = [f"集保_{i:07d}.zip" for i in range(0, 6000, 100)]
+    with session.staging(spark):
+        assert keys.matching(ids(spark, titles, "title"), ids(spark, needles)).count() == 30
+
+
 def test_many_needles_with_an_empty_one(spark):
     needles = [f"n{i:03d}" for i in range(100)] + [""]
     assert keys.matching(ids(spark, ["x", "", None], "title"), ids(spark, needles)).count() == 2
