@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import staged, staging
-
 
 def _names(key: str | list[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -96,33 +94,31 @@ def matching(catalog: DataFrame, needles: DataFrame, col: str = "title", piece:
     """
     if piece < 1:
         raise ValueError(f"pieces of {piece} characters")
-    spark, name = catalog.sparkSession, needles.columns[0]
-    with staging(spark) as scope:
-        needles = staged(needles.select(F.col(name).alias("needle")).where("needle is not null").distinct(), "needles")
-        size = F.least(F.char_length("needle"), F.lit(piece))
-        sizes = sorted(r.n for r in needles.select(size.alias("n")).distinct().collect())  # ``piece`` + 1 at most
-        if not sizes:
-            return catalog.where(F.lit(False))
-        if sizes[0] == 0:
-            return catalog.where(F.col(col).isNotNull())
-
-        entries = needles.select("needle", _pieces(F.col("needle"), size, sizes))
-        known = distinct_keys(entries.select(F.col("piece").alias("known")), "known")
-        # numbers stand for the titles until they are tested
-        titles = catalog.select(F.col(col).alias("title")).where("title is not null").distinct()
-        titles = staged(titles.select("title", F.monotonically_increasing_id().alias("id")), "titles")
-        found = titles.select("id", _pieces(F.col("title"), None, sizes))
-        found = staged(found.join(known, found["piece"] == known["known"], "left_semi"), "title-pieces")
-
-        counts = found.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-        # needles of which the titles lack a piece cannot be in them
-        rarest = entries.join(counts.select(F.struct("piece").alias("of"), "n").select("of.piece", "n"), "piece", "left")
-        rarest = rarest.groupBy("needle").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("r"))
-        rarest = rarest.where("r.n > 0").select("needle", F.col("r.piece").alias("piece"))
-
-        meet = found.join(rarest, "piece").select("id", "needle")
-        hits = meet.join(titles, "id").where(F.contains("title", "needle"))
-        hits = scope.keep(distinct_keys(hits.select(F.col("title").alias("hit")), "hit"), "hits")
+    name = needles.columns[0]
+    needles = needles.select(F.col(name).alias("needle")).where("needle is not null").distinct()
+    size = F.least(F.char_length("needle"), F.lit(piece))
+    sizes = sorted(r.n for r in needles.select(size.alias("n")).distinct().collect())  # ``piece`` + 1 at most
+    if not sizes:
+        return catalog.where(F.lit(False))
+    if sizes[0] == 0:
+        return catalog.where(F.col(col).isNotNull())
+
+    entries = needles.select("needle", _pieces(F.col("needle"), size, sizes))
+    known = distinct_keys(entries.select(F.col("piece").alias("known")), "known")
+    # A hash stands for a title until it is tested; titles of one hash are tested for each other's needles too.
+    titles = catalog.select(F.col(col).alias("title")).where("title is not null").distinct()
+    titles = titles.select("title", F.xxhash64("title").alias("id"))
+    found = titles.select("id", _pieces(F.col("title"), None, sizes))
+    found = found.join(known, found["piece"] == known["known"], "left_semi")
+
+    counts = found.groupBy(F.col("piece").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    # an inner join: a needle that is in a title has all its pieces counted
+    rarest = entries.join(counts, entries["piece"] == counts["of"]).groupBy("needle")
+    rarest = rarest.agg(F.min_by("piece", F.struct("n", "piece")).alias("rarest"))
+
+    meet = found.join(rarest, found["piece"] == rarest["rarest"]).select("id", "needle")
+    hits = meet.join(titles, "id").where(F.contains("title", "needle"))
+    hits = distinct_keys(hits.select(F.col("title").alias("hit")), "hit")
     return catalog.join(hits, catalog[col] == hits["hit"], "left_semi")
 
 
