@@ -13,6 +13,8 @@ A fingerprint is a string: the root, then for each section its hash and its leav
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ PIECE = 48
 LEAF, SECTION = 12, 16
 #: A section ends at a leaf whose last digit is 0, so after 16 leaves on average, or after so many.
 LONGEST_SECTION = 64
+#: Ranges of doc_ids whose bounds the driver holds, at most, and characters of a text in a bound.
+QUANTILES, HEAD = 4096, 64
 
 _PIECES = rf"[^.!?\n]{{1,{PIECE}}}[.!?\n]?|[.!?\n]"
 _DIGITS = "[0-9a-f]"
@@ -89,27 +93,62 @@ def differing(a: Column, b: Column) -> Column:
     return F.when(a == b, none).otherwise(F.flatten(F.filter(changed, lambda x: x.isNotNull())))
 
 
+def _parted(docs: DataFrame, part_rows: int) -> DataFrame:
+    """(doc_id, text, range, part): ``docs`` in about ``part_rows`` rows to a part, in the order of ``with_next``.
+
+    QUANTILES ranges at most, of about as many rows each, come from a range partitioning of the ids and HEAD first
+    characters; a range of more rows is cut by the width of its ids. No id, also null, is too frequent for that
+    unless its texts begin alike.
+    """
+    text = F.coalesce("text", F.lit(""))
+    order = {"last": F.col("doc_id").isNull(), "down": F.bitwise_not(F.col("doc_id").cast("long")), "head": F.left(text, F.lit(HEAD))}
+    key = F.struct(*[value.alias(name) for name, value in order.items()])
+    n = docs.count()
+    ranges = max(1, min(QUANTILES, -(-n // part_rows)))
+    cuts = -(-n // (ranges * part_rows)) or 1
+    firsts = (
+        docs.select(key.alias("key")).select("key.*").repartitionByRange(ranges, *order)
+        .groupBy(F.spark_partition_id()).agg(F.min(F.struct(*order)).alias("first"))
+    )
+    bounds = [r.first.asDict() for r in firsts.select("first").collect()]  # QUANTILES at most
+    bounds.sort(key=lambda b: (b["last"], b["down"] or 0, b["head"].encode()))
+    # a literal: the JSON is read once, by the optimizer
+    bounds = F.from_json(F.lit(json.dumps(bounds)), "array<struct<last:boolean,down:bigint,head:string>>")
+    # binary search for the last range that starts at the key or before
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(ranges.bit_length()))])
+    place = F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step) <= F.col("key"), at + step).otherwise(at)
+    )
+    placed = docs.select("doc_id", text.alias("text"), key.alias("key")).withColumn("range", place)
+    down = F.col("key.down").cast("double")
+    start, end = (F.get(bounds, F.col("range") + i)["down"].cast("double") for i in (0, 1))
+    # null where the range ends in null ids, which are not cut, or is the last one, of which only its first cut is certain
+    share = F.least(F.greatest((down - start) / (end - start + 1.0), F.lit(0.0)), F.lit(1.0))
+    cut = F.when(F.col("key.last"), cuts - 1).otherwise(F.least(F.floor(F.coalesce(share, F.lit(0.0)) * cuts), F.lit(cuts - 1)))
+    return placed.select("doc_id", "text", "range", (F.col("range") * F.lit(cuts).cast("long") + cut).alias("part"))
+
+
 def with_next(docs: DataFrame, part_rows: int = 1024) -> DataFrame:
     """(doc_id, text, next_text) of each row of ``docs``: also the text of the next smaller doc_id.
 
     After the smallest doc_id comes the largest. Null doc_ids come after all others; rows with
-    equal ones stand in the order of their texts, and a null text is an empty one. The range of
-    ids is cut into even parts of about ``part_rows`` rows, each part is sorted by itself, and
-    the last row of a part gets the first text of the part that follows.
+    equal ones stand in the order of the first HEAD characters of their texts, then of the rest as far
+    as one part holds them, and a null text is an empty one. The rows are cut into parts of about
+    ``part_rows``, each part is sorted by itself, and the last row of a part gets the first text of the part
+    that follows.
     """
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    width = max(1.0, (high - low + 1) * part_rows / n) if n else 1.0
-    part = F.floor((F.col("doc_id").cast("double") - float(low or 0)) / width)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(part, F.lit(-1).cast("long")).alias("part"))
+    rows = _parted(docs, part_rows)
     down = Window.partitionBy("part").orderBy(F.desc_nulls_last("doc_id"), "text")
     ordered = rows.select("*", F.lead("text").over(down).alias("following"), F.row_number().over(down).alias("place"))
     tops = ordered.where("place = 1").select(F.col("part").alias("after"), F.col("text").alias("top"))
-    every = Window.orderBy(F.desc("part"))  # of a number per part
-    last_to_first = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    parts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
-    parts = parts.select(
-        F.col("part").alias("at"), F.coalesce(F.lead("part").over(every), F.first("part").over(last_to_first)).alias("after")
-    )
+    parts = rows.select("range", "part").distinct()
+    ranges = parts.groupBy("range").agg(F.min("part").alias("part"))
+    every = Window.orderBy("range")  # of QUANTILES rows at most
+    first_of_all = F.first("part").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranges = ranges.select(F.col("range").alias("of"), F.coalesce(F.lead("part").over(every), first_of_all).alias("later"))
+    within = F.lead("part").over(Window.partitionBy("range").orderBy("part"))
+    parts = parts.select("range", F.col("part").alias("at"), within.alias("after"))
+    parts = parts.join(ranges, F.col("range") == F.col("of")).select("at", F.coalesce("after", "later").alias("after"))
     edges = parts.join(tops, "after").select("at", "top")
     return ordered.join(edges, F.col("part") == F.col("at")).select(
         "doc_id", "text", F.coalesce("following", "top").alias("next_text")

@@ -163,7 +163,8 @@ def nearest(
     Returns query_id, rank (from 1), vec_id and score (double), ties to the smaller vec_id. Rows
     without vec_id take no part, nor do vectors that are null, empty, all zero, or that hold a null, NaN or infinite
     component. Vectors are compared with those of the same dimension. Rows with a query's
-    vec_id count as the query itself. A query that finds fewer than ``k`` candidates in its
+    vec_id count as the query itself; where these have different vectors, there is one list for the vec_id, in which
+    each other row has the best of its scores with them. Repeated rows are listed as often as they occur. A query that finds fewer than ``k`` candidates in its
     buckets, though there are more, is compared with all vectors, in blocks.
 
     Equal vectors are searched as one; of each only the k + 1 smallest vec_ids can be in a result.
@@ -206,7 +207,7 @@ def nearest(
     )
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     listed = (
-        pairs.select("query", product.alias("score"), F.explode("members").alias("vec_id"))
+        pairs.select("query", "id", product.alias("score"), F.posexplode("members").alias("member", "vec_id"))
         .withColumn("_n", F.row_number().over(ranked))
         .where(F.col("_n") <= k + 1)
     )
@@ -215,6 +216,8 @@ def nearest(
         asked.select(F.col("vec_id").alias("query_id"), F.col("id").alias("query"))
         .join(listed, "query")
         .where("vec_id != query_id")
+        .groupBy("query_id", "id", "member", "vec_id")
+        .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(own))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")

@@ -44,6 +44,21 @@ def test_dense_ids_in_many_parts(spark):
     assert got == {i: f"text {(i - 1) % 100}" for i in range(100)}
 
 
+def test_parts_hold_equal_numbers_of_rows(spark, monkeypatch):
+    """One id far from all others, a third of the ids null; also where ranges are cut further."""
+    rows = [(10**15, "far"), (-(2**63), "least")]
+    rows += [(i, f"text {i}") for i in range(4000)] + [(None, f"{i * 7919 % 2003:04d} null") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    expect = sorted((t, order[(i + 1) % len(order)][1]) for i, (_, t) in enumerate(order))
+    for quantiles in (4096, 48):
+        monkeypatch.setattr(fp, "QUANTILES", quantiles)
+        parted = fp._parted(df, 32)
+        sizes = [r["count"] for r in parted.groupBy("part").count().collect()]
+        assert len(sizes) > 40 and max(sizes) < len(rows) / 20
+        assert sorted((r.text, r.next_text) for r in fp.with_next(df, 32).collect()) == expect
+
+
 def test_one_row_and_no_row(spark, documents):
     (row,) = QUERIES["op5_fingerprints"](spark, documents([(3, "abcdef")], files=1)).collect()
     assert row.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and row.near_next == 1
