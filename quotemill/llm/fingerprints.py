@@ -25,7 +25,7 @@ LEAF, SECTION = 12, 16
 #: A section ends at a leaf whose last digit is 0, so after 16 leaves on average, or after so many.
 LONGEST_SECTION = 64
 #: Ranges of doc_ids whose bounds the driver holds, at most, and characters of a text in a bound.
-QUANTILES, HEAD = 4096, 64
+QUANTILES, HEAD = 1024, 64
 
 _PIECES = rf"[^.!?\n]{{1,{PIECE}}}[.!?\n]?|[.!?\n]"
 _DIGITS = "[0-9a-f]"
@@ -110,12 +110,12 @@ def _parted(docs: DataFrame, part_rows: int) -> DataFrame:
         docs.select(key.alias("key")).select("key.*").repartitionByRange(ranges, *order)
         .groupBy(F.spark_partition_id()).agg(F.min(F.struct(*order)).alias("first"))
     )
-    bounds = [r.first.asDict() for r in firsts.select("first").collect()]  # QUANTILES at most
+    bounds = [r.first.asDict() for r in firsts.select("first").collect()]  # QUANTILES at most, or what Spark makes of it
     bounds.sort(key=lambda b: (b["last"], b["down"] or 0, b["head"].encode()))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
     # a literal: the JSON is read once, by the optimizer
     bounds = F.from_json(F.lit(json.dumps(bounds)), "array<struct<last:boolean,down:bigint,head:string>>")
     # binary search for the last range that starts at the key or before
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(ranges.bit_length()))])
     place = F.aggregate(
         steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step) <= F.col("key"), at + step).otherwise(at)
     )
