@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.rejects import REASON
 from ..session import staged
+from .locations import locator
 
 MEMBER_ROWS = (
     f"archive string, member string, row_pos bigint, cells array<string>, {REASON} string"
@@ -64,17 +65,11 @@ def _in_tasks(encoding: str, delimiter: str):
             except (UnicodeError, csv.Error) as e:
                 yield batch(archive, info.filename, 0, [None], why(e))
 
-    def opened(path):
-        import re
-
-        from pyarrow import fs
+    located = locator()
 
-        scheme, authority, name = re.fullmatch(r"(?:([A-Za-z][\w+.-]*):)?(?://([^/]*))?(.*)", path).groups()
-        if scheme in (None, "file"):
-            return fs.LocalFileSystem().open_input_file(name)
-        scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-        system, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-        return system.open_input_file(root.rstrip("/") + name)
+    def opened(path):
+        system, name, _ = located(path)
+        return system.open_input_file(name)
 
     def expanded(archive, open_stream, places):
         """Rows of the members at ``places`` (all of them, if None)."""
