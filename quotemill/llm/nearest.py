@@ -3,7 +3,8 @@
 Three rounds of random signs and a fast Hadamard transform rotate a unit vector; its hash is the
 signed axis nearest to the result. An index entry goes to one bucket of each table, a
 query also looks into the buckets of the next nearest axes. All vectors of a bucket are scored
-in blocks, and the best of all buckets are ranked again by their exact inner products.
+in blocks; what may be among the best, but for rounding, is scored again exactly, so that ties
+go to smaller ids in every block, and the best of all buckets are ranked.
 
 Largest inner products become smallest angles when each vector gets one more coordinate that
 brings it to the length of the longest one.
@@ -28,8 +29,8 @@ PROBES = 4
 HASHES = 1
 #: Vectors, and queries, that are scored together.
 BLOCK = 4096
-#: Candidates kept beyond the result, for the exact ranking.
-SPARE = 8
+#: Queries of a block whose candidates are scored again together.
+EXACT_QUERIES = 256
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -76,7 +77,7 @@ def buckets(vectors: np.ndarray, longest: float, query: bool, seed: int, tables:
         for h in range(hashes):
             axes = _axes(x, seed, t * hashes + h)
             wide = min(probes, axes.shape[1])
-            top = np.argsort(-axes, axis=1, kind="stable")[:, :wide]
+            top = axes.argmax(axis=1)[:, None] if wide == 1 else np.argsort(-axes, axis=1, kind="stable")[:, :wide]
             values = np.take_along_axis(axes, top, 1)
             # the best combinations of what the hashes before gave and the axes of this one
             number = (number[:, :, None] * axes.shape[1] + top[:, None, :]).reshape(len(x), -1)
@@ -88,7 +89,7 @@ def buckets(vectors: np.ndarray, longest: float, query: bool, seed: int, tables:
 
 
 def _hashed(vectors: DataFrame, longest: float, query: bool, seed: int, tables: int, probes: int, hashes: int) -> DataFrame:
-    """(id, vector, dimension, bucket), a row for each bucket."""
+    """(id, vector, dimension, bucket), a row for each bucket; each vector is hashed once."""
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,9 +106,34 @@ def _hashed(vectors: DataFrame, longest: float, query: bool, seed: int, tables:
 
     kind = vectors.schema["vector"].dataType.simpleString()
     rows = vectors.select("id", "vector", F.size("vector").alias("dimension"))
-    return rows.mapInArrow(hashed, f"id long, vector {kind}, dimension int, buckets array<long>").select(
-        "id", "vector", "dimension", F.explode("buckets").alias("bucket")
-    )
+    found = staged(rows.mapInArrow(hashed, f"id long, vector {kind}, dimension int, buckets array<long>"), "hashed")
+    return found.select("id", "vector", "dimension", F.explode("buckets").alias("bucket"))
+
+
+def _best_pairs(queries: np.ndarray, entries: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places of queries, ids, scores) of each query's best ``k`` entries, ties to the smaller id.
+
+    Scores are added up component by component, as the final ranking does it. The product of
+    matrices only tells which pairs cannot be among them: those below the k-th by more than both can be off.
+    """
+    d = queries.shape[1]
+    longest = np.linalg.norm(entries, axis=1).max()
+    for first in range(0, len(queries), EXACT_QUERIES):
+        some = queries[first : first + EXACT_QUERIES]
+        rough = some @ entries.T
+        if len(entries) > k:
+            off = 4 * d * np.finfo(float).eps * longest * np.linalg.norm(some, axis=1)
+            least = np.partition(rough, len(entries) - k, axis=1)[:, len(entries) - k] - off
+            rows, columns = np.nonzero(~(rough < least[:, None]))
+        else:
+            rows, columns = map(np.ravel, np.indices(rough.shape))
+        exact = np.zeros(len(rows))
+        for j in range(d):
+            exact += some[rows, j] * entries[columns, j]
+        order = np.lexsort((ids[columns], -exact, rows))
+        rows, columns, exact = rows[order], columns[order], exact[order]
+        top = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        yield rows[top] + first, ids[columns[top]], exact[top]
 
 
 def _best_of_block(k: int):
@@ -116,22 +142,15 @@ def _best_of_block(k: int):
         if not len(queries) or not len(entries):
             return none
         matrix = lambda t: t["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(t), -1)
-        scores = matrix(queries) @ matrix(entries).T
-        ids, n = np.asarray(entries["id"]), min(k, len(entries))
-        top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-        return pa.table(
-            {
-                "query": pa.array(np.repeat(np.asarray(queries["id"]), n)),
-                "id": pa.array(ids[top].reshape(-1)),
-                "score": pa.array(np.take_along_axis(scores, top, 1).reshape(-1)),
-            }
-        )
+        asked = np.asarray(queries["id"])
+        found = _best_pairs(matrix(queries), matrix(entries), np.asarray(entries["id"]), k)
+        return pa.concat_tables(pa.table({"query": asked[rows], "id": ids, "score": scores}) for rows, ids, scores in found)
 
     return best
 
 
 def _candidates(queries: DataFrame, entries: DataFrame, longest: float, k: int, seed: int, tables: int, probes: int, hashes: int) -> DataFrame:
-    """(query, id, score): for each query (id, vector) about the best ``k`` of the buckets it looks into."""
+    """(query, id, score): for each query (id, vector) the best ``k`` of the buckets it looks into, ties to the smaller id."""
     entries = _hashed(entries, longest, False, seed, tables, 1, hashes)
     queries = _hashed(queries, longest, True, seed, tables, probes, hashes)
     key = ["dimension", "bucket"]
@@ -185,7 +204,7 @@ def nearest(
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     longest, n = classes.agg(F.max(norm), F.count(F.lit(1))).first()
     longest = longest or 1.0
-    entries, wide = classes.select("id", "vector"), k + 1 + SPARE
+    entries, wide = classes.select("id", "vector"), k + 1
     found = staged(_candidates(queries, entries, longest, wide, seed, tables, probes, hashes), "candidates")
 
     enough = classes.groupBy(F.size("vector").alias("dimension")).agg(F.least(F.count(F.lit(1)), F.lit(k + 1)).alias("enough"))

@@ -88,6 +88,34 @@ def test_equal_vectors_and_ties(spark, monkeypatch):
     assert [i for _, i in got[100]][:20] == list(range(101, 121))
 
 
+@pytest.mark.parametrize("block", [64, 4096])
+def test_many_ties_go_to_smaller_ids(spark, monkeypatch, block):
+    """Corners of a cube: each score is that of hundreds of different vectors."""
+    monkeypatch.setattr(nearest, "BLOCK", block)
+    corners = np.array(np.meshgrid(*[[-1.0, 1.0]] * 10)).T.reshape(-1, 10)
+    ids = np.random.default_rng(3).permutation(len(corners)) * 10
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(ids, corners, strict=True)]
+    # one table of few buckets in which all are looked into: what is found is exact
+    got = found(nearest.nearest(frame(spark, rows), F.col("vec_id") < 400, tables=1, probes=64))
+    assert got == brute(rows, lambda q: q < 400, 20)
+
+
+def test_scores_that_rounding_could_swap():
+    rng = np.random.default_rng(5)
+    entries = rng.normal(size=(500, 33)) * 1e8
+    entries[250:] = entries[:250] * (1 + rng.integers(-2, 3, (250, 33)) * np.finfo(float).eps)
+    queries, ids = rng.normal(size=(600, 33)), rng.permutation(500)
+    best = {}
+    for rows, found_ids, scores in nearest._best_pairs(queries, entries, ids, 5):
+        for q, i, s in zip(rows, found_ids, scores, strict=True):
+            best.setdefault(q, []).append((-s, i))
+    for q, v in enumerate(queries):
+        exact = np.zeros(500)
+        for j in range(33):
+            exact += v[j] * entries[:, j]
+        assert best[q] == sorted(zip(-exact, ids, strict=True))[:5]
+
+
 def test_one_list_for_a_query_of_two_vectors(spark):
     rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.5, 0.25]), (2, [0.25, 1.0]), (3, [1.0, 1.0]), (1, [0.5, 0.25])]
     got = found(nearest.nearest(frame(spark, rows), F.col("vec_id") == 0))
