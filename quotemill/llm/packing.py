@@ -13,16 +13,39 @@ from pyspark.sql import functions as F
 
 from .common import running_sum, unused
 
-#: Lengths up to here are told apart exactly; above, only to one part in EXACT / 2.
-#: That bounds the histogram: EXACT entries, and EXACT / 2 more each time the longest length doubles.
+#: The least number of lengths that a histogram tells apart.
 EXACT = 2048
+#: Lengths up to here are told apart exactly by ``pack``; above, only to one part in LENGTHS / 2.
+#: That bounds the histogram: LENGTHS entries, and LENGTHS / 2 more each time the longest length doubles.
+LENGTHS = 65_536
 
 
-def rounded_length(length: Column) -> Column:
-    """The smallest length of the histogram that is not below ``length``."""
-    step = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(EXACT))))).cast("long")
+def rounded_length(length: Column, exact: int = EXACT) -> Column:
+    """The smallest length of the histogram that is not below ``length``; itself up to ``exact``."""
+    step = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(exact))))).cast("long")
     up = F.ceil(length / step) * step
-    return F.when(length <= EXACT, length).otherwise(up).cast("long")
+    return F.when(length <= exact, length).otherwise(up).cast("long")
+
+
+def _one_more_bucket(cost: np.ndarray, lengths: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(costs, first lengths of the last bucket) of lengths[0..j] for each j, given their ``cost`` with a bucket less.
+
+    The later j, the later its last bucket starts: for the middle j of a range all places are tried
+    that its ends allow, and the two halves share these between them.
+    """
+    best, start = cost.copy(), np.zeros(len(lengths), dtype=np.int64)
+    ranges = [(1, len(lengths), 0, len(lengths))]
+    while ranges:
+        lo, hi, least, most = ranges.pop()
+        if lo >= hi:
+            continue
+        j = (lo + hi) // 2
+        end = min(j, most)
+        tried = cost[least:end] + lengths[j] * (before[j + 1] - before[least + 1 : end + 1])
+        i = least + int(tried.argmin())
+        best[j], start[j] = tried[i - least], i + 1
+        ranges += [(lo, j, least, i + 1), (j + 1, hi, i, most)]
+    return best, start
 
 
 def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
@@ -39,12 +62,7 @@ def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> li
     starts = []  # starts[b][j]: first length of the last bucket, for lengths[0..j] in b + 2 buckets
     costs = [cost]
     for _ in range(1, min(buckets, n)):
-        last, start = cost.copy(), np.zeros(n, dtype=np.int64)
-        for j in range(1, n):
-            tried = cost[:j] + lengths[j] * (before[j + 1] - before[1 : j + 1])
-            i = int(tried.argmin())
-            last[j], start[j] = tried[i], i + 1
-        cost = last
+        cost, start = _one_more_bucket(cost, lengths, before)
         starts.append(start)
         costs.append(cost)
     used = int(np.argmin([c[-1] for c in costs]))
@@ -70,7 +88,7 @@ def pack(df: DataFrame, length: str, order: list[str], buckets: int = 8, budget:
     df = df.drop(*added)
     sizes = (
         df.where(F.col(length) > 0)
-        .groupBy(rounded_length(F.col(length)).alias("up"))
+        .groupBy(rounded_length(F.col(length), LENGTHS).alias("up"))
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy("up")
         .collect()

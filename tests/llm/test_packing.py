@@ -40,6 +40,23 @@ def test_histogram_is_bounded(spark):
     assert 10**9 <= up[7] <= 10**9 * (1 + 2 / 2048)
 
 
+def test_long_histograms(spark):
+    """As good as trying every place for every length; lengths up to 65,536 are told apart."""
+    rng = np.random.default_rng(2)
+    lengths = np.sort(rng.choice(20_000, 700, replace=False) + 1)
+    counts = rng.integers(1, 10**6, 700)
+    before = np.concatenate([[0], np.cumsum(counts)])
+    least = lengths * before[1:]
+    for _ in range(5):
+        least = np.array([min(least[j], *(least[:j] + lengths[j] * (before[j + 1] - before[1 : j + 1]))) for j in range(700)])
+    bounds = np.array(packing.best_boundaries(lengths, counts, 6))
+    assert (bounds[np.searchsorted(bounds, lengths)] * counts).sum() == least[-1]
+
+    rows = [(i, n) for i, n in enumerate([9999, 10_001, 65_535, 65_536, 65_537, 65_538, 200_001])]
+    packed = packing.pack(spark.createDataFrame(rows, "id long, n long"), "n", ["id"], buckets=9).collect()
+    assert {r.n: r.padded_length for r in packed} == {n: n for _, n in rows} | {65_537: 65_538, 200_001: 200_004}
+
+
 def check(rows, budget):
     batches = defaultdict(list)
     for r in rows:
