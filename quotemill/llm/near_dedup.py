@@ -292,8 +292,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> tuple
     documents = sketched.select("doc_id", "text_hash", "n_shingles", "node").join(labels, "node", "left")
     documents = staged(documents.withColumn("group", F.coalesce("label", "node")).drop("label"), "documents")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    groups = documents.where("group is not null").groupBy("group").agg(F.min(order).alias("first"))
-    return documents, groups.select("group", F.struct("first.doc_id", "first.text_hash").alias("first"))
+    # grouped as a struct: a join by group then shuffles both sides, and AQE can split a hot group or the null one
+    groups = documents.where("group is not null").groupBy(F.struct("group").alias("key")).agg(F.min(order).alias("first"))
+    return documents, groups.select("key.group", F.struct("first.doc_id", "first.text_hash").alias("first"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
