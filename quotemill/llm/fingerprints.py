@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 #: Characters of a piece without an end of sentence or line, at most.
 PIECE = 48
-#: Hexadecimal digits kept of a leaf's hash and of a section's.
-LEAF, SECTION = 12, 16
+#: Hexadecimal digits kept of a leaf's hash and of a section's; the root, which tells texts apart, has all 64.
+LEAF, SECTION = 8, 12
 #: A section ends at a leaf whose last digit is 0, so after 16 leaves on average, or after so many.
 LONGEST_SECTION = 64
 #: Ranges of doc_ids whose bounds the driver holds, at most, and characters of a text in a bound.
