@@ -48,7 +48,7 @@ def test_long_histograms(spark):
     before = np.concatenate([[0], np.cumsum(counts)])
     least = lengths * before[1:]
     for _ in range(5):
-        least = np.array([min(least[j], *(least[:j] + lengths[j] * (before[j + 1] - before[1 : j + 1]))) for j in range(700)])
+        least = np.array([min([least[j], *(least[:j] + lengths[j] * (before[j + 1] - before[1 : j + 1]))]) for j in range(700)])
     bounds = np.array(packing.best_boundaries(lengths, counts, 6))
     assert (bounds[np.searchsorted(bounds, lengths)] * counts).sum() == least[-1]
 
